@@ -88,7 +88,7 @@ def events_to_inference(ev: DataFrame, variant: str = "warm") -> DataFrame:
                              F.lit("user_id"), F.col("user_id").cast("double"))
     else:
         raise ValueError(f"unknown event variant {variant!r}")
-    return ev.select("event_id", model.alias("model"), F.col("ts").cast("timestamp").alias("ts"),
+    return ev.select("event_id", model.alias("model"), F.col("ts"),
                      feats.alias("features"), F.col("value").alias("prediction"))
 
 

@@ -111,7 +111,7 @@ def inference_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events")
     return ev.select(
         F.col("event_id"),
-        F.col("ts").cast("timestamp").alias("timestamp"),
+        F.col("ts").alias("timestamp"),
         F.col("value").alias("prediction_score"),
         F.col("user_id").cast("double").alias("feature_1"),
         _k().alias("feature_2"),

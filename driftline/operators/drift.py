@@ -20,6 +20,7 @@ when the caller states how many groups there are.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (BooleanType, ByteType, DecimalType, DoubleType, FloatType,
@@ -65,9 +66,10 @@ def tag_sides(baseline: DataFrame, current: DataFrame, features: list[str],
 
 def unpivot(tagged: DataFrame, features: list[str], segments: list[str]) -> DataFrame:
     """(seg..., side, f1, f2, ...) -> (seg..., feature_idx, feature, side, value), finite only."""
-    pairs = ", ".join(f"{i}, '{f}', CAST(`{f}` AS DOUBLE)" for i, f in enumerate(features))
-    stacked = tagged.selectExpr(*[f"`{s}`" for s in segments], "side",
-                                f"stack({len(features)}, {pairs}) AS (feature_idx, feature, value)")
+    cells = F.array(*[F.struct(F.lit(i).alias("feature_idx"), F.lit(f).alias("feature"),
+                                F.col(f).cast("double").alias("value")) for i, f in enumerate(features)])
+    stacked = tagged.select(*[F.col(s) for s in segments], "side", F.explode(cells).alias("_u"))
+    stacked = stacked.select(*segments, "side", "_u.feature_idx", "_u.feature", "_u.value")
     return stacked.where(is_finite_value("value"))
 
 
@@ -99,15 +101,18 @@ class DriftTables:
             counts = self.long.groupBy(*self.keys, "value").agg(
                 F.count_if(F.col("side") == "b").alias("n_b"),
                 F.count_if(F.col("side") == "c").alias("n_c"))
-            self._ecdf = keyed_running_sum(counts, self.keys, [F.col("value")], ["n_b", "n_c"])
+            ecdf = keyed_running_sum(counts, self.keys, [F.col("value")], ["n_b", "n_c"])
+            # every metric reads this table; its lineage starts at a reliable checkpoint,
+            # so a lost cached block is recomputed to the same rows
+            self._ecdf = ecdf.persist(StorageLevel.MEMORY_AND_DISK)
         return self._ecdf
 
     def totals(self) -> DataFrame:
         """Per group sample sizes (after the per-side null/NaN drop)."""
         if self._totals is None:
-            self._totals = self.long.groupBy(*self.keys).agg(
-                F.count_if(F.col("side") == "b").alias("n_baseline"),
-                F.count_if(F.col("side") == "c").alias("n_current"))
+            # from the pinned ECDF table (distinct values), not another pass over the data
+            self._totals = self.ecdf().groupBy(*self.keys).agg(
+                F.sum("n_b").alias("n_baseline"), F.sum("n_c").alias("n_current"))
         return self._totals
 
     def evaluated(self) -> DataFrame:
@@ -133,6 +138,12 @@ class DriftTables:
 
     def edges(self) -> DataFrame:
         """(keys..., edges array<double>) - sorted unique percentile edges."""
+        if getattr(self, "_edges", None) is None:
+            # one row per group: a bounded table, kept for the bins and the PSI
+            self._edges = self._edges_plan().persist(StorageLevel.MEMORY_AND_DISK)
+        return self._edges
+
+    def _edges_plan(self) -> DataFrame:
         targets = self.edge_targets()
         look = targets.select(*self.keys, "k", F.explode(F.array(
             F.struct(F.lit("lo").alias("which"), F.col("lo").alias("rank")),
@@ -163,7 +174,10 @@ class DriftTables:
         e = self.ecdf().select(*self.keys, "value", "n_b", "n_c")
         j = e.join(edges, on=self.keys, how="inner")
         n_edges = F.size("edges")
-        below = F.size(F.filter("edges", lambda x: x <= F.col("value")))
+        # number of edges <= value, unrolled over the (at most buckets + 1) edges so the
+        # expression stays in generated code
+        below = sum((F.coalesce(F.get(F.col("edges"), i) <= F.col("value"), F.lit(False))).cast("int")
+                    for i in range(self.buckets + 1))
         bin_ = F.when(F.col("value") == F.element_at("edges", -1), n_edges - 2).otherwise(below - 1)
         j = j.where((n_edges >= 2) & (F.col("value") >= F.element_at("edges", 1))
                     & (F.col("value") <= F.element_at("edges", -1)))

@@ -38,7 +38,8 @@ def drift_scenarios(spark: SparkSession, sf_dir: str, scenarios: list[str] | Non
         cur_ok = F.lit(True) if cond is None else F.expr(cond)
         tags.append(F.when(is_base, F.struct(F.lit(name).alias("scenario"), F.lit("b").alias("side")))
                     .when(cur_ok, F.struct(F.lit(name).alias("scenario"), F.lit("c").alias("side"))))
-    tagged = li.select(*DRIFT_FEATURES, F.explode(F.filter(F.array(*tags), lambda x: x.isNotNull())).alias("t"))
+    # explode then drop the NULL tags (a lambda filter would leave whole-stage codegen)
+    tagged = li.select(*DRIFT_FEATURES, F.explode(F.array(*tags)).alias("t")).where(F.col("t").isNotNull())
     return tagged.select("t.scenario", "t.side", *DRIFT_FEATURES)
 
 

@@ -94,10 +94,14 @@ def drift_alerts(verdicts: DataFrame, overall: DataFrame, segments: list[str],
                  run_date: str, dag_id: str) -> DataFrame:
     """Alert rows for the segments that should alert (the webhook post is not built:
     the alert table is the sink)."""
-    drifted = verdicts.where(F.col("status") != "ok").groupBy(*segments).agg(
+    keys = segments or ["_all"]
+    if not segments:     # one verdict: join the two one-row tables on a constant key
+        verdicts = verdicts.withColumn("_all", F.lit(1))
+        overall = overall.withColumn("_all", F.lit(1))
+    drifted = verdicts.where(F.col("status") != "ok").groupBy(*keys).agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("feature_idx", "feature"))),
                                  lambda x: x["feature"]), ", ").alias("drifted_list"))
-    o = overall.where(F.col("should_alert")).join(drifted, on=segments, how="left")
+    o = overall.where(F.col("should_alert")).join(drifted, on=keys, how="left")
     status = F.col("overall_status")
     emoji = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for kv in SEVERITY_EMOJI.items() for x in kv]), status),
                        F.lit(UNKNOWN_EMOJI))

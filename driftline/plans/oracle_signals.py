@@ -149,7 +149,12 @@ def oracle_queries() -> dict[str, str]:
                  "avg_acceleration, ts")
     wp = warm + "," + prediction_ctes()
     sp = steady + "," + prediction_ctes()
+    k = "CAST(json_extract_string(props, '$.k') AS DOUBLE)"
     return {
+        "parse_events": f"SELECT event_id, CAST(user_id AS VARCHAR) AS model, ts, "
+                        f"{_d(100.0)} + value / {_d(10.0)} AS f1, {_d(100.0)} + {k} / {_d(10.0)} AS f2, "
+                        f"{_d(100.0)} + (value + {k}) / {_d(20.0)} AS f3, value AS prediction, true AS valid "
+                        f"FROM events",
         "explode_features": f"SELECT event_id, model, ts, fpos, feature, x FROM ({long_sql('warm')}) u "
                             f"WHERE x IS NOT NULL AND NOT isnan(x)",
         "baseline_ema": f"{steady} SELECT event_id, model, feature, t, {rnd('baseline_mean', 6)} AS baseline_mean, "

@@ -9,13 +9,22 @@ from driftline.functions.numeric import round_half_even
 from driftline.operators import reads
 from driftline.operators.scoring import predictions
 from driftline.operators.signals import compute_signals, explode_features, model_state, signal_rows
-from driftline.sources.tables import event_stream
+from driftline.sources.files import parse_events
+from driftline.sources.tables import event_payloads, event_stream
 
 
 def all_rows(spark: SparkSession, sf_dir: str, variant: str = "warm") -> DataFrame:
     return compute_signals(explode_features(event_stream(spark, sf_dir, variant)))
 
 
+def q_parse_events(spark, sf_dir) -> DataFrame:
+    """Events as JSON request bodies, parsed back into typed rows (intake)."""
+    p = parse_events(event_payloads(spark, sf_dir, "warm"))
+    return p.select("event_id", "model", "ts",
+                    *[F.col("features").getItem(f).alias(f) for f in ("f1", "f2", "f3")],
+                    "prediction", "valid")
+
+
 def q_explode_features(spark, sf_dir) -> DataFrame:
     return explode_features(event_stream(spark, sf_dir, "warm"))
 
@@ -105,6 +114,7 @@ def q_pipeline_metrics(spark, sf_dir) -> DataFrame:
 
 
 QUERIES = {
+    "parse_events": q_parse_events,
     "explode_features": q_explode_features,
     "baseline_ema": q_baseline_ema,
     "signals": q_signals,

@@ -98,7 +98,7 @@ def event_payloads(spark: SparkSession, sf_dir: str, variant: str = "warm") -> D
     (epoch seconds), i.e. what the intake receives."""
     inf = event_stream(spark, sf_dir, variant)
     body = F.to_json(F.struct(
-        F.col("model"), (F.unix_micros(F.col("ts")).cast("double") / F.lit(1e6)).alias("timestamp"),
+        F.col("model"), (F.unix_micros(F.col("ts").cast("timestamp")).cast("double") / F.lit(1e6)).alias("timestamp"),
         F.col("features"), F.col("prediction")))
     return inf.select("event_id", body.alias("payload"))
 

@@ -28,18 +28,20 @@ def _scenario_rows() -> str:
     return vals, " OR ".join(conds)
 
 
-def base_ctes(buckets: int = 10) -> str:
+def base_ctes(buckets: int = 10, tagged_sql: str | None = None) -> str:
     vals, conds = _scenario_rows()
     base = f"l_shipdate < TIMESTAMP '{BASELINE_END}'"
+    if tagged_sql is None:
+        tagged_sql = f"""SELECT sc.scenario, CASE WHEN {base} THEN 'b' ELSE 'c' END AS side, li.*
+  FROM lineitem li CROSS JOIN (VALUES {vals}) AS sc(scenario)
+  WHERE ({base}) OR ({conds})"""
     unions = " UNION ALL ".join(
         f"SELECT scenario, side, {i} AS feature_idx, '{f}' AS feature, CAST({f} AS DOUBLE) AS value FROM tagged"
         for i, f in enumerate(DRIFT_FEATURES))
     step = 100.0 / buckets
     return f"""
 tagged AS (
-  SELECT sc.scenario, CASE WHEN {base} THEN 'b' ELSE 'c' END AS side, li.*
-  FROM lineitem li CROSS JOIN (VALUES {vals}) AS sc(scenario)
-  WHERE ({base}) OR ({conds})
+  {tagged_sql}
 ),
 long AS (
   SELECT * FROM ({unions}) u WHERE value IS NOT NULL AND NOT isnan(value)
@@ -239,4 +241,16 @@ WHERE o.should_alert"""
         "drift_verdict": f"{w} SELECT * FROM overall_out",
         "drift_report": report,
         "drift_alerts": alerts,
+        "drift_kl": f"""{w},
+kl_terms AS (
+  SELECT scenario, feature_idx, feature,
+         list_sort(list(struct_pack(bin := bin, term := pct_baseline * ln(pct_baseline / pct_current)))) AS terms
+  FROM psi_bins GROUP BY ALL
+)
+SELECT t.scenario, t.feature_idx, t.feature,
+       {rnd(f"CASE WHEN t.n_baseline = 0 OR t.n_current = 0 THEN NULL ELSE coalesce({numpy_sum_expr('k.terms[{i} + 1].term', 'len(k.terms)', 10)}, CAST(0.0 AS DOUBLE)) END", 6)} AS kl
+FROM totals t LEFT JOIN kl_terms k ON k.scenario = t.scenario AND k.feature = t.feature""",
+        "segment_psi": "WITH " + base_ctes(tagged_sql=f"""SELECT l_returnflag AS scenario,
+    CASE WHEN l_shipdate < TIMESTAMP '{BASELINE_END}' THEN 'b' ELSE 'c' END AS side, li.* FROM lineitem li""")
+        + " SELECT scenario AS segment, feature_idx, feature, psi, severity FROM psi_out",
     }

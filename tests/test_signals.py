@@ -108,3 +108,20 @@ def test_ttf_branches():
         t1 = (-v + np.sqrt(disc)) / (2 * 0.5 * a)
         return max(1, int(t1 * 60))
     assert got == [ref(*r) for r in rows]
+
+
+def test_rolling_stats_across_blocks_matches_pandas(spark):
+    import pandas as pd
+    from driftline.operators.extras import rolling_stats
+    rng = np.random.default_rng(2)
+    x = rng.normal(50, 5, 300)
+    x[150] = 120.0
+    df = spark.createDataFrame([("m", "f", i, float(v)) for i, v in enumerate(x)],
+                               "model string, feature string, t long, x double")
+    got = rolling_stats(df, ["model", "feature"], block=32).orderBy("t").toPandas()
+    s = pd.Series(x)
+    exp_m = s.rolling(20, min_periods=1).mean().round(6)
+    exp_s = s.rolling(20, min_periods=2).std().round(6)
+    assert np.allclose(got["rolling_mean"], exp_m, atol=1e-6)
+    assert np.allclose(got["rolling_std"].fillna(-1), exp_s.fillna(-1), atol=1e-6)
+    assert bool(got.loc[150, "outlier"]) and got["outlier"].sum() >= 1

@@ -1,4 +1,4 @@
-"""Capabilities the reference documents but does not implement (our semantics):
+"""Capabilities described for drift monitoring but given no exact definition (our semantics):
 
 * KL divergence between baseline and current bucket shares (same buckets as PSI);
 * rolling statistics and z-score outlier flags per (model, feature);

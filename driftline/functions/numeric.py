@@ -47,6 +47,25 @@ def ordered_sum_expr(arr: str, field: str | None = None) -> str:
     return f"aggregate({arr}, CAST(0.0 AS DOUBLE), (acc, x) -> acc + {x})"
 
 
+def numpy_sum_sql(arr: str) -> str:
+    """Spark SQL text: numpy's summation order over a whole array column (any length
+    below 128), written with ``aggregate`` so the expression stays small.
+
+    Fewer than 8 values: a left fold.  Otherwise eight partial sums over the first
+    ``n - n % 8`` values (r_j = a[j] + a[j+8] + ...), combined pairwise, then the rest
+    added in order."""
+    n = f"size({arr})"
+    full = f"({n} - {n} % 8)"
+
+    def r(j: int) -> str:
+        return (f"aggregate(sequence(0, {full} div 8 - 1), CAST(0.0 AS DOUBLE), "
+                f"(acc, m) -> acc + {arr}[{j} + 8 * m])")
+    head = f"((({r(0)} + {r(1)}) + ({r(2)} + {r(3)})) + (({r(4)} + {r(5)}) + ({r(6)} + {r(7)})))"
+    tail = f"aggregate(slice({arr}, {full} + 1, {n} % 8), {head}, (acc, x) -> acc + x)"
+    fold = f"aggregate({arr}, CAST(0.0 AS DOUBLE), (acc, x) -> acc + x)"
+    return f"(CASE WHEN {n} < 8 THEN {fold} ELSE {tail} END)"
+
+
 def numpy_sum_expr(term: str, n: str, max_n: int) -> str:
     """SQL text reproducing numpy's summation order for ``n <= max_n < 128`` terms.
 

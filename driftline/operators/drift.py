@@ -27,7 +27,7 @@ from pyspark.sql.types import (BooleanType, ByteType, DecimalType, DoubleType, F
                                IntegerType, LongType, ShortType)
 
 from driftline.functions.kolmogorov import kolmogorov_sf_expr
-from driftline.functions.numeric import is_finite_value, numpy_sum_expr, round_half_even, round_stat
+from driftline.functions.numeric import is_finite_value, numpy_sum_sql, round_half_even, round_stat
 from driftline.functions.severity import psi_severity
 from driftline.operators.prefix import keyed_running_sum
 
@@ -211,8 +211,8 @@ class DriftTables:
         term = (F.col("pct_current") - F.col("pct_baseline")) * F.ln(F.col("pct_current") / F.col("pct_baseline"))
         per = b.groupBy(*self.keys).agg(
             F.array_sort(F.collect_list(F.struct(F.col("bin"), term.alias("term")))).alias("terms"))
-        total = numpy_sum_expr("try_element_at(terms, {i} + 1).term", "size(terms)", self.buckets)
-        per = per.withColumn("psi_raw", F.expr(total))
+        total = numpy_sum_sql("tv")
+        per = per.withColumn("tv", F.transform("terms", lambda x: x["term"])).withColumn("psi_raw", F.expr(total))
         # groups with < 2 unique edges have no bins: PSI 0.0 (constant baseline)
         t = self.totals()
         out = t.join(per, on=self.keys, how="left").withColumn(

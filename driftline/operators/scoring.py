@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from driftline.functions.numeric import numpy_sum_expr, ordered_sum_expr, round_half_even
+from driftline.functions.numeric import numpy_sum_sql, ordered_sum_expr, round_half_even
 
 # Risk thresholds on the mean drift / velocity / acceleration,
 # failure threshold 0.25, 60 minutes per step, confidence sample / feature cut-offs,
@@ -30,13 +30,11 @@ CONF_MEDIUM_SAMPLES, CONF_MEDIUM_FEATURES = 50, 3
 ROOT_DATA_ACCELERATION = 0.002
 ROOT_MODEL_VELOCITY = 0.02
 ROOT_DATA_DRIFT = 0.25
-MAX_EXACT_FEATURES = 16
 
 
 def _np_sum(arr: str) -> str:
-    """numpy's summation order for up to 16 values, plain left fold beyond."""
-    exact = numpy_sum_expr(f"try_element_at({arr}, {{i}} + 1)", f"size({arr})", MAX_EXACT_FEATURES)
-    return f"(CASE WHEN size({arr}) <= {MAX_EXACT_FEATURES} THEN {exact} ELSE {ordered_sum_expr(arr)} END)"
+    """numpy's summation order (exact below 128 values, plain left fold beyond)."""
+    return f"(CASE WHEN size({arr}) < 128 THEN {numpy_sum_sql(arr)} ELSE {ordered_sum_expr(arr)} END)"
 
 
 def risk_expr(d, v, a):

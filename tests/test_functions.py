@@ -21,6 +21,17 @@ def test_numpy_sum_order(spark):
         assert g == float(np.sum(np.array(a, dtype=float))), (a, g)
 
 
+def test_numpy_sum_sql_order(spark):
+    from driftline.functions.numeric import numpy_sum_sql
+    rng = random.Random(9)
+    arrays = [[rng.random() * 10 ** rng.randint(-3, 3) for _ in range(n)] for n in range(0, 40)
+              for _ in range(4)]
+    df = spark.createDataFrame([(a,) for a in arrays], "a array<double>")
+    got = [r[0] for r in df.select(F.expr(numpy_sum_sql("a"))).collect()]
+    for a, g in zip(arrays, got):
+        assert g == float(np.sum(np.array(a, dtype=float))), (len(a), g)
+
+
 def test_round_half_even_matches_numpy(spark):
     vals = [0.12345, 0.30555, 1.00005, -0.123456789, 2.5e-5, 0.6583335]
     df = spark.createDataFrame([(v,) for v in vals], "v double")

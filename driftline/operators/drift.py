@@ -26,7 +26,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (BooleanType, ByteType, DecimalType, DoubleType, FloatType,
                                IntegerType, LongType, ShortType)
 
-from driftline.functions.kolmogorov import kolmogorov_sf_expr
+import pandas as pd
+
+from driftline.functions.kolmogorov import EXACT_MAX_N, kolmogorov_sf_expr, ks_pvalue_auto
 from driftline.functions.numeric import is_finite_value, numpy_sum_sql, round_half_even, round_stat
 from driftline.functions.severity import psi_severity
 from driftline.operators.prefix import keyed_running_sum
@@ -81,6 +83,21 @@ def _maybe_broadcast(df: DataFrame, n_groups: int | None) -> DataFrame:
     return df
 
 
+def _exact_p(d: pd.Series, n1: pd.Series, n2: pd.Series) -> pd.Series:
+    out = []
+    for dv, a, b in zip(d, n1, n2):
+        if pd.isna(dv) or pd.isna(a) or pd.isna(b) or a == 0 or b == 0:
+            out.append(None)
+        else:
+            out.append(ks_pvalue_auto(float(dv), int(a), int(b)))
+    return pd.Series(out, dtype="float64")
+
+
+def _exact_p_udf(*cols):
+    # built on first use (a pandas UDF needs a running session)
+    return F.pandas_udf(_exact_p, "double")(*cols)
+
+
 class DriftTables:
     """Lazily built tables shared by the PSI, KS and shift outputs."""
 
@@ -223,8 +240,13 @@ class DriftTables:
                           psi_severity(F.col("psi_raw"), warning, critical).alias("severity"))
 
     # -- KS -------------------------------------------------------------------
-    def ks(self, p_value_threshold: float = 0.05) -> DataFrame:
-        """(keys..., ks_statistic, p_value, drifted)."""
+    def ks(self, p_value_threshold: float = 0.05, p_value_method: str = "asymp") -> DataFrame:
+        """(keys..., ks_statistic, p_value, drifted).
+
+        ``p_value_method``: ``asymp`` - Kolmogorov series in SQL (default of the
+        registered queries); ``auto`` - exact lattice-path probability when both
+        samples have at most 10,000 values, else the series.  The exact form runs in
+        a pandas UDF over the per-feature rows only (sizes and D, never the data)."""
         t = self.totals()
         e = self.ecdf().join(_maybe_broadcast(t, self.n_groups), on=self.keys, how="inner")
         gap = F.abs(F.col("cum_n_b") / F.col("n_baseline") - F.col("cum_n_c") / F.col("n_current"))
@@ -233,6 +255,11 @@ class DriftTables:
         out = t.join(d, on=self.keys, how="left")
         out = out.withColumn("ks_statistic", round_half_even("d_raw", 6))
         p = F.expr(kolmogorov_sf_expr("d_raw", "n_baseline", "n_current"))
+        if p_value_method == "auto":
+            p = F.when(F.greatest("n_baseline", "n_current") <= F.lit(EXACT_MAX_N),
+                       _exact_p_udf(F.col("d_raw"), F.col("n_baseline"), F.col("n_current"))).otherwise(p)
+        elif p_value_method != "asymp":
+            raise ValueError(f"unknown p_value_method {p_value_method!r}")
         out = out.withColumn("p_value", round_half_even(p, 6))
         return out.select(*self.keys, "ks_statistic", "p_value",
                           F.coalesce(F.col("p_value") < F.lit(p_value_threshold), F.lit(False)).alias("drifted"))

@@ -183,6 +183,8 @@ FROM last""",
                          "FROM events ORDER BY ts DESC, event_id DESC LIMIT 100",
         "prediction_history": f"{wp} SELECT event_id, model, risk, time_to_failure, confidence, root_cause, ts "
                               f"FROM pred WHERE model = '42' ORDER BY ts DESC, event_id DESC LIMIT 100",
+        "latest_prediction": f"{wp} SELECT event_id, model, risk, time_to_failure, confidence, root_cause, ts "
+                             f"FROM pred ORDER BY ts DESC, event_id DESC LIMIT 1",
         "latest_predictions": f"""{wp},
 lastp AS (
   SELECT model, arg_max(struct_pack(event_id := event_id, risk := risk, time_to_failure := time_to_failure,

@@ -92,6 +92,11 @@ def q_prediction_history(spark, sf_dir) -> DataFrame:
     return reads.latest(reads.prediction_table(pred), n=100, model="42")
 
 
+def q_latest_prediction(spark, sf_dir) -> DataFrame:
+    _, pred = _tables(spark, sf_dir)
+    return reads.latest_overall(reads.prediction_table(pred))
+
+
 def q_latest_predictions(spark, sf_dir) -> DataFrame:
     _, pred = _tables(spark, sf_dir)
     return reads.latest_per_model(reads.prediction_table(pred))
@@ -127,6 +132,7 @@ QUERIES = {
     "signals_recent_model": q_signals_recent_model,
     "events_recent": q_events_recent,
     "prediction_history": q_prediction_history,
+    "latest_prediction": q_latest_prediction,
     "latest_predictions": q_latest_predictions,
     "recent_trajectory": q_recent_trajectory,
     "active_models": q_active_models,

@@ -67,14 +67,19 @@ def tag_sides(baseline: DataFrame, current: DataFrame, features: list[str],
 
 
 def unpivot(tagged: DataFrame, features: list[str], segments: list[str]) -> DataFrame:
-    """(seg..., side, f1, f2, ...) -> (seg..., feature_idx, feature, side, value), finite only."""
-    cells = F.array(*[F.struct(F.lit(i).alias("feature_idx"), F.lit(f).alias("feature"),
-                                F.col(f).cast("double").alias("value")) for i, f in enumerate(features)])
+    """(seg..., side, f1, f2, ...) -> (seg..., side, feature_idx, value), finite only."""
+    cells = F.array(*[F.struct(F.lit(i).alias("feature_idx"), F.col(f).cast("double").alias("value"))
+                      for i, f in enumerate(features)])
     stacked = tagged.select(*[F.col(s) for s in segments], "side", F.explode(cells).alias("_u"))
-    stacked = stacked.select(*segments, "side", "_u.feature_idx", "_u.feature", "_u.value")
+    stacked = stacked.select(*segments, "side", "_u.feature_idx", "_u.value")
     return stacked.where(is_finite_value("value"))
 
 
+def feature_name(features: list[str]):
+    """The feature name for ``feature_idx`` (the shuffles carry the index only)."""
+    return F.element_at(F.array(*[F.lit(f) for f in features]), F.col("feature_idx") + 1)
+
+
 def _maybe_broadcast(df: DataFrame, n_groups: int | None) -> DataFrame:
     # the group tables hold one row (or a few) per segment x feature; broadcast only
     # when the caller knows that count and it is small, else AQE decides at runtime
@@ -107,6 +112,7 @@ class DriftTables:
         self.features = list(features)
         self.buckets = buckets
         self.keys = [*self.segments, "feature_idx", "feature"]
+        self.ikeys = [*self.segments, "feature_idx"]       # what the large shuffles carry
         self.n_groups = n_groups
         self.long = unpivot(tagged, self.features, self.segments)
         self._ecdf = None
@@ -115,10 +121,12 @@ class DriftTables:
     # -- ECDF -----------------------------------------------------------------
     def ecdf(self) -> DataFrame:
         if self._ecdf is None:
-            counts = self.long.groupBy(*self.keys, "value").agg(
+            counts = self.long.groupBy(*self.ikeys, "value").agg(
                 F.count_if(F.col("side") == "b").alias("n_b"),
                 F.count_if(F.col("side") == "c").alias("n_c"))
-            ecdf = keyed_running_sum(counts, self.keys, [F.col("value")], ["n_b", "n_c"])
+            ecdf = keyed_running_sum(counts, self.ikeys, [F.col("value")], ["n_b", "n_c"])
+            ecdf = ecdf.select(*self.ikeys, feature_name(self.features).alias("feature"),
+                               "value", "n_b", "n_c", "cum_n_b", "cum_n_c")
             # every metric reads this table; its lineage starts at a reliable checkpoint,
             # so a lost cached block is recomputed to the same rows
             self._ecdf = ecdf.persist(StorageLevel.MEMORY_AND_DISK)
@@ -268,13 +276,14 @@ class DriftTables:
     def shift(self) -> DataFrame:
         b = F.col("side") == "b"
         c = F.col("side") == "c"
-        agg = self.long.groupBy(*self.keys).agg(
+        agg = self.long.groupBy(*self.ikeys).agg(
             F.avg(F.when(b, F.col("value"))).alias("bm"),
             F.avg(F.when(c, F.col("value"))).alias("cm"),
             F.var_samp(F.when(b, F.col("value"))).alias("bv"),
             F.var_samp(F.when(c, F.col("value"))).alias("cv"))
         mean_pct = F.abs(F.col("cm") - F.col("bm")) / (F.abs(F.col("bm")) + F.lit(SHIFT_EPSILON)) * F.lit(100.0)
         var_pct = F.abs(F.col("cv") - F.col("bv")) / (F.abs(F.col("bv")) + F.lit(SHIFT_EPSILON)) * F.lit(100.0)
+        agg = agg.withColumn("feature", feature_name(self.features))
         return agg.select(
             *self.keys,
             round_stat("bm").alias("baseline_mean"),

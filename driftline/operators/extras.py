@@ -3,7 +3,10 @@
 * KL divergence between baseline and current bucket shares (same buckets as PSI);
 * rolling statistics and z-score outlier flags per (model, feature);
 * segment-aware drift (the drift engine's segment columns);
-* embedding cohesion per label and the entropy of a model's risk levels.
+* embedding cohesion per label and the entropy of a model's risk levels;
+* signal fusion: per model min-max normalised mean drift / velocity / acceleration,
+  combined with fixed weights (no pairwise correlation term: it would pair up
+  every feature of a model).
 """
 
 from __future__ import annotations
@@ -17,6 +20,8 @@ from driftline.operators.ema import BLOCK_COL, POS_COL, add_blocks
 
 ROLLING_WINDOW = 20
 Z_OUTLIER = 3.0
+# our weights for the fused score (drift, velocity, acceleration)
+FUSION_WEIGHTS = (0.5, 0.3, 0.2)
 
 
 def kl_divergence(t: DriftTables) -> DataFrame:
@@ -86,3 +91,21 @@ def risk_entropy(pred: DataFrame, group: str = "model", level: str = "risk") ->
     return p.groupBy(group).agg(
         F.first("n").alias("n_predictions"), F.first("levels").alias("n_levels"),
         round_half_even(-F.sum(F.col("p") * F.ln("p")), 6).alias("entropy"))
+
+
+def signal_fusion(pred: DataFrame, weights: tuple[float, float, float] = FUSION_WEIGHTS) -> DataFrame:
+    """Per scored event: each model-level signal min-max normalised over the
+    model's events (NULL when the model's range is 0), and their weighted sum
+    over the available parts.  The per-model ranges are one aggregate with
+    map-side partial aggregation, joined back on the model."""
+    cols = ["avg_drift", "avg_velocity", "avg_acceleration"]
+    scored = pred.where(F.col("avg_drift").isNotNull())
+    rng = scored.groupBy("model").agg(*[F.min(c).alias(f"_lo_{c}") for c in cols],
+                                      *[F.max(c).alias(f"_hi_{c}") for c in cols])
+    j = scored.join(rng, on="model")
+    norm = {c: F.try_divide(F.col(c) - F.col(f"_lo_{c}"), F.col(f"_hi_{c}") - F.col(f"_lo_{c}")) for c in cols}
+    num = sum(F.coalesce(norm[c] * F.lit(w), F.lit(0.0)) for c, w in zip(cols, weights))
+    den = sum(F.when(norm[c].isNotNull(), F.lit(w)).otherwise(F.lit(0.0)) for c, w in zip(cols, weights))
+    return j.select("event_id", "model",
+                    *[round_half_even(norm[c], 6).alias(f"norm_{c[4:]}") for c in cols],
+                    round_half_even(F.try_divide(num, den), 6).alias("fused_score"))

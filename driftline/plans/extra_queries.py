@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from driftline.operators.extras import embedding_cohesion, kl_divergence, risk_entropy, rolling_stats
+from driftline.operators.extras import (embedding_cohesion, kl_divergence, risk_entropy, rolling_stats,
+                                       signal_fusion)
 from driftline.operators.scoring import predictions
 from driftline.operators.signals import KEYS, explode_features, positions
 from driftline.plans import drift_queries
@@ -39,7 +40,12 @@ def q_risk_entropy(spark, sf_dir) -> DataFrame:
     return risk_entropy(predictions(all_rows(spark, sf_dir, "warm")))
 
 
+def q_signal_fusion(spark, sf_dir) -> DataFrame:
+    return signal_fusion(predictions(all_rows(spark, sf_dir, "warm")))
+
+
 QUERIES = {
+    "signal_fusion": q_signal_fusion,
     "drift_kl": q_drift_kl,
     "segment_psi": q_segment_psi,
     "rolling_stats": q_rolling_stats,

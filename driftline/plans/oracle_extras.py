@@ -38,4 +38,18 @@ tot AS (SELECT model, sum(c) AS n, count(*) AS levels FROM cnt GROUP BY model)
 SELECT cnt.model, CAST(tot.n AS BIGINT) AS n_predictions, tot.levels AS n_levels,
        {rnd('-sum((CAST(c AS DOUBLE) / CAST(n AS DOUBLE)) * ln(CAST(c AS DOUBLE) / CAST(n AS DOUBLE)))', 6)} AS entropy
 FROM cnt JOIN tot ON tot.model = cnt.model GROUP BY cnt.model, tot.n, tot.levels"""
-    return {"rolling_stats": roll, "embedding_cohesion": cohesion, "risk_entropy": entropy}
+    def nz(c):
+        return f"CASE WHEN hi_{c} - lo_{c} = 0 THEN NULL ELSE ({c} - lo_{c}) / (hi_{c} - lo_{c}) END"
+    cols = [("avg_drift", 0.5), ("avg_velocity", 0.3), ("avg_acceleration", 0.2)]
+    num = " + ".join(f"coalesce(({nz(c)}) * CAST({w} AS DOUBLE), CAST(0.0 AS DOUBLE))" for c, w in cols)
+    den = " + ".join(f"CASE WHEN ({nz(c)}) IS NOT NULL THEN CAST({w} AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END"
+                     for c, w in cols)
+    fusion = "WITH RECURSIVE " + signal_ctes("warm") + "," + prediction_ctes() + f""",
+scored AS (SELECT * FROM pred WHERE avg_drift IS NOT NULL),
+r AS (SELECT model, {', '.join(f'min({c}) AS lo_{c}, max({c}) AS hi_{c}' for c, _ in cols)} FROM scored GROUP BY model),
+j AS (SELECT s.*, {', '.join(f'r.lo_{c}, r.hi_{c}' for c, _ in cols)} FROM scored s JOIN r ON r.model = s.model)
+SELECT event_id, model, {', '.join(rnd(nz(c), 6) + f' AS norm_{c[4:]}' for c, _ in cols)},
+       {rnd(f"CASE WHEN ({den}) = 0 THEN NULL ELSE ({num}) / ({den}) END", 6)} AS fused_score
+FROM j"""
+    return {"rolling_stats": roll, "embedding_cohesion": cohesion, "risk_entropy": entropy,
+            "signal_fusion": fusion}

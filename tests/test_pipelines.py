@@ -85,3 +85,15 @@ def test_retrain_counter_semantics(spark):
     reg = model_registry(retrain_decisions(runs)).collect()
     assert len(reg) == 2 and reg[0]["model_version"].startswith("v_2024010")
     assert reg[0]["consecutive_drift_runs"] == 3 and len(reg[0]["run_id"]) == 10
+
+
+def test_json_document_and_extension_case(spark):
+    import json
+    import os
+    base = scratch_path(spark, "json-doc")
+    os.makedirs(base, exist_ok=True)
+    path = os.path.join(base, "day.JSON")
+    with open(path, "w") as f:
+        json.dump([{"a": 1.5, "b": "x"}, {"a": 2.5, "b": None}], f)
+    df = read_table(spark, path, json_document=True)
+    assert sorted(r["a"] for r in df.collect()) == [1.5, 2.5]

@@ -87,12 +87,9 @@ def test_retrain_counter_semantics(spark):
     assert reg[0]["consecutive_drift_runs"] == 3 and len(reg[0]["run_id"]) == 10
 
 
-def test_json_document_and_extension_case(spark):
+def test_json_document_and_extension_case(spark, tmp_path):
     import json
-    import os
-    base = scratch_path(spark, "json-doc")
-    os.makedirs(base, exist_ok=True)
-    path = os.path.join(base, "day.JSON")
+    path = str(tmp_path / "day.JSON")
     with open(path, "w") as f:
         json.dump([{"a": 1.5, "b": "x"}, {"a": 2.5, "b": None}], f)
     df = read_table(spark, path, json_document=True)

@@ -26,5 +26,8 @@ def test_plan_properties(spark):
     assert "CartesianProduct" not in sig_plan
     snap = _plan(q["snapshot_day"](spark, SF_SMALL))
     assert "PartitionFilters: [isnotnull(snapshot_date" in snap
+    for name in ("recent_inference", "training_dataset"):
+        plan = _plan(q[name](spark, SF_SMALL))
+        assert "PartitionFilters: [isnotnull(snapshot_date" in plan, name
     ks_plan = _plan(q["drift_psi"](spark, SF_SMALL))
     assert "ReadSchema: struct<l_linenumber:int,l_quantity:double" in ks_plan or "Scan" in ks_plan

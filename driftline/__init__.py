@@ -1,0 +1,3 @@
+"""driftline: model-drift and failure-trajectory analytics on Spark DataFrames."""
+
+__version__ = "0.1.0"

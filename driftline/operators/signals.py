@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from driftline.functions.numeric import is_finite_value, round_half_even
-from driftline.operators.ema import BLOCK_COL, POS_COL, add_blocks, block_lag, ema_scan
+from driftline.operators.ema import BLOCK_COL, add_blocks, block_lag, ema_scan
 from driftline.operators.prefix import keyed_positions, pin
 
 KEYS = ["model", "feature"]

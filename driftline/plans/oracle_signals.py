@@ -6,9 +6,6 @@ from __future__ import annotations
 from driftline.functions.numeric import numpy_sum_expr
 from driftline.plans.oracle_drift import rnd
 
-DBL = "CAST({} AS DOUBLE)"
-
-
 def _d(x) -> str:
     return f"CAST({x!r} AS DOUBLE)"
 

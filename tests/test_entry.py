@@ -1,4 +1,3 @@
-from pyspark.sql import functions as F  # noqa: F401
 
 import __spark_entry__ as E
 from tests.conftest import SF_SMALL

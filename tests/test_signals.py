@@ -2,7 +2,6 @@ import datetime as dt
 import random
 
 import numpy as np
-import pytest
 
 from driftline.operators.scoring import predictions
 from driftline.operators.signals import compute_signals, explode_features

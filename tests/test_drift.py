@@ -111,3 +111,22 @@ def test_exact_p_value_mode(spark):
     r = res.ks.collect()[0]
     d = ref_ks_d(base.v.to_numpy(), cur.v.to_numpy())
     assert r["p_value"] == pytest.approx(round(ks_pvalue_exact(d, 60, 40), 6), abs=1e-9)
+
+
+def test_ks_symmetric_bounded_and_severity_monotone(spark):
+    rng = np.random.default_rng(12)
+    a = pd.DataFrame({"v": rng.normal(0, 1, 400), "w": rng.integers(0, 4, 400).astype(float)})
+    b = pd.DataFrame({"v": rng.normal(0.2, 1.5, 300), "w": rng.integers(0, 6, 300).astype(float)})
+    ab = {r["feature"]: r["ks_statistic"] for r in monitor_drift(*_frames(spark, a, b)).ks.collect()}
+    ba = {r["feature"]: r["ks_statistic"] for r in monitor_drift(*_frames(spark, b, a)).ks.collect()}
+    assert ab == ba and all(0.0 <= d <= 1.0 for d in ab.values())
+    # verdict severity never decreases when the current side moves further away
+    ranks = {"ok": 0, "warning": 1, "critical": 2}
+    prev = -1
+    for shift in (0.0, 0.2, 0.5, 1.0, 3.0):
+        cur = pd.DataFrame({"v": rng.normal(10 + shift, 1, 400)})
+        base = pd.DataFrame({"v": rng.normal(10, 1, 400)})
+        st = monitor_drift(*_frames(spark, base, cur)).overall.collect()[0]["overall_status"]
+        assert ranks[st] >= prev or shift == 0.0
+        prev = max(prev, ranks[st])
+    assert prev == 2

@@ -160,12 +160,12 @@ def oracle_queries() -> dict[str, str]:
         "signals_steady": f"{steady} SELECT {sig_cols} FROM allrows WHERE t >= 1",
         "model_state": f"""{warm},
 last AS (
-  SELECT model, feature, arg_max(struct_pack(drift := drift, velocity := velocity, acceleration := acceleration,
-                                             samples := samples), struct_pack(ts := ts, event_id := event_id)) AS s
-  FROM allrows GROUP BY model, feature
+  SELECT model, feature, drift, velocity, acceleration, samples FROM (
+    SELECT *, row_number() OVER (PARTITION BY model, feature ORDER BY ts DESC, event_id DESC) AS rn FROM allrows
+  ) WHERE rn = 1
 )
-SELECT model, feature, coalesce(s.drift, {_d(0.0)}) AS drift, coalesce(s.velocity, {_d(0.0)}) AS velocity,
-       coalesce(s.acceleration, {_d(0.0)}) AS acceleration, CAST(s.samples AS BIGINT) AS samples,
+SELECT model, feature, coalesce(drift, {_d(0.0)}) AS drift, coalesce(velocity, {_d(0.0)}) AS velocity,
+       coalesce(acceleration, {_d(0.0)}) AS acceleration, CAST(samples AS BIGINT) AS samples,
        true AS initialized, count(*) OVER (PARTITION BY model) AS feature_count
 FROM last""",
         "model_prediction": f"{wp} SELECT {pred_cols} FROM pred",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftline.llm import quality, toxicity
+from driftline.llm import quality, simhash, toxicity
 from driftline.llm.common import held_out, table
 
 
@@ -21,5 +21,11 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
-QUERIES = {"op1_quality": op1_quality, "op2_toxicity": op2_toxicity}
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash groups over all documents: 4-word shingles, at most 4 bits (see ``simhash``)."""
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, bits=4)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+QUERIES = {"op1_quality": op1_quality, "op2_toxicity": op2_toxicity, "op7_simhash": op7_simhash}
 ORACLES: dict[str, str] = {}

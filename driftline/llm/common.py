@@ -17,6 +17,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_path(name: str) -> str:
+    """Where the installed package of public vocabularies keeps a file."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
 def held_out(doc_id: Column) -> Column:
     """True where crc32 of the id's decimal text leaves remainder 1 by 3.
 

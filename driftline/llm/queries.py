@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftline.llm import quality, simhash, toxicity
-from driftline.llm.common import held_out, table
+from driftline.llm import contamination, packing, quality, simhash, toxicity
+from driftline.llm.common import held_out, table, tokenizer_path
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,5 +27,31 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {"op1_quality": op1_quality, "op2_toxicity": op2_toxicity, "op7_simhash": op7_simhash}
-ORACLES: dict[str, str] = {}
+def op9_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every benchmark item that a document holds to 0.8 or more (see ``contamination``)."""
+    return contamination.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of at most 2048 tokens (see ``packing``)."""
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), 2048)
+
+
+_SHINGLES = """
+SELECT DISTINCT {key}, array_to_string(w[i:i + 4], ' ') AS s
+FROM (SELECT {key}, regexp_extract_all(lower(text), '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+') AS w FROM {table}),
+     unnest(range(1, greatest(1, len(w) - 4) + 1)) AS r(i)
+WHERE len(w) > 0"""
+
+_CONTAMINATION = f"""
+WITH d AS ({_SHINGLES.format(key="doc_id", table="documents")}),
+     b AS ({_SHINGLES.format(key="item_id", table="benchmark")}),
+     size AS (SELECT item_id, count(*) AS n_shingles FROM b GROUP BY item_id)
+SELECT doc_id, item_id, n_shingles, count(*) AS n_common, count(*) / n_shingles AS containment
+FROM d JOIN b USING (s) JOIN size USING (item_id)
+GROUP BY doc_id, item_id, n_shingles
+HAVING count(*) >= 0.8 * n_shingles - 1e-9"""
+
+QUERIES = {"op1_quality": op1_quality, "op2_toxicity": op2_toxicity, "op7_simhash": op7_simhash,
+           "op9_contamination": op9_contamination, "op10_packing": op10_packing}
+ORACLES = {"op9_contamination": _CONTAMINATION}

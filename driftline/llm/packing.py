@@ -29,6 +29,7 @@ import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -39,11 +40,13 @@ from driftline.llm.common import written
 
 CAPACITY = 2048
 END_ID = 0
-SMALL = CAPACITY // 12  # pieces up to this length are small
-GROUPS = 40
-CACHE_CHUNKS = 500_000
+SMALL = CAPACITY // 3   # pieces up to this length are small
+GROUPS = 12
+CACHE_CHUNKS = 800_000
 CACHED_BYTES = 64
 
+_SYMBOLS = b".,;:!?%$#&*|"
+
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -62,7 +65,16 @@ class Ids(dict):
         return np.array(ids, "<u4").tobytes()
 
     def __missing__(self, chunk: bytes) -> bytes:
-        value = self.encode(chunk)
+        # letters, digits and symbols are never in one token, so a word and the
+        # symbols behind it are looked up apart; case does not matter
+        stem = chunk.rstrip(_SYMBOLS)
+        last = stem[-4:].decode("utf-8", "ignore")[-1:]
+        if stem != chunk and (last.isalpha() or last.isdecimal()):
+            value = self[stem] + self[chunk[len(stem):]]
+        elif chunk != chunk.lower():
+            value = self[chunk.lower()]
+        else:
+            value = self.encode(chunk)
         if len(chunk) <= CACHED_BYTES:
             if len(self) >= CACHE_CHUNKS:
                 self.clear()
@@ -70,7 +82,9 @@ class Ids(dict):
         return value
 
 
+@lru_cache(maxsize=2)
 def _open(path: str) -> Ids:
+    """One tokenizer and cache for each worker process."""
     from tokenizers import Tokenizer
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True  # such strings in a text are ordinary text
@@ -334,7 +348,7 @@ def pack(documents: DataFrame, tokenizer_path: str, capacity: int = CAPACITY,
     order = ["doc_id", "piece", "start", "ids_crc32"]
     rows = written(ranked(cut, "length", order, "rank"), "packing-ranked")
 
-    small = min(SMALL, capacity // 2)
+    small = capacity // 3 if capacity != CAPACITY else SMALL
     is_large = (F.col("length") > small) & (F.col("length") < capacity)
     plan = plan_large(counts, small, GROUPS, capacity)
     large = rows.where(is_large).withColumn("bin", _sequences(spark, plan))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftline.llm import contamination, packing, quality, simhash, toxicity
+from driftline.llm import contamination, language, packing, quality, simhash, toxicity
 from driftline.llm.common import held_out, table, tokenizer_path
 
 
@@ -21,6 +21,12 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document (see ``language``)."""
+    found = language.identify(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash groups over all documents: 4-word shingles, at most 4 bits (see ``simhash``)."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, bits=4)
@@ -52,6 +58,6 @@ FROM d JOIN b USING (s) JOIN size USING (item_id)
 GROUP BY doc_id, item_id, n_shingles
 HAVING count(*) >= 0.8 * n_shingles - 1e-9"""
 
-QUERIES = {"op1_quality": op1_quality, "op2_toxicity": op2_toxicity, "op7_simhash": op7_simhash,
+QUERIES = {"op1_quality": op1_quality, "op2_toxicity": op2_toxicity, "op6_language": op6_language, "op7_simhash": op7_simhash,
            "op9_contamination": op9_contamination, "op10_packing": op10_packing}
 ORACLES = {"op9_contamination": _CONTAMINATION}

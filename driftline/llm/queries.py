@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftline.llm import contamination, language, packing, quality, simhash, toxicity
+from driftline.llm import contamination, language, orderhash, packing, quality, simhash, toxicity, urlfilter
 from driftline.llm.common import held_out, table, tokenizer_path
 
 
@@ -21,6 +21,21 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op4_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every text and of its edited text (see ``orderhash``)."""
+    return orderhash.fingerprint_edits(table(spark, sf_dir, "documents"))
+
+
+# The rules of the query, (verdict, host, path).
+URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
+
+
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rule and the verdict of every page's URL (see ``urlfilter``)."""
+    rules = spark.createDataFrame(URL_RULES, "verdict string, host string, path string")
+    return urlfilter.judge(table(spark, sf_dir, "pages"), rules)
+
+
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document (see ``language``)."""
     found = language.identify(table(spark, sf_dir, "documents"))
@@ -58,6 +73,20 @@ FROM d JOIN b USING (s) JOIN size USING (item_id)
 GROUP BY doc_id, item_id, n_shingles
 HAVING count(*) >= 0.8 * n_shingles - 1e-9"""
 
-QUERIES = {"op1_quality": op1_quality, "op2_toxicity": op2_toxicity, "op6_language": op6_language, "op7_simhash": op7_simhash,
+_URL_FILTER = """
+WITH rest AS (SELECT page_id, CASE WHEN position('://' IN url) > 0 THEN substr(url, position('://' IN url) + 3) END AS rest FROM pages),
+     asked AS (SELECT row_number() OVER () AS n, page_id,
+                      coalesce(translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                         'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+                      coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path FROM rest),
+     rules(v, h, p) AS (VALUES ('block', 'net', '/'), ('allow', 'example.net', '/en/'),
+                               ('block', 'example.com', '/de/'), ('allow', 'org', '/fr/')),
+     fits AS (SELECT n, h || p AS rule, v FROM asked JOIN rules
+              ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)),
+     best AS (SELECT n, arg_max(rule, length(rule)) AS rule, arg_max(v, length(rule)) AS v FROM fits GROUP BY n)
+SELECT page_id, host, path, rule, coalesce(v, 'allow') AS verdict FROM asked LEFT JOIN best USING (n)"""
+
+QUERIES = {"op1_quality": op1_quality, "op2_toxicity": op2_toxicity, "op4_order_minhash": op4_order_minhash, "op5_url_filter": op5_url_filter,
+           "op6_language": op6_language, "op7_simhash": op7_simhash,
            "op9_contamination": op9_contamination, "op10_packing": op10_packing}
-ORACLES = {"op9_contamination": _CONTAMINATION}
+ORACLES = {"op5_url_filter": _URL_FILTER, "op9_contamination": _CONTAMINATION}

@@ -85,6 +85,16 @@ def fingerprint(paths: Iterable[str]) -> str:
     return xxh64_hexdigest("\n".join(sorted(set(paths) & _KNOWN)))
 
 
+def layout_of(paths: Iterable[str]) -> Layout | None:
+    """The layout of the paths' fingerprint; if fields of several layouts are there,
+    the largest layout that is there in full (the first listed among equals)."""
+    paths = set(paths)
+    exact = MAPPINGS.get(fingerprint(paths))
+    if exact:
+        return exact
+    return max((x for x in LAYOUTS if x.paths() <= paths), key=lambda x: len(x.paths()), default=None)
+
+
 _KNOWN = frozenset(p for layout in LAYOUTS for p in layout.paths())
 MAPPINGS = {fingerprint(layout.paths()): layout for layout in LAYOUTS}
 
@@ -113,7 +123,7 @@ def _said(value: object) -> str:
 
 def record_turns(record: object) -> list[tuple[str, str]]:
     """(role, text) of a JSON record, by the mapping of its fingerprint."""
-    layout = MAPPINGS.get(fingerprint(value_paths(record)))
+    layout = layout_of(value_paths(record))
     if layout is None or not isinstance(record, dict):
         return []
     if layout.items:
@@ -141,7 +151,7 @@ def turns_from_json(records: DataFrame, id_col: str, json_col: str) -> DataFrame
 
 def turns_from_table(records: DataFrame, id_col: str) -> DataFrame:
     """(conv_id, turn, role, text) of a table, by the mapping of its schema's fingerprint."""
-    layout = MAPPINGS.get(fingerprint(schema_paths(records.schema)))
+    layout = layout_of(schema_paths(records.schema))
     if layout is None:
         raise ValueError(f"no layout has the fields of {records.columns}")
     key = F.col(id_col).alias("conv_id")

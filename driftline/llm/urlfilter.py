@@ -100,5 +100,6 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow",
              .groupBy("host", "path")
              .agg(F.max_by("best", F.struct(F.length("best.rule"), F.length("host_key"), F.col("best.rule"))).alias("best"))
              .select("host", "path", "best.rule", "best.verdict"))
-    return (asked.join(found, ["host", "path"], "left")
+    # written, so that the join reads two plain shuffles and Spark may split a frequent URL
+    return (asked.join(written(found, "url-found"), ["host", "path"], "left")
             .select("page_id", "host", "path", "rule", F.coalesce("verdict", F.lit(default)).alias("verdict")))

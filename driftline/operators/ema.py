@@ -10,8 +10,9 @@ block, with S_j = sum_{i<=j} a * u_i * q^(-i) (a running window sum):
     y_{t-1} = q^(j-1) * S_{j-1} + q^j   * C_b          (S_{-1} = 0)
 
 C_b, the value carried into block b, is sum_{k=1..K} q^(B(k-1)) * L_{b-k}, where
-L_c = q^(B-1) * S_{B-1} of block c.  K is chosen so that q^(K B) is below double
-precision, so the cut is exact to rounding.  Every window is partitioned by
+L_c = q^(B-1) * S_{B-1} of block c.  K reaches back until q^(K B) is zero in double
+precision: every weight that is not zero is used, so nothing is cut off.  Every
+window is partitioned by
 (key, block), so a key of any length is spread over many tasks; the block
 tables (one row per block) are the only thing that moves for the carries.
 """
@@ -28,8 +29,9 @@ POS_COL = "_j"
 
 
 def carry_blocks(alpha: float, block: int) -> int:
-    """Number of previous blocks whose carry is kept (q^(K*B) < ~1e-16)."""
-    return int(math.ceil(37.0 / (alpha * block))) + 1
+    """Number of previous blocks whose weight q^(K*B) is not zero in double precision."""
+    smallest = math.log(5e-324)
+    return int(math.ceil(smallest / (block * math.log1p(-alpha)))) + 1
 
 
 def add_blocks(df: DataFrame, t_col: str, block: int) -> DataFrame:

@@ -4,21 +4,25 @@ acceleration and their smoothed values, one output row per non-seed value.
 Recurrences (x_0 is the first value of a key; t = 1, 2, ... after it):
 
     m_0 = x_0,  s_0 = max(0.1 |x_0|, 0.01)
-    d_t = min(|x_t - m_{t-1}| / s_{t-1} / 3, 1)
-    m_t = 0.01 x_t + 0.99 m_{t-1};   s_t = 0.01 |x_t - m_t| + 0.99 s_{t-1}
+    D(x, m) = |x - m|, and 0 if that is at most 1e-9 * max(|x|, |x_0|)
+    d_t = 0 if D = 0, 1 if D >= 3 s_{t-1}, else D / s_{t-1} / 3, with D = D(x_t, m_{t-1})
+    m_t = 0.01 x_t + 0.99 m_{t-1};   s_t = 0.01 D(x_t, m_t) + 0.99 s_{t-1}
     E_t = 0.1 d_t + 0.9 E_{t-1}  (E_1 = d_1)
     v_t = mean of the differences of the last <= 10 drifts = (d_t - d_max(1,t-9)) / (min(t,10) - 1), t >= 2
     a_t = the same over velocities v_2.., t >= 3;  EV, EA smoothed like E, seeded by the first value
     emitted: drift = round(E,4), velocity = round(EV,6) (0 before t=2),
              acceleration = round(EA,6) (0 before t=3), samples = min(t, 100)
 
-The mean is scanned centred on x_0 (exact for constant features).  Order within a
+A deviation at rounding level counts as none: after a long run of equal values the
+mean differs from them by rounding only, and the ratio of that to a vanishing s would
+be noise.  No division by s happens where s may be zero.  Batch, stream and oracle
+share this rule.  The mean is scanned centred on x_0 (exact for constant features).  Order within a
 key is (ts, event_id).  See :mod:`driftline.operators.ema` for the scan.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from driftline.functions.numeric import is_finite_value, round_half_even
@@ -36,6 +40,8 @@ SMOOTH_ALPHA = 0.1
 INIT_STD_FRACTION = 0.1
 INIT_STD_MIN = 0.01
 Z_SCALE = 3.0
+# our own: deviations up to this share of max(|x|, |x_0|) count as none
+ROUNDING_LEVEL = 1e-9
 HISTORY = 10
 SAMPLES_CAP = 100
 DEFAULT_BLOCK = 1024
@@ -57,6 +63,12 @@ def positions(long: DataFrame, num_ranges: int | None = None) -> DataFrame:
                            first_cols=["x"], num_ranges=num_ranges)
 
 
+def _deviation(gap: Column) -> Column:
+    """|gap|, and 0 where it is at rounding level."""
+    level = F.greatest(F.abs(F.col("x")), F.abs(F.col("x_first"))) * F.lit(ROUNDING_LEVEL)
+    return F.when(F.abs(gap) <= level, F.lit(0.0)).otherwise(F.abs(gap))
+
+
 def compute_signals(long: DataFrame, block: int = DEFAULT_BLOCK, num_ranges: int | None = None,
                     keep_state: bool = False) -> DataFrame:
     """All rows (seeds included, t = 0) with m, s, d, E, v, EV, a, EA and the
@@ -72,11 +84,13 @@ def compute_signals(long: DataFrame, block: int = DEFAULT_BLOCK, num_ranges: int
     rows = ema_scan(rows, KEYS, "t", "_u_m", a1, block, "mc", "mc_prev")
     # baseline deviation: seed s_0 through u_0 = s_0 / alpha
     s0 = F.greatest(F.abs(F.col("x_first")) * F.lit(INIT_STD_FRACTION), F.lit(INIT_STD_MIN))
-    rows = rows.withColumn("_u_s", F.when(t == 0, s0 / F.lit(a1)).otherwise(F.abs(xc - F.col("mc"))))
+    rows = rows.withColumn("_u_s", F.when(t == 0, s0 / F.lit(a1)).otherwise(_deviation(xc - F.col("mc"))))
     rows = ema_scan(rows, KEYS, "t", "_u_s", a1, block, "s", "s_prev")
     # drift (uses the previous mean and deviation)
-    z = F.abs(xc - F.col("mc_prev")) / F.col("s_prev")
-    rows = rows.withColumn("d", F.when(t >= 1, F.least(z / F.lit(Z_SCALE), F.lit(1.0))))
+    rows = rows.withColumn("_dev", _deviation(xc - F.col("mc_prev")))
+    ratio = (F.when(F.col("_dev") == 0, F.lit(0.0)).when(F.col("_dev") >= F.lit(Z_SCALE) * F.col("s_prev"), F.lit(1.0))
+             .otherwise(F.col("_dev") / F.col("s_prev") / F.lit(Z_SCALE)))
+    rows = rows.withColumn("d", F.when(t >= 1, ratio)).drop("_dev")
     rows = pin(rows)   # cut lineage after the two baseline scans
 
     # velocity from the telescoped mean of differences of the last <= 10 drifts

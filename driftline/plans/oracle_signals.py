@@ -3,7 +3,6 @@ one step per event of each (model, feature) - the plain sequential loop."""
 
 from __future__ import annotations
 
-from driftline.functions.numeric import numpy_sum_expr
 from driftline.plans.oracle_drift import rnd
 
 def _d(x) -> str:
@@ -17,6 +16,9 @@ def long_sql(variant: str) -> str:
         feats = [("f1", f"{_d(100.0)} + value / {_d(10.0)}"),
                  ("f2", f"{_d(100.0)} + {k} / {_d(10.0)}"),
                  ("f3", f"{_d(100.0)} + (value + {k}) / {_d(20.0)}")]
+    elif variant == "flat":
+        model = "event_type"
+        feats = [("level", _d(7.3)), ("step", f"CASE WHEN ts < TIMESTAMP '2024-01-08' THEN {_d(100.0)} ELSE {_d(250.1)} END")]
     else:
         model = "event_type"
         feats = [("value", "value"), ("k", k), ("user_id", "CAST(user_id AS DOUBLE)")]
@@ -33,15 +35,16 @@ long AS (SELECT * FROM ({long_sql(variant)}) u WHERE x IS NOT NULL AND NOT isnan
 seq AS (
   SELECT *, row_number() OVER (PARTITION BY model, feature ORDER BY ts, event_id) - 1 AS t FROM long
 ),
-rec(model, feature, t, m, s, d) AS (
-  SELECT model, feature, t, x, greatest(abs(x) * {_d(0.1)}, {_d(0.01)}), CAST(NULL AS DOUBLE)
+rec(model, feature, t, x0, m, s, d) AS (
+  SELECT model, feature, t, x, x, greatest(abs(x) * {_d(0.1)}, {_d(0.01)}), CAST(NULL AS DOUBLE)
   FROM seq WHERE t = 0
   UNION ALL
-  SELECT q.model, q.feature, q.t,
-         {_d(0.01)} * q.x + {_d(0.99)} * r.m,
-         {_d(0.01)} * abs(q.x - ({_d(0.01)} * q.x + {_d(0.99)} * r.m)) + {_d(0.99)} * r.s,
-         least(abs(q.x - r.m) / r.s / {_d(3.0)}, {_d(1.0)})
-  FROM rec r JOIN seq q ON q.model = r.model AND q.feature = r.feature AND q.t = r.t + 1
+  SELECT model, feature, t, x0, m1,
+         {_d(0.01)} * CASE WHEN abs(x - m1) > level THEN abs(x - m1) ELSE 0 END + {_d(0.99)} * s,
+         CASE WHEN dev <= level THEN {_d(0.0)} ELSE least(coalesce(dev / nullif(s, 0) / {_d(3.0)}, 1), {_d(1.0)}) END
+  FROM (SELECT q.model, q.feature, q.t, q.x, r.x0, r.s, abs(q.x - r.m) AS dev,
+               {_d(0.01)} * q.x + {_d(0.99)} * r.m AS m1, greatest(abs(q.x), abs(r.x0)) * {_d(1e-9)} AS level
+        FROM rec r JOIN seq q ON q.model = r.model AND q.feature = r.feature AND q.t = r.t + 1) step
 ),
 sd AS (
   SELECT q.event_id, q.model, q.ts, q.fpos, q.feature, q.x, q.t, r.m, r.s, r.d,
@@ -83,8 +86,9 @@ allrows AS (
 )"""
 
 
-def _npsum(arr: str) -> str:
-    return numpy_sum_expr(f"{arr}[{{i}} + 1]", f"len({arr})", 16)
+def _fold(arr: str) -> str:
+    """Sum in list order."""
+    return f"list_reduce({arr}, lambda s, x: s + x, {_d(0.0)})"
 
 
 def prediction_ctes() -> str:
@@ -99,10 +103,10 @@ per AS (
 ),
 means AS (
   SELECT event_id, model, ts, len(ds) AS n_features,
-         {_npsum("ds")} / CAST(len(ds) AS DOUBLE) AS d,
-         CASE WHEN len(vs) > 0 THEN {_npsum("vs")} / CAST(len(vs) AS DOUBLE) ELSE {_d(0.0)} END AS v,
-         CASE WHEN len(as_) > 0 THEN {_npsum("as_")} / CAST(len(as_) AS DOUBLE) ELSE {_d(0.0)} END AS a,
-         {_npsum("ss")} / CAST(len(ds) AS DOUBLE) AS avg_samples
+         {_fold("ds")} / CAST(len(ds) AS DOUBLE) AS d,
+         CASE WHEN len(vs) > 0 THEN {_fold("vs")} / CAST(len(vs) AS DOUBLE) ELSE {_d(0.0)} END AS v,
+         CASE WHEN len(as_) > 0 THEN {_fold("as_")} / CAST(len(as_) AS DOUBLE) ELSE {_d(0.0)} END AS a,
+         {_fold("ss")} / CAST(len(ds) AS DOUBLE) AS avg_samples
   FROM per
 ),
 quad AS (
@@ -158,6 +162,7 @@ def oracle_queries() -> dict[str, str]:
                         f"{rnd('baseline_std', 6)} AS baseline_std FROM allrows",
         "signals": f"{warm} SELECT {sig_cols} FROM allrows WHERE t >= 1",
         "signals_steady": f"{steady} SELECT {sig_cols} FROM allrows WHERE t >= 1",
+        "signals_flat": f"WITH RECURSIVE {signal_ctes('flat')} SELECT {sig_cols} FROM allrows WHERE t >= 1",
         "model_state": f"""{warm},
 last AS (
   SELECT model, feature, drift, velocity, acceleration, samples FROM (

@@ -44,6 +44,11 @@ def q_signals_steady(spark, sf_dir) -> DataFrame:
     return signal_rows(all_rows(spark, sf_dir, "steady"))
 
 
+def q_signals_flat(spark, sf_dir) -> DataFrame:
+    """Long flat keys: a constant feature, and a step followed by equal values."""
+    return signal_rows(all_rows(spark, sf_dir, "flat"))
+
+
 def q_model_state(spark, sf_dir) -> DataFrame:
     return model_state(all_rows(spark, sf_dir, "warm"))
 
@@ -124,6 +129,7 @@ QUERIES = {
     "baseline_ema": q_baseline_ema,
     "signals": q_signals,
     "signals_steady": q_signals_steady,
+    "signals_flat": q_signals_flat,
     "model_state": q_model_state,
     "model_prediction": q_model_prediction,
     "time_to_failure": q_time_to_failure,

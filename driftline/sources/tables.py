@@ -70,6 +70,7 @@ def event_stream(spark: SparkSession, sf_dir: str, variant: str = "warm") -> Dat
     * ``warm``: model = user_id (150 models); f1 = 100 + value/10, f2 = 100 + k/10,
       f3 = 100 + (value + k)/20.
     * ``steady``: model = event_type (5 long models); features value, k, user_id.
+    * ``flat``: model = event_type; a constant, and a value that steps once and stays.
     """
     ev = table(spark, sf_dir, "events")
     return events_to_inference(ev, variant)
@@ -87,6 +88,10 @@ def events_to_inference(ev: DataFrame, variant: str = "warm") -> DataFrame:
         model = F.col("event_type")
         feats = F.create_map(F.lit("value"), F.col("value"), F.lit("k"), k,
                              F.lit("user_id"), F.col("user_id").cast("double"))
+    elif variant == "flat":
+        model = F.col("event_type")
+        feats = F.create_map(F.lit("level"), F.lit(7.3), F.lit("step"),
+                             F.when(F.col("ts") < F.lit("2024-01-08").cast("timestamp_ntz"), F.lit(100.0)).otherwise(F.lit(250.1)))
     else:
         raise ValueError(f"unknown event variant {variant!r}")
     return ev.select("event_id", model.alias("model"), F.col("ts"),

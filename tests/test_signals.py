@@ -5,7 +5,7 @@ import numpy as np
 
 from driftline.operators.scoring import predictions
 from driftline.operators.signals import compute_signals, explode_features
-from driftline.streaming.processor import SignalState
+from driftline.streaming.processor import KeySignals
 
 T0 = dt.datetime(2024, 1, 1)
 
@@ -31,9 +31,9 @@ def run_batch(spark, model, series, block=64):
 def run_loop(series):
     out = {}
     for f, xs in series.items():
-        st = SignalState()
+        st = KeySignals()
         for t, x in enumerate(xs):
-            r = st.step(float(x))
+            r = st.feed(float(x))
             if r is not None:
                 out[(f, t)] = r
     return out
@@ -124,3 +124,27 @@ def test_rolling_stats_across_blocks_matches_pandas(spark):
     assert np.allclose(got["rolling_mean"], exp_m, atol=1e-6)
     assert np.allclose(got["rolling_std"].fillna(-1), exp_s.fillna(-1), atol=1e-6)
     assert bool(got.loc[150, "outlier"]) and got["outlier"].sum() >= 1
+
+
+def _same(spark, series, block):
+    sig, _ = run_batch(spark, "m", series, block=block)
+    loop = run_loop(series)
+    assert set(sig) == set(loop)
+    bad = [(k, sig[k], loop[k]) for k in loop if any(abs(a - b) > 2e-6 for a, b in zip(sig[k], loop[k]))]
+    assert not bad, bad[:5]
+    return loop
+
+
+def test_long_constant_and_step_then_flat(spark):
+    loop = _same(spark, {"flat": [7.3] * 20_000}, 1024)
+    assert all(loop["flat", t][0] == 0.0 for t in range(1, 20_000))
+    rng = random.Random(3)
+    steps = {"step": [100.0] * 500 + [250.1] * 11_500, "zero": [5.0] * 3000 + [0.0] * 9000,
+             "walk": [50 + rng.gauss(0, 4) for _ in range(500)] + [61.7] * 11_500}
+    loop = _same(spark, steps, 1024)
+    assert all(loop[f, t][0] < 1e-3 for f in steps for t in (11_900, 11_999))
+
+
+def test_flat_then_jump_saturates(spark):
+    loop = _same(spark, {"x": [3.0] * 7000 + [4.0] * 5}, 64)
+    assert loop["x", 7000][0] == 0.1 and loop["x", 6999][0] == 0.0

@@ -5,11 +5,11 @@ Two forms:
 * ``kolmogorov_sf_expr`` - the limiting Kolmogorov distribution
   ``Q(l) = 2 * sum_{k>=1} (-1)^(k-1) exp(-2 k^2 l^2)`` with ``l = sqrt(n) * D`` and
   ``n = round(n1 * n2 / (n1 + n2))``.  Pure SQL (``aggregate`` over a sequence), so it
-  stays in the JVM and has a DuckDB twin.  Used for large samples.
+  stays in the JVM and has a DuckDB twin.  The default.
 * ``ks_pvalue_exact`` - exact two-sided probability by counting monotone lattice
   paths from (0, 0) to (n1, n2) that stay strictly inside the band
   ``|i/n1 - j/n2| < D``.  It runs on a handful of scalars per feature (sizes and D),
-  never on the data, and is used for samples up to 10,000 per side.
+  never on the data, and only if the caller asks for it.
 """
 
 from __future__ import annotations
@@ -22,7 +22,6 @@ import numpy as np
 # probability is 1 to double precision.
 SERIES_TERMS = 100
 SMALL_LAMBDA = 0.2
-EXACT_MAX_N = 10000
 
 
 def kolmogorov_sf_expr(d: str, n1: str, n2: str) -> str:
@@ -79,11 +78,3 @@ def ks_pvalue_exact(d: float, n1: int, n2: int) -> float:
     log_total = math.lgamma(n1 + n2 + 1) - math.lgamma(n1 + 1) - math.lgamma(n2 + 1)
     p_inside = math.exp(inside_log - log_total) if inside_log > -math.inf else 0.0
     return min(max(1.0 - p_inside, 0.0), 1.0)
-
-
-def ks_pvalue_auto(d: float, n1: int, n2: int) -> float:
-    if d is None or n1 is None or n2 is None or n1 == 0 or n2 == 0:
-        return float("nan")
-    if max(n1, n2) <= EXACT_MAX_N:
-        return ks_pvalue_exact(float(d), int(n1), int(n2))
-    return ks_pvalue_asymp(float(d), int(n1), int(n2))

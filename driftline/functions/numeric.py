@@ -2,8 +2,8 @@
 
 * Rounding is half-to-even of ``x * 10**n`` (what ``numpy.round`` does), written as
   ``rint(x * 10**n) / 10**n``; ``F.round`` would round half-up.
-* Sums whose operand order matters are folded in a stated order, so repeated
-  runs (and the SQL oracle) give the same last bit.
+* Sums whose operand order matters are folded in a stated order (features of an
+  event, buckets of a feature), so repeated runs give the same last bit.
 """
 
 from __future__ import annotations
@@ -18,21 +18,13 @@ def round_half_even(c: Column | str, digits: int) -> Column:
     return F.rint(c * F.lit(scale)) / F.lit(scale)
 
 
-def round_stat(c: Column | str, digits: int = 6, significant: int = 10) -> Column:
-    """Half-even rounding to ``digits`` decimals, but never past ``significant``
-    significant digits: a variance near 1e9 has no reproducible 6th decimal (its
-    value there depends on summation order), so it keeps 10 significant digits."""
+def significant(c: Column | str, digits: int = 10) -> Column:
+    """At most ``digits`` significant digits: the stated tolerance when results of two
+    engines are compared (a variance near 1e9 has no sixth decimal that does not depend
+    on the order of summation).  Operators never use it."""
     c = F.col(c) if isinstance(c, str) else c
-    mag = F.floor(F.log10(F.abs(c)))
-    d = F.when((c == 0) | c.isNull(), F.lit(digits)).otherwise(
-        F.least(F.lit(digits), F.lit(significant - 1) - mag))
-    scale = F.pow(F.lit(10.0), d)
-    return F.rint(c * scale) / scale
-
-
-def nan_to_null(c: Column | str) -> Column:
-    c = F.col(c) if isinstance(c, str) else c
-    return F.nanvl(c, F.lit(None).cast("double"))
+    scale = F.pow(F.lit(10.0), F.lit(digits - 1) - F.floor(F.log10(F.abs(c))))
+    return F.when((c == 0) | c.isNull(), c).otherwise(F.rint(c * scale) / scale)
 
 
 def is_finite_value(c: Column | str) -> Column:
@@ -45,61 +37,3 @@ def ordered_sum_expr(arr: str, field: str | None = None) -> str:
     """SQL text: left fold ``((0 + a1) + a2) + ...`` over an array (in order)."""
     x = f"x.{field}" if field else "x"
     return f"aggregate({arr}, CAST(0.0 AS DOUBLE), (acc, x) -> acc + {x})"
-
-
-def numpy_sum_sql(arr: str) -> str:
-    """Spark SQL text: numpy's summation order over a whole array column (any length
-    below 128), written with ``aggregate`` so the expression stays small.
-
-    Fewer than 8 values: a left fold.  Otherwise eight partial sums over the first
-    ``n - n % 8`` values (r_j = a[j] + a[j+8] + ...), combined pairwise, then the rest
-    added in order."""
-    n = f"size({arr})"
-    full = f"({n} - {n} % 8)"
-
-    def r(j: int) -> str:
-        return (f"aggregate(sequence(0, {full} div 8 - 1), CAST(0.0 AS DOUBLE), "
-                f"(acc, m) -> acc + {arr}[{j} + 8 * m])")
-    head = f"((({r(0)} + {r(1)}) + ({r(2)} + {r(3)})) + (({r(4)} + {r(5)}) + ({r(6)} + {r(7)})))"
-    tail = f"aggregate(slice({arr}, {full} + 1, {n} % 8), {head}, (acc, x) -> acc + x)"
-    fold = f"aggregate({arr}, CAST(0.0 AS DOUBLE), (acc, x) -> acc + x)"
-    return f"(CASE WHEN {n} < 8 THEN {fold} ELSE {tail} END)"
-
-
-def numpy_sum_expr(term: str, n: str, max_n: int) -> str:
-    """SQL text reproducing numpy's summation order for ``n <= max_n < 128`` terms.
-
-    numpy adds fewer than 8 values one after the other; from 8 on it keeps eight
-    running partial sums over the first ``n - n % 8`` values, combines them as
-    ``((r0+r1)+(r2+r3))+((r4+r5)+(r6+r7))`` and then adds the rest in order.
-    ``term`` is a template with ``{i}`` for the 0-based index.
-    """
-    def t(i: int) -> str:
-        return "(" + term.format(i=i) + ")"
-
-    def seq(count: int) -> str:
-        if count == 0:
-            return "CAST(0.0 AS DOUBLE)"
-        s = "(CAST(0.0 AS DOUBLE) + " + t(0) + ")"
-        for i in range(1, count):
-            s = f"({s} + {t(i)})"
-        return s
-
-    def blocked(count: int) -> str:
-        full = count - count % 8
-        r = []
-        for j in range(8):
-            acc = t(j)
-            for i in range(j + 8, full, 8):
-                acc = f"({acc} + {t(i)})"
-            r.append(acc)
-        s = f"((({r[0]} + {r[1]}) + ({r[2]} + {r[3]})) + (({r[4]} + {r[5]}) + ({r[6]} + {r[7]})))"
-        for i in range(full, count):
-            s = f"({s} + {t(i)})"
-        return s
-
-    cases = []
-    for count in range(0, max_n + 1):
-        body = seq(count) if count < 8 else blocked(count)
-        cases.append(f"WHEN {n} = {count} THEN {body}")
-    return "(CASE " + " ".join(cases) + " END)"

@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Severity names and their order (ok < warning < critical).
-SEVERITY_RANK = {"ok": 0, "warning": 1, "critical": 2}
+# The severities are ok < warning < critical.
 
 
 def rank_of(status: Column) -> Column:

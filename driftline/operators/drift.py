@@ -28,8 +28,8 @@ from pyspark.sql.types import (BooleanType, ByteType, DecimalType, DoubleType, F
 
 import pandas as pd
 
-from driftline.functions.kolmogorov import EXACT_MAX_N, kolmogorov_sf_expr, ks_pvalue_auto
-from driftline.functions.numeric import is_finite_value, numpy_sum_sql, round_half_even, round_stat
+from driftline.functions.kolmogorov import kolmogorov_sf_expr, ks_pvalue_exact
+from driftline.functions.numeric import is_finite_value, ordered_sum_expr, round_half_even
 from driftline.functions.severity import psi_severity
 from driftline.operators.prefix import keyed_running_sum
 
@@ -68,6 +68,8 @@ def tag_sides(baseline: DataFrame, current: DataFrame, features: list[str],
 
 def unpivot(tagged: DataFrame, features: list[str], segments: list[str]) -> DataFrame:
     """(seg..., side, f1, f2, ...) -> (seg..., side, feature_idx, value), finite only."""
+    if not features:  # nothing to compare: no rows
+        return tagged.select(*segments, "side", F.lit(0).alias("feature_idx"), F.lit(0.0).alias("value")).where("false")
     cells = F.array(*[F.struct(F.lit(i).alias("feature_idx"), F.col(f).cast("double").alias("value"))
                       for i, f in enumerate(features)])
     stacked = tagged.select(*[F.col(s) for s in segments], "side", F.explode(cells).alias("_u"))
@@ -77,15 +79,9 @@ def unpivot(tagged: DataFrame, features: list[str], segments: list[str]) -> Data
 
 def feature_name(features: list[str]):
     """The feature name for ``feature_idx`` (the shuffles carry the index only)."""
-    return F.element_at(F.array(*[F.lit(f) for f in features]), F.col("feature_idx") + 1)
+    return F.element_at(F.array(*[F.lit(f) for f in features or [""]]), F.col("feature_idx") + 1)
 
 
-def _maybe_broadcast(df: DataFrame, n_groups: int | None) -> DataFrame:
-    # the group tables hold one row (or a few) per segment x feature; broadcast only
-    # when the caller knows that count and it is small, else AQE decides at runtime
-    if n_groups is not None and n_groups <= GROUP_BROADCAST_LIMIT:
-        return F.broadcast(df)
-    return df
 
 
 def _exact_p(d: pd.Series, n1: pd.Series, n2: pd.Series) -> pd.Series:
@@ -94,7 +90,7 @@ def _exact_p(d: pd.Series, n1: pd.Series, n2: pd.Series) -> pd.Series:
         if pd.isna(dv) or pd.isna(a) or pd.isna(b) or a == 0 or b == 0:
             out.append(None)
         else:
-            out.append(ks_pvalue_auto(float(dv), int(a), int(b)))
+            out.append(ks_pvalue_exact(float(dv), int(a), int(b)))
     return pd.Series(out, dtype="float64")
 
 
@@ -107,13 +103,13 @@ class DriftTables:
     """Lazily built tables shared by the PSI, KS and shift outputs."""
 
     def __init__(self, tagged: DataFrame, features: list[str], segments: list[str] | None = None,
-                 buckets: int = DEFAULT_BUCKETS, n_groups: int | None = None):
+                 buckets: int = DEFAULT_BUCKETS):
         self.segments = list(segments or [])
         self.features = list(features)
         self.buckets = buckets
         self.keys = [*self.segments, "feature_idx", "feature"]
         self.ikeys = [*self.segments, "feature_idx"]       # what the large shuffles carry
-        self.n_groups = n_groups
+        self._groups = None
         self.long = unpivot(tagged, self.features, self.segments)
         self._ecdf = None
         self._totals = None
@@ -140,10 +136,13 @@ class DriftTables:
                 F.sum("n_b").alias("n_baseline"), F.sum("n_c").alias("n_current"))
         return self._totals
 
-    def evaluated(self) -> DataFrame:
-        """Features present on both sides (a side with no finite value is kept
-        with a zero count; PSI / KS then report NULL)."""
-        return self.totals()
+    def per_group(self, df: DataFrame) -> DataFrame:
+        """Broadcast a table of a few rows per group if the groups are few.  They are
+        counted, from the pinned ECDF; beyond the bound the runtime sizes decide.  The
+        result is the same either way."""
+        if self._groups is None:
+            self._groups = self.totals().count()
+        return F.broadcast(df) if self._groups <= GROUP_BROADCAST_LIMIT else df
 
     # -- PSI ------------------------------------------------------------------
     def edge_targets(self) -> DataFrame:
@@ -177,7 +176,7 @@ class DriftTables:
         e = self.ecdf().where(F.col("n_b") > 0).select(
             *self.keys, "value", (F.col("cum_n_b") - F.col("n_b")).alias("first_rank"),
             (F.col("cum_n_b") - 1).alias("last_rank"))
-        look = _maybe_broadcast(look, None if self.n_groups is None else self.n_groups * 2 * (self.buckets + 1))
+        look = self.per_group(look)
         cond = [F.col(k) == F.col(f"_l_{k}") for k in self.keys] + [
             F.col("rank") >= F.col("first_rank"), F.col("rank") <= F.col("last_rank")]
         found = e.join(look, on=cond, how="inner").select(*self.keys, "k", "which", "value")
@@ -195,7 +194,7 @@ class DriftTables:
     def bin_counts(self) -> DataFrame:
         """(keys..., bin, cnt_b, cnt_c): numpy.histogram bins [e_i, e_i+1), last closed,
         values outside the edges not counted."""
-        edges = _maybe_broadcast(self.edges(), self.n_groups)
+        edges = self.per_group(self.edges())
         e = self.ecdf().select(*self.keys, "value", "n_b", "n_c")
         j = e.join(edges, on=self.keys, how="inner")
         n_edges = F.size("edges")
@@ -236,7 +235,7 @@ class DriftTables:
         term = (F.col("pct_current") - F.col("pct_baseline")) * F.ln(F.col("pct_current") / F.col("pct_baseline"))
         per = b.groupBy(*self.keys).agg(
             F.array_sort(F.collect_list(F.struct(F.col("bin"), term.alias("term")))).alias("terms"))
-        total = numpy_sum_sql("tv")
+        total = ordered_sum_expr("tv")
         per = per.withColumn("tv", F.transform("terms", lambda x: x["term"])).withColumn("psi_raw", F.expr(total))
         # groups with < 2 unique edges have no bins: PSI 0.0 (constant baseline)
         t = self.totals()
@@ -251,21 +250,20 @@ class DriftTables:
     def ks(self, p_value_threshold: float = 0.05, p_value_method: str = "asymp") -> DataFrame:
         """(keys..., ks_statistic, p_value, drifted).
 
-        ``p_value_method``: ``asymp`` - Kolmogorov series in SQL (default of the
-        registered queries); ``auto`` - exact lattice-path probability when both
-        samples have at most 10,000 values, else the series.  The exact form runs in
-        a pandas UDF over the per-feature rows only (sizes and D, never the data)."""
+        ``p_value_method`` is the caller's choice and never depends on sizes: ``asymp``
+        (the default everywhere) is the Kolmogorov series in SQL, ``exact`` the
+        lattice-path probability, in a pandas UDF over the per-feature rows (sizes and
+        D, never the data), with work that grows with the product of the sizes."""
         t = self.totals()
-        e = self.ecdf().join(_maybe_broadcast(t, self.n_groups), on=self.keys, how="inner")
+        e = self.ecdf().join(self.per_group(t), on=self.keys, how="inner")
         gap = F.abs(F.col("cum_n_b") / F.col("n_baseline") - F.col("cum_n_c") / F.col("n_current"))
         d = e.where((F.col("n_baseline") > 0) & (F.col("n_current") > 0)).groupBy(*self.keys).agg(
             F.max(gap).alias("d_raw"))
         out = t.join(d, on=self.keys, how="left")
         out = out.withColumn("ks_statistic", round_half_even("d_raw", 6))
         p = F.expr(kolmogorov_sf_expr("d_raw", "n_baseline", "n_current"))
-        if p_value_method == "auto":
-            p = F.when(F.greatest("n_baseline", "n_current") <= F.lit(EXACT_MAX_N),
-                       _exact_p_udf(F.col("d_raw"), F.col("n_baseline"), F.col("n_current"))).otherwise(p)
+        if p_value_method == "exact":
+            p = _exact_p_udf(F.col("d_raw"), F.col("n_baseline"), F.col("n_current"))
         elif p_value_method != "asymp":
             raise ValueError(f"unknown p_value_method {p_value_method!r}")
         out = out.withColumn("p_value", round_half_even(p, 6))
@@ -286,9 +284,9 @@ class DriftTables:
         agg = agg.withColumn("feature", feature_name(self.features))
         return agg.select(
             *self.keys,
-            round_stat("bm").alias("baseline_mean"),
-            round_stat("cm").alias("current_mean"),
+            round_half_even("bm", 6).alias("baseline_mean"),
+            round_half_even("cm", 6).alias("current_mean"),
             round_half_even(mean_pct, 2).alias("mean_shift_pct"),
-            round_stat("bv").alias("baseline_var"),
-            round_stat("cv").alias("current_var"),
+            round_half_even("bv", 6).alias("baseline_var"),
+            round_half_even("cv", 6).alias("current_var"),
             round_half_even(var_pct, 2).alias("var_shift_pct"))

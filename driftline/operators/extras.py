@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from driftline.functions.numeric import numpy_sum_sql, round_half_even
+from driftline.functions.numeric import ordered_sum_expr, round_half_even
 from driftline.operators.drift import DriftTables
 from driftline.operators.ema import BLOCK_COL, POS_COL, add_blocks
 
@@ -30,7 +30,7 @@ def kl_divergence(t: DriftTables) -> DataFrame:
     term = F.col("pct_baseline") * F.ln(F.col("pct_baseline") / F.col("pct_current"))
     per = b.groupBy(*t.keys).agg(
         F.array_sort(F.collect_list(F.struct(F.col("bin"), term.alias("term")))).alias("terms"))
-    total = numpy_sum_sql("tv")
+    total = ordered_sum_expr("tv")
     per = per.withColumn("tv", F.transform("terms", lambda x: x["term"])).withColumn("kl_raw", F.expr(total))
     out = t.totals().join(per, on=t.keys, how="left")
     kl = (F.when((F.col("n_baseline") == 0) | (F.col("n_current") == 0), F.lit(None).cast("double"))

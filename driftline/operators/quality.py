@@ -21,29 +21,34 @@ FLOATING = (FloatType, DoubleType)
 NULLABLE_WARN_RATE = 0.5
 DEFAULT_SPEC_NULL_RATE = 0.1
 DEFAULT_SPEC_MIN_ROWS = 10
+# The message texts below are output values of the check table.
 CHECK_COLS = ["check", "column", "level", "observed", "threshold", "passed", "message"]
 # the numeric pattern accepted by the coercion (plain decimal / exponent / inf / nan)
 NUMERIC_PATTERN = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|inf|infinity|nan)\s*$"
 
 
 @dataclass
-class SchemaSpec:
-    required_columns: list[str] = field(default_factory=list)
-    numeric_columns: list[str] = field(default_factory=list)
-    nullable_columns: list[str] = field(default_factory=list)
-    max_null_rate: float = 0.05
-    min_rows: int = 1
+class SnapshotRules:
+    """What a snapshot must look like: columns that must be there, columns that must be
+    numbers, columns that may be empty (they only warn), the share of nulls allowed
+    elsewhere, and the least number of rows."""
+
+    present: list[str] = field(default_factory=list)
+    numbers: list[str] = field(default_factory=list)
+    may_be_empty: list[str] = field(default_factory=list)
+    null_share: float = 0.05
+    least_rows: int = 1
 
 
 def _is_numeric(dt, accept_bool: bool) -> bool:
     return isinstance(dt, NUMERIC) or (accept_bool and isinstance(dt, BooleanType))
 
 
-def build_default_spec(df: DataFrame) -> SchemaSpec:
+def rules_of_sample(df: DataFrame) -> SnapshotRules:
     """Every column required, numeric columns (no booleans) listed, 10 % nulls, 10 rows."""
     numeric = [f.name for f in df.schema.fields if _is_numeric(f.dataType, accept_bool=False)]
-    return SchemaSpec(required_columns=list(df.columns), numeric_columns=numeric, nullable_columns=[],
-                      max_null_rate=DEFAULT_SPEC_NULL_RATE, min_rows=DEFAULT_SPEC_MIN_ROWS)
+    return SnapshotRules(present=list(df.columns), numbers=numeric, may_be_empty=[],
+                      null_share=DEFAULT_SPEC_NULL_RATE, least_rows=DEFAULT_SPEC_MIN_ROWS)
 
 
 def _pct(rate: F.Column) -> F.Column:
@@ -55,7 +60,7 @@ def _pct_lit(rate: float) -> str:
     return f"{rate:.1%}"
 
 
-def check_table(df: DataFrame, spec: SchemaSpec, group_cols: list[str] | None = None) -> DataFrame:
+def check_table(df: DataFrame, rules: SnapshotRules, group_cols: list[str] | None = None) -> DataFrame:
     """One row per check (and group): row count, required columns, numeric types,
     null rate of every column.  ``passed`` is false for errors and warnings;
     ``level`` is ``error`` / ``warning`` / ``ok``."""
@@ -75,19 +80,19 @@ def check_table(df: DataFrame, spec: SchemaSpec, group_cols: list[str] | None =
     rc = F.col("_rows")
     rows.append(F.struct(
         F.lit("row_count").alias("check"), F.lit(None).cast("string").alias("column"),
-        F.when(rc < spec.min_rows, "error").otherwise("ok").alias("level"),
-        rc.cast("double").alias("observed"), F.lit(float(spec.min_rows)).alias("threshold"),
-        F.when(rc < spec.min_rows, F.format_string(
-            "Snapshot has %d rows; minimum required is %d.", rc, F.lit(spec.min_rows))).alias("message")))
+        F.when(rc < rules.least_rows, "error").otherwise("ok").alias("level"),
+        rc.cast("double").alias("observed"), F.lit(float(rules.least_rows)).alias("threshold"),
+        F.when(rc < rules.least_rows, F.format_string(
+            "Snapshot has %d rows; minimum required is %d.", rc, F.lit(rules.least_rows))).alias("message")))
     # required columns (schema)
-    missing = [c for c in spec.required_columns if c not in data_cols]
+    missing = [c for c in rules.present if c not in data_cols]
     rows.append(F.struct(
         F.lit("required_columns").alias("check"), F.lit(None).cast("string").alias("column"),
         F.lit("error" if missing else "ok").alias("level"),
         F.lit(float(len(missing))).alias("observed"), F.lit(0.0).alias("threshold"),
         F.lit(f"Missing required columns: {missing!r}" if missing else None).cast("string").alias("message")))
     # numeric types (schema; booleans count as numeric here)
-    for c in spec.numeric_columns:
+    for c in rules.numbers:
         if c not in data_cols:
             continue
         ok = _is_numeric(types[c], accept_bool=True)
@@ -100,17 +105,17 @@ def check_table(df: DataFrame, spec: SchemaSpec, group_cols: list[str] | None =
     # null rate of every column
     for c in data_cols:
         rate = F.col(f"_n_{c}")
-        if c in spec.nullable_columns:
+        if c in rules.may_be_empty:
             bad = rate > NULLABLE_WARN_RATE
             lvl = F.when(bad, "warning").otherwise("ok")
             thr = NULLABLE_WARN_RATE
             msg = F.when(bad, F.concat(F.lit(f"Nullable column '{c}' has a high null rate: "), _pct(rate), F.lit(".")))
         else:
-            bad = rate > spec.max_null_rate
+            bad = rate > rules.null_share
             lvl = F.when(bad, "error").otherwise("ok")
-            thr = spec.max_null_rate
+            thr = rules.null_share
             msg = F.when(bad, F.concat(F.lit(f"Column '{c}' null rate "), _pct(rate),
-                                       F.lit(f" exceeds threshold {_pct_lit(spec.max_null_rate)}.")))
+                                       F.lit(f" exceeds threshold {_pct_lit(rules.null_share)}.")))
         rows.append(F.struct(
             F.lit("null_rate").alias("check"), F.lit(c).alias("column"), lvl.alias("level"),
             rate.alias("observed"), F.lit(float(thr)).alias("threshold"), msg.alias("message")))
@@ -122,17 +127,17 @@ def check_table(df: DataFrame, spec: SchemaSpec, group_cols: list[str] | None =
 def validation_summary(checks: DataFrame, group_cols: list[str]) -> DataFrame:
     """Per group: passed = no error (warnings do not fail), error / warning counts."""
     return checks.groupBy(*group_cols).agg(
+        F.max(F.when(F.col("check") == "row_count", F.col("observed"))).cast("long").alias("rows_in"),
         (F.count_if(F.col("level") == "error") == 0).alias("passed"),
         F.count_if(F.col("level") == "error").alias("errors"),
         F.count_if(F.col("level") == "warning").alias("warnings"))
 
 
-def assert_valid(checks: DataFrame) -> None:
-    """Raise when any check is an error (a small driver-side read of the failures)."""
-    errors = checks.where(F.col("level") == "error").select("message").limit(20).collect()
-    if errors:
-        text = "\n".join(f"  [ERROR]   {r['message']}" for r in errors)
-        raise ValueError(f"Inference snapshot validation failed:\nValidation FAILED\n{text}")
+def stop_on_errors(checks: DataFrame) -> None:
+    """Raise with the message of every failed check (a row per group and column at most)."""
+    failed = [r["message"] for r in checks.where(F.col("level") == "error").select("message").collect()]
+    if failed:
+        raise ValueError(f"{len(failed)} snapshot checks failed:\n" + "\n".join(f"- {m}" for m in failed))
 
 
 def coerce_numeric(df: DataFrame, columns: list[str]) -> DataFrame:

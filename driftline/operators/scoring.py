@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from driftline.functions.numeric import numpy_sum_sql, ordered_sum_expr, round_half_even
+from driftline.functions.numeric import ordered_sum_expr, round_half_even
 
 # Risk thresholds on the mean drift / velocity / acceleration,
 # failure threshold 0.25, 60 minutes per step, confidence sample / feature cut-offs,
@@ -32,11 +32,6 @@ ROOT_MODEL_VELOCITY = 0.02
 ROOT_DATA_DRIFT = 0.25
 
 
-def _np_sum(arr: str) -> str:
-    """numpy's summation order (exact below 128 values, plain left fold beyond)."""
-    return f"(CASE WHEN size({arr}) < 128 THEN {numpy_sum_sql(arr)} ELSE {ordered_sum_expr(arr)} END)"
-
-
 def risk_expr(d, v, a):
     return (F.when(F.coalesce(d > RISK_CRITICAL_DRIFT, F.lit(False)) | (a > RISK_CRITICAL_ACCELERATION), "CRITICAL")
             .when((d > RISK_HIGH_DRIFT) | (v > RISK_HIGH_VELOCITY), "HIGH")
@@ -93,10 +88,10 @@ def predictions(all_rows: DataFrame) -> DataFrame:
         F.filter(F.transform("f", lambda x: x["acceleration"]), lambda y: y != 0).alias("as_"),
         F.transform("f", lambda x: x["samples"].cast("double")).alias("ss"))
     n = F.size("ds")
-    d = F.try_divide(F.expr(_np_sum("ds")), n.cast("double"))
-    v = F.when(F.size("vs") > 0, F.expr(_np_sum("vs")) / F.size("vs").cast("double")).otherwise(F.lit(0.0))
-    a = F.when(F.size("as_") > 0, F.expr(_np_sum("as_")) / F.size("as_").cast("double")).otherwise(F.lit(0.0))
-    s = F.try_divide(F.expr(_np_sum("ss")), n.cast("double"))
+    d = F.try_divide(F.expr(ordered_sum_expr("ds")), n.cast("double"))
+    v = F.when(F.size("vs") > 0, F.expr(ordered_sum_expr("vs")) / F.size("vs").cast("double")).otherwise(F.lit(0.0))
+    a = F.when(F.size("as_") > 0, F.expr(ordered_sum_expr("as_")) / F.size("as_").cast("double")).otherwise(F.lit(0.0))
+    s = F.try_divide(F.expr(ordered_sum_expr("ss")), n.cast("double"))
     per = per.select("event_id", "model", "ts", n.alias("n_features"),
                      d.alias("d"), v.alias("v"), a.alias("a"), s.alias("avg_samples"))
     d, v, a = F.col("d"), F.col("v"), F.col("a")

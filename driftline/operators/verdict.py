@@ -38,6 +38,8 @@ def overall_verdict(verdicts: DataFrame, segments: list[str]) -> DataFrame:
         F.max("rank").alias("rank"),
         F.count(F.lit(1)).alias("n_features"),
         F.count_if(F.col("rank") > 0).alias("n_drifted"))
+    # nothing compared (no shared feature) counts as one feature that is ok
+    agg = agg.withColumn("rank", F.coalesce("rank", F.lit(0))).withColumn("n_features", F.greatest("n_features", F.lit(1).cast("long")))
     status = status_of(F.col("rank"))
     return agg.select(
         *segments,

@@ -12,9 +12,11 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftline.operators.quality import (SchemaSpec, build_default_spec, check_table, coerce_numeric,
+from driftline.operators.quality import (SnapshotRules, check_table, coerce_numeric, rules_of_sample,
                                          validation_summary)
 from driftline.operators.retrain import model_registry, retrain_decisions
+from driftline.plans.jobs import ingest_snapshots
+from driftline.plans.monitor import monitor_tagged
 from driftline.session import scratch_path
 from driftline.sources.files import (SNAPSHOT_COL, late_partitions, load_recent, load_snapshot,
                                      load_training, read_snapshots, read_table, save_snapshots, write_table)
@@ -26,10 +28,15 @@ WINDOW_START, WINDOW_END = "2024-01-01", "2024-01-30"
 LATE_DAYS = ["2024-01-10", "2024-01-21"]
 TRAIN_PARQUET_LAST = "2024-01-20"
 TRAIN_CSV_FIRST = "2024-01-15"
+HISTORY_BASELINE_LAST = "2024-01-07"
+HISTORY_FEATURES = ["prediction_score", "feature_1", "feature_2", "feature_3"]
+# strict PSI limits, so that the small daily samples give all three outcomes
+HISTORY_THRESHOLDS = {"psi": {"warning": 0.03, "critical": 0.05}, "mean_shift_pct": 1000.0, "var_shift_pct": 1000.0}
+REGISTRY_LOGGED_AT = "2024-02-01T08:00:00.000000"
 # the ingestion spec: timestamp and score required, score numeric, feature_3 may be null
-INGEST_SPEC = SchemaSpec(required_columns=["timestamp", "prediction_score"],
-                         numeric_columns=["prediction_score"], nullable_columns=["feature_3"],
-                         max_null_rate=0.05, min_rows=10)
+INGEST_SPEC = SnapshotRules(present=["timestamp", "prediction_score"],
+                         numbers=["prediction_score"], may_be_empty=["feature_3"],
+                         null_share=0.05, least_rows=10)
 SNAPSHOT_COLUMNS = ["event_id", "timestamp", "prediction_score", "feature_1", "feature_2", "feature_3",
                     "event_type"]
 
@@ -38,18 +45,6 @@ def _rows(spark, sf_dir) -> DataFrame:
     return inference_rows(spark, sf_dir)
 
 
-def ingest(spark: SparkSession, rows: DataFrame, root: str, spec: SchemaSpec = INGEST_SPEC,
-           fmt: str = "parquet") -> DataFrame:
-    """Validate every day in ``rows`` and save the days that pass (one job for
-    all days: the backfill form of the daily ingestion).  Returns the per-day summary."""
-    checks = check_table(rows, spec, [SNAPSHOT_COL])
-    summary = validation_summary(checks, [SNAPSHOT_COL])
-    counts = rows.groupBy(SNAPSHOT_COL).agg(F.count(F.lit(1)).alias("rows_in"))
-    good = F.broadcast(summary.where(F.col("passed")).select(SNAPSHOT_COL))   # one row per day
-    save_snapshots(rows.join(good, on=SNAPSHOT_COL, how="left_semi"), root, fmt)
-    return summary.join(counts, on=SNAPSHOT_COL)
-
-
 def _snapshot_root(spark, sf_dir, drop_days=()) -> str:
     root = scratch_path(spark, "snapshots")
     rows = _rows(spark, sf_dir)
@@ -61,7 +56,7 @@ def _snapshot_root(spark, sf_dir, drop_days=()) -> str:
 
 def q_ingest_snapshot(spark, sf_dir) -> DataFrame:
     root = scratch_path(spark, "ingest")
-    summary = ingest(spark, _rows(spark, sf_dir), root)
+    summary, _ = ingest_snapshots(_rows(spark, sf_dir), root, INGEST_SPEC, WINDOW_START, WINDOW_END)
     saved = read_snapshots(spark, root).groupBy(SNAPSHOT_COL).agg(F.count(F.lit(1)).alias("rows_saved"))
     return summary.join(saved, on=SNAPSHOT_COL, how="left").select(
         SNAPSHOT_COL, "rows_in", "passed", "errors", "warnings",
@@ -70,7 +65,7 @@ def q_ingest_snapshot(spark, sf_dir) -> DataFrame:
 
 def q_dq_checks(spark, sf_dir) -> DataFrame:
     rows = _rows(spark, sf_dir)
-    spec = build_default_spec(rows.drop(SNAPSHOT_COL))
+    spec = rules_of_sample(rows.drop(SNAPSHOT_COL))
     return check_table(rows, spec, [SNAPSHOT_COL])
 
 
@@ -123,14 +118,18 @@ def q_training_dataset(spark, sf_dir) -> DataFrame:
 
 
 def run_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One drift verdict per day; the status is a deterministic hash of the day's
-    events (largest event id modulo 3) so that all three outcomes occur."""
+    """The verdict of every day after the baseline week, by the drift engine: one segment
+    per day, all days in one job.  Checks take place at 8, 14 and 20 o'clock in turn."""
     rows = _rows(spark, sf_dir)
-    per = rows.groupBy(SNAPSHOT_COL).agg(F.max("event_id").alias("_h"))
-    status = F.element_at(F.array(F.lit("ok"), F.lit("warning"), F.lit("critical")),
-                          (F.col("_h") % 3 + 1).cast("int"))
-    return per.select(F.lit("inference").alias("pipeline"), F.col(SNAPSHOT_COL).alias("run_date"),
-                      status.alias("overall_status"))
+    day = F.col(SNAPSHOT_COL)
+    last = F.lit(HISTORY_BASELINE_LAST).cast("date")
+    # the baseline week counts once for every day of the window
+    days = F.sequence(F.date_add(last, 1), F.lit(WINDOW_END).cast("date"))
+    baseline = rows.where(day <= last).select(*HISTORY_FEATURES, F.explode(days).alias("run_date"), F.lit("b").alias("side"))
+    current = rows.where(day > last).select(*HISTORY_FEATURES, day.alias("run_date"), F.lit("c").alias("side"))
+    found = monitor_tagged(baseline.unionByName(current), HISTORY_FEATURES, ["run_date"], HISTORY_THRESHOLDS)
+    at = F.col("run_date").cast("timestamp") + F.make_interval(hours=F.lit(8) + F.day("run_date") % 3 * 6)
+    return found.overall.select(F.lit("inference").alias("pipeline"), "run_date", "overall_status", at.alias("evaluated_at"))
 
 
 def q_retrain_decisions(spark, sf_dir) -> DataFrame:
@@ -138,7 +137,7 @@ def q_retrain_decisions(spark, sf_dir) -> DataFrame:
 
 
 def q_model_registry(spark, sf_dir) -> DataFrame:
-    return model_registry(retrain_decisions(run_history(spark, sf_dir)))
+    return model_registry(retrain_decisions(run_history(spark, sf_dir)), logged_at=REGISTRY_LOGGED_AT)
 
 
 QUERIES = {

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driftline.operators.drift import feature_columns, tag_sides
-from driftline.operators.quality import SchemaSpec, check_table, validation_summary
+from driftline.operators.quality import SnapshotRules, check_table, validation_summary
 from driftline.operators.retrain import model_registry, retrain_decisions
 from driftline.operators.verdict import write_report_json
 from driftline.plans.monitor import DriftResult, monitor_tagged
@@ -34,7 +34,7 @@ def _partition_overwrite(df: DataFrame, path: str, col: str) -> None:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
 
 
-def ingest_snapshots(raw: DataFrame, root: str, spec: SchemaSpec, start: str, end: str,
+def ingest_snapshots(raw: DataFrame, root: str, spec: SnapshotRules, start: str, end: str,
                      fmt: str = "parquet") -> tuple[DataFrame, DataFrame]:
     """G1 for every day in [start, end] at once: late days (no data), per-day
     validation, and the passing days saved with dynamic partition overwrite.
@@ -50,36 +50,38 @@ def ingest_snapshots(raw: DataFrame, root: str, spec: SchemaSpec, start: str, en
 
 def run_drift_monitor(baseline: DataFrame, snapshot_root: str, run_date: str, results_root: str,
                       n_days: int = 7, thresholds: dict | None = None) -> DriftResult:
-    """G2: baseline vs the last ``n_days`` snapshots; metrics persisted per run date
-    (psi / ks / shift tables and the nested JSON report), alerts appended."""
+    """G2: baseline vs the last ``n_days`` snapshots.  Metrics, verdicts and alerts are kept
+    per run date and the nested report as JSON; a rerun of a day replaces that day."""
     spark = baseline.sparkSession
     current = load_recent(spark, snapshot_root, run_date, n_days)
     features = feature_columns(baseline, current)
-    res = monitor_tagged(tag_sides(baseline, current, features), features, [], thresholds,
-                         n_segments=1, p_value_method="auto")
+    res = monitor_tagged(tag_sides(baseline, current, features), features, [], thresholds)
     day = F.lit(run_date).cast("date")
-    for name, df in (("psi", res.psi), ("ks", res.ks), ("shift", res.shift)):
+    made = {"psi": res.psi, "ks": res.ks, "shift": res.shift, "alerts": res.alerts(run_date, MONITOR_DAG),
+            "verdicts": res.overall.withColumn("evaluated_at", F.current_timestamp())}
+    for name, df in made.items():
         _partition_overwrite(df.withColumn("run_date", day), os.path.join(results_root, name), "run_date")
     write_report_json(res.report(run_date, MONITOR_DAG).withColumn("_one", F.lit(1)), ["_one"],
                       os.path.join(results_root, "report", f"run_date={run_date}"))
-    res.alerts(run_date, MONITOR_DAG).write.mode("append").parquet(os.path.join(results_root, "alerts"))
-    res.overall.withColumn("run_date", day).write.mode("append").parquet(os.path.join(results_root, "verdicts"))
     return res
 
 
 def plan_retraining(spark: SparkSession, history: DataFrame, snapshot_roots: dict[str, str], run_date: str,
-                    out_root: str, thresholds: dict | None = None) -> dict:
-    """G3: decide from the verdict history; when a retrain is triggered for
-    ``run_date``, write the 90-day training set and append the registry record."""
+                    out_root: str, thresholds: dict | None = None) -> list[dict]:
+    """G3: decide for every pipeline from the verdict history.  If any retrain is triggered
+    for ``run_date``, write the 90-day training set and append the registry records.
+    Returns one entry per pipeline that ran on that day."""
     decisions = retrain_decisions(history, thresholds)
     today = decisions.where(F.col("run_date") == F.lit(run_date).cast("date"))
-    row = today.limit(1).collect()
-    if not row or not row[0]["retrain_triggered"]:
-        return {"run_date": run_date, "retrain_triggered": False}
-    dataset = load_training(spark, snapshot_roots, run_date)
-    path = os.path.join(out_root, "training", f"run_date={run_date}")
-    dataset.write.mode("overwrite").parquet(path)
-    reg = model_registry(today)
-    reg.write.mode("append").json(os.path.join(out_root, "model_registry"))
-    rec = reg.collect()[0].asDict()
-    return {"run_date": run_date, "retrain_triggered": True, "dataset": path, **rec}
+    rows = today.orderBy("pipeline").collect()  # one row per pipeline
+    out = [{"pipeline": r["pipeline"], "run_date": run_date, "retrain_triggered": r["retrain_triggered"]} for r in rows]
+    if any(r["retrain_triggered"] for r in rows):
+        path = os.path.join(out_root, "training", f"run_date={run_date}")
+        load_training(spark, snapshot_roots, run_date).write.mode("overwrite").parquet(path)
+        registry = model_registry(today)
+        registry.write.mode("append").json(os.path.join(out_root, "model_registry"))
+        records = {r["pipeline"]: r.asDict() for r in registry.collect()}
+        for entry in out:
+            if entry["retrain_triggered"]:
+                entry.update(records[entry["pipeline"]], dataset=path)
+    return out

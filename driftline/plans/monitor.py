@@ -37,16 +37,13 @@ class DriftResult:
 
 def monitor_tagged(tagged: DataFrame, features: list[str], segments: list[str] | None = None,
                    thresholds: dict | None = None, buckets: int = 10,
-                   n_segments: int | None = None, p_value_method: str = "asymp") -> DriftResult:
+                   p_value_method: str = "asymp") -> DriftResult:
     """Drift for a frame that already has ``side`` (and segment) columns.
 
-    ``n_segments`` (when the caller knows it) bounds the per-group tables, which
-    are then broadcast; otherwise AQE chooses the join from runtime sizes.
-    """
+    Without a shared numeric column there is nothing to compare and the verdict is ok."""
     th = merge_thresholds(thresholds)
     segments = list(segments or [])
-    n_groups = None if (segments and n_segments is None) else (n_segments or 1) * len(features)
-    t = DriftTables(tagged, features, segments, buckets=buckets, n_groups=n_groups)
+    t = DriftTables(tagged, features, segments, buckets=buckets)
     psi = t.psi(th["psi"]["warning"], th["psi"]["critical"])
     ks = t.ks(th["ks_p_value"], p_value_method)
     shift = t.shift()
@@ -58,8 +55,7 @@ def monitor_tagged(tagged: DataFrame, features: list[str], segments: list[str] |
 def monitor_drift(baseline: DataFrame, current: DataFrame, thresholds: dict | None = None,
                   buckets: int = 10, p_value_method: str = "asymp") -> DriftResult:
     """Baseline and current as separate frames; features from the schemas.
-    ``p_value_method="auto"`` uses exact KS p-values for samples up to 10,000."""
+    ``p_value_method="exact"`` uses exact KS p-values."""
     features = feature_columns(baseline, current)
     tagged = tag_sides(baseline, current, features)
-    return monitor_tagged(tagged, features, [], thresholds, buckets, n_segments=1,
-                          p_value_method=p_value_method)
+    return monitor_tagged(tagged, features, [], thresholds, buckets, p_value_method=p_value_method)

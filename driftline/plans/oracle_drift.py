@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from driftline.functions.numeric import numpy_sum_expr
 from driftline.sources.tables import BASELINE_END, DRIFT_FEATURES, DRIFT_SCENARIOS
 
 D = "CAST({} AS DOUBLE)"
@@ -13,11 +12,16 @@ def rnd(expr: str, digits: int) -> str:
     return f"(round_even(({expr}) * {s}, 0) / {s})"
 
 
-def rnd_stat(expr: str, digits: int = 6, significant: int = 10) -> str:
-    d = (f"(CASE WHEN ({expr}) = 0 OR ({expr}) IS NULL THEN {digits} "
-         f"ELSE least({digits}, {significant - 1} - CAST(floor(log10(abs({expr}))) AS BIGINT)) END)")
-    scale = f"pow(CAST(10.0 AS DOUBLE), {d})"
-    return f"(round_even(({expr}) * {scale}, 0) / {scale})"
+def comparable(column: str, digits: int = 10) -> str:
+    """Six decimals, compared to ``digits`` significant digits."""
+    x = rnd(column, 6)
+    scale = f"pow(CAST(10.0 AS DOUBLE), {digits - 1} - CAST(floor(log10(abs({x}))) AS BIGINT))"
+    return f"(CASE WHEN {x} = 0 OR {x} IS NULL THEN {x} ELSE round_even({x} * {scale}, 0) / {scale} END)"
+
+
+def fold(terms: str) -> str:
+    """Sum in list order."""
+    return f"list_reduce(list_transform({terms}, lambda p: p.term), lambda s, x: s + x, CAST(0.0 AS DOUBLE))"
 
 
 def _scenario_rows() -> str:
@@ -28,7 +32,8 @@ def _scenario_rows() -> str:
     return vals, " OR ".join(conds)
 
 
-def base_ctes(buckets: int = 10, tagged_sql: str | None = None) -> str:
+def base_ctes(buckets: int = 10, tagged_sql: str | None = None, features: list[str] | None = None,
+              warning: float = 0.1, critical: float = 0.2, shift: float | None = None) -> str:
     vals, conds = _scenario_rows()
     base = f"l_shipdate < TIMESTAMP '{BASELINE_END}'"
     if tagged_sql is None:
@@ -37,7 +42,7 @@ def base_ctes(buckets: int = 10, tagged_sql: str | None = None) -> str:
   WHERE ({base}) OR ({conds})"""
     unions = " UNION ALL ".join(
         f"SELECT scenario, side, {i} AS feature_idx, '{f}' AS feature, CAST({f} AS DOUBLE) AS value FROM tagged"
-        for i, f in enumerate(DRIFT_FEATURES))
+        for i, f in enumerate(features or DRIFT_FEATURES))
     step = 100.0 / buckets
     return f"""
 tagged AS (
@@ -118,13 +123,13 @@ psi_terms AS (
 psi AS (
   SELECT t.scenario, t.feature_idx, t.feature,
          CASE WHEN t.n_baseline = 0 OR t.n_current = 0 THEN NULL
-              ELSE coalesce({numpy_sum_expr("p.terms[{i} + 1].term", "len(p.terms)", buckets)}, CAST(0.0 AS DOUBLE)) END AS psi_raw
+              ELSE coalesce({fold("p.terms")}, CAST(0.0 AS DOUBLE)) END AS psi_raw
   FROM totals t LEFT JOIN psi_terms p ON p.scenario = t.scenario AND p.feature = t.feature
 ),
 psi_out AS (
   SELECT scenario, feature_idx, feature, {rnd("psi_raw", 6)} AS psi,
-         CASE WHEN psi_raw IS NULL THEN 'insufficient_data' WHEN psi_raw < 0.1 THEN 'ok'
-              WHEN psi_raw < 0.2 THEN 'warning' ELSE 'critical' END AS severity
+         CASE WHEN psi_raw IS NULL THEN 'insufficient_data' WHEN psi_raw < {warning} THEN 'ok'
+              WHEN psi_raw < {critical} THEN 'warning' ELSE 'critical' END AS severity
   FROM psi
 ),
 vcounts AS (
@@ -170,9 +175,9 @@ shift_raw AS (
 ),
 shift_out AS (
   SELECT scenario, feature_idx, feature,
-         {rnd_stat("bm")} AS baseline_mean, {rnd_stat("cm")} AS current_mean,
+         {comparable("bm")} AS baseline_mean, {comparable("cm")} AS current_mean,
          {rnd("abs(cm - bm) / (abs(bm) + CAST(1e-9 AS DOUBLE)) * CAST(100.0 AS DOUBLE)", 2)} AS mean_shift_pct,
-         {rnd_stat("bv")} AS baseline_var, {rnd_stat("cv")} AS current_var,
+         {comparable("bv")} AS baseline_var, {comparable("cv")} AS current_var,
          {rnd("abs(cv - bv) / (abs(bv) + CAST(1e-9 AS DOUBLE)) * CAST(100.0 AS DOUBLE)", 2)} AS var_shift_pct
   FROM shift_raw
 ),
@@ -180,7 +185,7 @@ ranks AS (
   SELECT scenario, feature_idx, feature, CASE severity WHEN 'warning' THEN 1 WHEN 'critical' THEN 2 ELSE 0 END AS rank FROM psi_out
   UNION ALL SELECT scenario, feature_idx, feature, CASE WHEN drifted THEN 1 ELSE 0 END FROM ks_final
   UNION ALL SELECT scenario, feature_idx, feature,
-         CASE WHEN coalesce(mean_shift_pct > 10.0, false) OR coalesce(var_shift_pct > 20.0, false) THEN 1 ELSE 0 END
+         CASE WHEN coalesce(mean_shift_pct > {shift or 10.0}, false) OR coalesce(var_shift_pct > {shift or 20.0}, false) THEN 1 ELSE 0 END
   FROM shift_out
 ),
 verdicts AS (
@@ -248,7 +253,7 @@ kl_terms AS (
   FROM psi_bins GROUP BY ALL
 )
 SELECT t.scenario, t.feature_idx, t.feature,
-       {rnd(f"CASE WHEN t.n_baseline = 0 OR t.n_current = 0 THEN NULL ELSE coalesce({numpy_sum_expr('k.terms[{i} + 1].term', 'len(k.terms)', 10)}, CAST(0.0 AS DOUBLE)) END", 6)} AS kl
+       {rnd(f"CASE WHEN t.n_baseline = 0 OR t.n_current = 0 THEN NULL ELSE coalesce({fold("k.terms")}, CAST(0.0 AS DOUBLE)) END", 6)} AS kl
 FROM totals t LEFT JOIN kl_terms k ON k.scenario = t.scenario AND k.feature = t.feature""",
         "segment_psi": "WITH " + base_ctes(tagged_sql=f"""SELECT l_returnflag AS scenario,
     CASE WHEN l_shipdate < TIMESTAMP '{BASELINE_END}' THEN 'b' ELSE 'c' END AS side, li.* FROM lineitem li""")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from driftline.operators.quality import NUMERIC_PATTERN
 from driftline.plans import ingest_queries as iq
+from driftline.plans.oracle_drift import base_ctes
 
 ROWS = """rows AS (
   SELECT event_id, ts AS "timestamp", value AS prediction_score, CAST(user_id AS DOUBLE) AS feature_1,
@@ -73,6 +74,29 @@ def coerce_sql() -> str:
             "FROM events)")
 
 
+def decisions_sql() -> str:
+    """The verdict of every day by the drift twins, then one step of the gate per run."""
+    limits = iq.HISTORY_THRESHOLDS["psi"]
+    tagged = f"""SELECT d.run_date AS scenario, 'b' AS side, r.* FROM r
+  JOIN (SELECT DISTINCT snapshot_date AS run_date FROM r WHERE snapshot_date > DATE '{iq.HISTORY_BASELINE_LAST}') d
+  ON r.snapshot_date <= DATE '{iq.HISTORY_BASELINE_LAST}'
+  UNION ALL SELECT snapshot_date, 'c', r.* FROM r WHERE snapshot_date > DATE '{iq.HISTORY_BASELINE_LAST}'"""
+    ctes = base_ctes(tagged_sql=tagged, features=iq.HISTORY_FEATURES, warning=limits["warning"], critical=limits["critical"],
+                     shift=iq.HISTORY_THRESHOLDS["mean_shift_pct"])
+    return f"""WITH RECURSIVE {ROWS.replace("rows AS (", "r AS (")},{ctes},
+runs AS (SELECT 'inference' AS pipeline, scenario AS run_date, overall_status, should_alert, should_retrain,
+                8 + day(scenario) % 3 * 6 AS hour, row_number() OVER (ORDER BY scenario) AS k FROM overall),
+fold AS (
+  SELECT *, crit AS n, crit >= 3 AND hour >= 8 AND hour < 18 AS granted
+  FROM (SELECT *, CASE WHEN overall_status = 'critical' THEN 1 ELSE 0 END AS crit FROM runs WHERE k = 1) f
+  UNION ALL
+  SELECT pipeline, run_date, overall_status, should_alert, should_retrain, hour, k, crit, n, n >= 3 AND hour >= 8 AND hour < 18
+  FROM (SELECT r.*, CASE WHEN r.overall_status = 'critical' THEN 1 ELSE 0 END AS crit,
+               CASE WHEN f.granted THEN 0 ELSE f.n END + CASE WHEN r.overall_status = 'critical' THEN 1 ELSE 0 END AS n
+        FROM fold f JOIN runs r ON r.k = f.k + 1) s
+)"""
+
+
 def oracle_queries() -> dict[str, str]:
     w = f"WITH {ROWS} "
     fmts = " UNION ALL ".join(
@@ -94,18 +118,13 @@ WHERE CAST(g.d AS DATE) NOT IN (SELECT DISTINCT snapshot_date FROM rows WHERE sn
         "training_dataset": w + f"SELECT {SEL}, strftime(snapshot_date, '%Y-%m-%d') AS _snapshot_date FROM rows "
                                 f"WHERE snapshot_date BETWEEN DATE '{iq.WINDOW_END}' - INTERVAL 89 DAY "
                                 f"AND DATE '{iq.WINDOW_END}'",
-        "retrain_decisions": w + """,
-runs AS (SELECT 'inference' AS pipeline, snapshot_date AS run_date,
-                CASE max(event_id) % 3 WHEN 0 THEN 'ok' WHEN 1 THEN 'warning' ELSE 'critical' END AS overall_status
-         FROM rows GROUP BY snapshot_date),
-c AS (SELECT *, CASE WHEN overall_status = 'critical' THEN 1 ELSE 0 END AS crit,
-             sum(CASE WHEN overall_status = 'critical' THEN 1 ELSE 0 END) OVER (PARTITION BY pipeline ORDER BY run_date
-                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum FROM runs),
-d AS (SELECT *, CAST(cum - 3 * floor((cum - crit) / 3) AS BIGINT) AS consecutive_count FROM c)
-SELECT pipeline, run_date, overall_status, overall_status IN ('warning', 'critical') AS should_alert,
-       overall_status = 'critical' AS should_retrain, consecutive_count,
-       (crit = 1 AND consecutive_count >= 3) AS retrain_requested,
-       (crit = 1 AND consecutive_count >= 3) AS retrain_triggered,
-       CASE WHEN crit = 1 AND consecutive_count >= 3 THEN CAST(0 AS BIGINT) ELSE consecutive_count END AS counter_after
-FROM d""",
+        "retrain_decisions": decisions_sql() + """
+SELECT pipeline, run_date, overall_status, should_alert, should_retrain, n AS consecutive_count, n >= 3 AS retrain_requested,
+       granted AS retrain_triggered, CASE WHEN granted THEN 0 ELSE n END AS counter_after FROM fold""",
+        "model_registry": decisions_sql() + f"""
+SELECT pipeline, 'v_' || strftime(run_date, '%Y%m%d') || '_' || id AS model_version, id AS run_id,
+       strftime(run_date, '%Y-%m-%d') AS retrain_date, 'drift_threshold_breached' AS trigger_reason,
+       n AS consecutive_drift_runs, 'retraining_trigger' AS dag_id, '{iq.REGISTRY_LOGGED_AT}' AS logged_at
+FROM (SELECT *, left(sha1(pipeline || '|' || strftime(run_date, '%Y-%m-%d') || '|{iq.REGISTRY_LOGGED_AT}'), 10) AS id
+      FROM fold WHERE granted)""",
     }

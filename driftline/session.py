@@ -1,8 +1,8 @@
 """Session helpers: one place for the configuration every job relies on.
 
 Nothing here starts a server: the Spark UI stays off.  The checkpoint folder
-is read from the session (``spark.checkpoint.dir``); a private one is set only
-when the session has none, which is the case in tests and local runs.
+is read from the session (``spark.checkpoint.dir``).  A private one is set only if
+the session has none and runs on one machine; on a cluster that is an error.
 """
 
 from __future__ import annotations
@@ -51,7 +51,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return cur
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
-        conf_dir = tempfile.mkdtemp(prefix="driftline-ckpt-")
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        conf_dir = tempfile.mkdtemp(prefix="driftline-ckpt-")  # one machine: tests and local runs
         spark.conf.set("spark.checkpoint.dir", conf_dir)
     spark.sparkContext.setCheckpointDir(conf_dir)
     return spark.sparkContext.getCheckpointDir() or conf_dir

@@ -22,11 +22,23 @@ def test_ingest_monitor_retrain_end_to_end(spark):
     assert {"prediction_score", "feature_1", "feature_2", "feature_3"} <= feats
     assert spark.read.parquet(os.path.join(base, "results", "psi")).where("run_date = '2024-01-20'").count() == len(feats)
     assert spark.read.json(os.path.join(base, "results", "report")).count() == 1
-    hist = spark.createDataFrame([("p", f"2024-01-{d:02d}", "critical") for d in range(1, 4)],
-                                 "pipeline string, run_date string, overall_status string") \
-        .withColumn("run_date", F.to_date("run_date"))
-    out = plan_retraining(spark, hist, {"parquet": root}, "2024-01-03", os.path.join(base, "retrain"))
-    assert out["retrain_triggered"] and out["consecutive_drift_runs"] == 3
-    assert spark.read.parquet(out["dataset"]).count() > 0
-    no = plan_retraining(spark, hist, {"parquet": root}, "2024-01-02", os.path.join(base, "retrain"))
-    assert not no["retrain_triggered"]
+    run_drift_monitor(baseline, root, "2024-01-20", os.path.join(base, "results"))  # a rerun replaces the day
+    for name in ("psi", "verdicts"):
+        again = spark.read.parquet(os.path.join(base, "results", name)).where("run_date = '2024-01-20'").count()
+        assert again == (len(feats) if name == "psi" else 1)
+    hist = spark.createDataFrame(
+        [("a", f"2024-01-{d:02d}", "ok") for d in range(1, 4)] + [("b", f"2024-01-{d:02d}", "critical") for d in range(1, 4)],
+        "pipeline string, run_date string, overall_status string").withColumn("run_date", F.to_date("run_date"))
+    a, b = plan_retraining(spark, hist, {"parquet": root}, "2024-01-03", os.path.join(base, "retrain"))
+    assert not a["retrain_triggered"] and b["retrain_triggered"] and b["consecutive_drift_runs"] == 3
+    assert spark.read.parquet(b["dataset"]).count() > 0
+    kept = spark.read.json(os.path.join(base, "retrain", "model_registry")).collect()
+    assert [r["model_version"] for r in kept] == [b["model_version"]]
+    assert not any(x["retrain_triggered"] for x in plan_retraining(spark, hist, {"parquet": root}, "2024-01-02", os.path.join(base, "retrain")))
+
+
+def test_no_shared_feature_is_ok(spark):
+    from driftline.plans.monitor import monitor_drift
+    left, right = spark.createDataFrame([(1.0,)], "a double"), spark.createDataFrame([(1.0,)], "b double")
+    row = monitor_drift(left, right).overall.collect()[0]
+    assert (row["overall_status"], row["n_drifted"], row["n_features"]) == ("ok", 0, 1)

@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from driftline.operators.quality import SchemaSpec, assert_valid, build_default_spec, check_table, coerce_numeric
+from driftline.operators.quality import SnapshotRules, stop_on_errors, rules_of_sample, check_table, coerce_numeric
 from driftline.operators.retrain import model_registry, retrain_decisions
 from driftline.session import scratch_path
 from driftline.sources.files import (late_partitions, load_recent, load_training, read_table, save_snapshot,
@@ -15,8 +15,8 @@ from tests.conftest import SF_SMALL
 def test_check_table_levels_and_messages(spark):
     df = spark.createDataFrame([(1.0, None, "a"), (None, 2.0, "b"), (3.0, None, None), (4.0, None, "c")],
                                "score double, f3 double, s string")
-    spec = SchemaSpec(required_columns=["score", "ts"], numeric_columns=["score", "s"],
-                      nullable_columns=["f3"], max_null_rate=0.2, min_rows=5)
+    spec = SnapshotRules(present=["score", "ts"], numbers=["score", "s"],
+                      may_be_empty=["f3"], null_share=0.2, least_rows=5)
     rows = {(r["check"], r["column"]): r for r in check_table(df, spec).collect()}
     assert rows[("row_count", None)]["message"] == "Snapshot has 4 rows; minimum required is 5."
     assert rows[("required_columns", None)]["message"] == "Missing required columns: ['ts']"
@@ -24,10 +24,10 @@ def test_check_table_levels_and_messages(spark):
     assert rows[("null_rate", "f3")]["message"] == "Nullable column 'f3' has a high null rate: 75.0%."
     assert rows[("null_rate", "score")]["message"] == "Column 'score' null rate 25.0% exceeds threshold 20.0%."
     assert rows[("null_rate", "s")]["level"] == "error"
-    with pytest.raises(ValueError, match="validation failed"):
-        assert_valid(check_table(df, spec))
-    spec2 = build_default_spec(df)
-    assert spec2.numeric_columns == ["score", "f3"] and spec2.min_rows == 10
+    with pytest.raises(ValueError, match="snapshot checks failed"):
+        stop_on_errors(check_table(df, spec))
+    spec2 = rules_of_sample(df)
+    assert spec2.numbers == ["score", "f3"] and spec2.least_rows == 10
 
 
 def test_coerce_numeric(spark):

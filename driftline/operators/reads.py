@@ -36,25 +36,33 @@ def prediction_table(pred: DataFrame) -> DataFrame:
     return pred.select(*PREDICTION_COLS)
 
 
+def _default(pred: DataFrame, model: str) -> DataFrame:
+    """The one row that stands for "no prediction yet"."""
+    known = {"model": model, **{k: v for k, v in DEFAULT_PREDICTION.items() if k != "model"}}
+    return pred.sparkSession.range(1).select(
+        *[F.lit(known.get(f.name)).cast(f.dataType).alias(f.name) for f in pred.schema.fields])
+
+
+def _or_default(found: DataFrame, default: DataFrame) -> DataFrame:
+    """``found``, or the default row if it is empty: one bit is read by the driver."""
+    return found if found.take(1) else default
+
+
 def latest_per_model(pred: DataFrame) -> DataFrame:
     """Latest prediction of every model; one default row when there is none."""
     cols = [c for c in pred.columns if c != "model"]
-    last = pred.groupBy("model").agg(
-        F.max_by(F.struct(*cols), F.struct("ts", "event_id")).alias("p"))
+    last = pred.groupBy("model").agg(F.max_by(F.struct(*cols), F.struct("ts", "event_id")).alias("p"))
     out = last.select("model", *[F.col(f"p.{c}").alias(c) for c in cols]).select(*pred.columns)
-    spark = pred.sparkSession
-    dflt = spark.range(1).select(
-        F.lit(None).cast("long").alias("event_id"), F.lit(DEFAULT_PREDICTION["model"]).alias("model"),
-        F.lit(DEFAULT_PREDICTION["risk"]).alias("risk"), F.lit(None).cast("long").alias("time_to_failure"),
-        F.lit(DEFAULT_PREDICTION["confidence"]).alias("confidence"),
-        F.lit(DEFAULT_PREDICTION["root_cause"]).alias("root_cause"),
-        F.lit(None).cast(pred.schema["ts"].dataType).alias("ts"))
-    dflt = dflt.join(pred.select("event_id").limit(1), how="left_anti")
-    return out.unionByName(dflt.select(*pred.columns))
+    return out if pred.take(1) else _default(pred, DEFAULT_PREDICTION["model"])
+
+
+def latest_of_model(pred: DataFrame, model: str) -> DataFrame:
+    """Latest prediction of one model, or the default row under its name."""
+    return _or_default(latest(pred, n=1, model=model), _default(pred, model))
 
 
 def latest_overall(pred: DataFrame) -> DataFrame:
-    return latest(pred, n=1)
+    return _or_default(latest(pred, n=1), _default(pred, DEFAULT_PREDICTION["model"]))
 
 
 def trailing_trajectory(pred: DataFrame, points: int = 51) -> DataFrame:

@@ -47,14 +47,22 @@ SAMPLES_CAP = 100
 DEFAULT_BLOCK = 1024
 
 
-def explode_features(events: DataFrame) -> DataFrame:
+def explode_features(events: DataFrame, keep_empty: bool = False) -> DataFrame:
     """(event_id, model, ts, features map) -> (event_id, model, ts, fpos, feature, x).
 
+    ``keep_empty`` keeps an event without any usable value as one row with an empty
+    feature name and no value, so that it still gets its UNKNOWN prediction.
+
     ``fpos`` keeps the feature's position in the event (the order the model-level
     means add them in).  NULL / NaN values are quarantined (dropped)."""
+    usable = F.map_filter("features", lambda k, x: is_finite_value(x))
     ex = events.select("event_id", "model", "ts",
-                       F.posexplode("features").alias("fpos", "feature", "x"))
-    return ex.where(is_finite_value("x"))
+                       F.posexplode("features").alias("fpos", "feature", "x")).where(is_finite_value("x"))
+    if keep_empty:
+        bare = events.where(F.coalesce(F.size(usable), F.lit(0)) <= 0)
+        ex = ex.unionByName(bare.select("event_id", "model", "ts", F.lit(0).alias("fpos"), F.lit("").alias("feature"),
+                                        F.lit(None).cast("double").alias("x")))
+    return ex
 
 
 def positions(long: DataFrame, num_ranges: int | None = None) -> DataFrame:

@@ -187,6 +187,10 @@ FROM last""",
                               f"FROM pred WHERE model = '42' ORDER BY ts DESC, event_id DESC LIMIT 100",
         "latest_prediction": f"{wp} SELECT event_id, model, risk, time_to_failure, confidence, root_cause, ts "
                              f"FROM pred ORDER BY ts DESC, event_id DESC LIMIT 1",
+        "latest_of_model": f"""{wp}
+(SELECT event_id, model, risk, time_to_failure, confidence, root_cause, ts FROM pred WHERE model = '42'
+ ORDER BY ts DESC, event_id DESC LIMIT 1)
+UNION ALL SELECT CAST(NULL AS BIGINT), 'no such model', 'LOW', CAST(NULL AS BIGINT), 'LOW', 'NONE', CAST(NULL AS TIMESTAMP)""",
         "latest_predictions": f"""{wp},
 lastp AS (
   SELECT model, arg_max(struct_pack(event_id := event_id, risk := risk, time_to_failure := time_to_failure,

@@ -9,6 +9,7 @@ from driftline.functions.numeric import round_half_even
 from driftline.operators import reads
 from driftline.operators.scoring import predictions
 from driftline.operators.signals import compute_signals, explode_features, model_state, signal_rows
+from driftline.plans import stored
 from driftline.sources.files import parse_events
 from driftline.sources.tables import event_payloads, event_stream
 
@@ -71,18 +72,13 @@ def q_prediction_steady(spark, sf_dir) -> DataFrame:
                     "avg_drift", "avg_velocity", "avg_acceleration", "ts")
 
 
-def _tables(spark, sf_dir):
-    rows = all_rows(spark, sf_dir, "warm")
-    return signal_rows(rows), predictions(rows)
-
-
 def q_signals_recent(spark, sf_dir) -> DataFrame:
-    sig, _ = _tables(spark, sf_dir)
+    sig = stored.signals(spark, sf_dir)
     return reads.latest(sig, n=100, model=None)
 
 
 def q_signals_recent_model(spark, sf_dir) -> DataFrame:
-    sig, _ = _tables(spark, sf_dir)
+    sig = stored.signals(spark, sf_dir)
     return reads.latest(sig, n=100, model="7")
 
 
@@ -93,22 +89,28 @@ def q_events_recent(spark, sf_dir) -> DataFrame:
 
 
 def q_prediction_history(spark, sf_dir) -> DataFrame:
-    _, pred = _tables(spark, sf_dir)
+    pred = stored.scored(spark, sf_dir)
     return reads.latest(reads.prediction_table(pred), n=100, model="42")
 
 
 def q_latest_prediction(spark, sf_dir) -> DataFrame:
-    _, pred = _tables(spark, sf_dir)
+    pred = stored.scored(spark, sf_dir)
     return reads.latest_overall(reads.prediction_table(pred))
 
 
+def q_latest_of_model(spark, sf_dir) -> DataFrame:
+    """Latest prediction of one model, and the default row for a model without any."""
+    pred = reads.prediction_table(stored.scored(spark, sf_dir))
+    return reads.latest_of_model(pred, "42").unionByName(reads.latest_of_model(pred, "no such model"))
+
+
 def q_latest_predictions(spark, sf_dir) -> DataFrame:
-    _, pred = _tables(spark, sf_dir)
+    pred = stored.scored(spark, sf_dir)
     return reads.latest_per_model(reads.prediction_table(pred))
 
 
 def q_recent_trajectory(spark, sf_dir) -> DataFrame:
-    _, pred = _tables(spark, sf_dir)
+    pred = stored.scored(spark, sf_dir)
     return reads.trailing_trajectory(pred, points=51)
 
 
@@ -119,7 +121,7 @@ def q_active_models(spark, sf_dir) -> DataFrame:
 
 def q_pipeline_metrics(spark, sf_dir) -> DataFrame:
     ev = event_stream(spark, sf_dir, "warm")
-    sig, pred = _tables(spark, sf_dir)
+    sig, pred = stored.signals(spark, sf_dir), stored.scored(spark, sf_dir)
     return reads.pipeline_metrics(ev, sig, pred)
 
 
@@ -139,6 +141,7 @@ QUERIES = {
     "events_recent": q_events_recent,
     "prediction_history": q_prediction_history,
     "latest_prediction": q_latest_prediction,
+    "latest_of_model": q_latest_of_model,
     "latest_predictions": q_latest_predictions,
     "recent_trajectory": q_recent_trajectory,
     "active_models": q_active_models,

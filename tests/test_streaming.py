@@ -33,5 +33,27 @@ def test_stream_in_several_batches_with_restart(spark):
            .select("event_id", "feature", "drift", "velocity", "acceleration", "samples").collect()}
     assert got == _batch_signals(spark)
     assert pred.count() == ev.count()
-    n_batches = rows.select("batch").distinct().count() if "batch" in rows.columns else None
-    assert n_batches is None or n_batches > 2
+    assert len([d for d in os.listdir(os.path.join(out, "signal_rows").removeprefix("file:")) if d.startswith("batch=")]) > 2
+
+
+def test_event_without_features_is_unknown(spark):
+    from driftline.operators.scoring import predictions
+    from driftline.streaming.processor import KeySignals
+    events = spark.createDataFrame([(1, "m", {"a": 1.0}), (2, "m", {}), (3, "m", None), (4, "m", {"a": float("nan")})],
+                                   "event_id long, model string, features map<string,double>") \
+        .withColumn("ts", F.lit("2024-01-01").cast("timestamp_ntz"))
+    rows = explode_features(events, keep_empty=True)
+    assert sorted(r["event_id"] for r in rows.where("feature = ''").collect()) == [2, 3, 4]
+    flat = rows.withColumn("t", F.lit(0).cast("long")).withColumns(
+        {c: F.lit(None).cast("double") for c in ("drift", "velocity", "acceleration")}).withColumn("samples", F.lit(None).cast("long"))
+    assert {r["event_id"]: r["risk"] for r in predictions(flat).collect()} == {k: "UNKNOWN" for k in (1, 2, 3, 4)}
+    assert KeySignals().feed(1.0) is None
+
+
+def test_stored_reads_scan_files_only(spark):
+    from driftline.plans.signal_queries import QUERIES
+    for name in ("signals_recent", "signals_recent_model", "prediction_history", "latest_predictions", "recent_trajectory", "pipeline_metrics"):
+        plan = QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+        assert "FileScan parquet" in plan and "ExistingRDD" not in plan and "Join" not in plan, name
+    plan = QUERIES["signals_recent_model"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(model,7)" in plan

@@ -30,6 +30,7 @@ from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
+from unicodedata import is_normalized
 
 import numpy as np
 import pandas as pd
@@ -42,10 +43,13 @@ CAPACITY = 2048
 END_ID = 0
 SMALL = CAPACITY // 3   # pieces up to this length are small
 GROUPS = 12
-CACHE_CHUNKS = 800_000
+CACHE_CHUNKS = 120_000  # of one generation
 CACHED_BYTES = 64
 
 _SYMBOLS = b".,;:!?%$#&*|"
+# the printable character that byte-level vocabularies write for each byte
+_SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_BYTES = {b: chr(b) for b in _SHOWN} | {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in _SHOWN)}
 
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -54,29 +58,44 @@ class Ids(dict):
     """Chunk without white space -> its ids as bytes.
 
     The vocabulary drops white space and never joins characters across it, so a
-    text's ids are those of its chunks.  Emptied beyond ``CACHE_CHUNKS``."""
+    text's ids are those of its chunks.  At ``CACHE_CHUNKS`` entries a new generation
+    begins; what is still used moves over from the last one, the rest is forgotten."""
 
     def __init__(self, tokenizer) -> None:
         super().__init__()
-        self.tokenizer = tokenizer
+        self.tokenizer, self.model, self.last = tokenizer, tokenizer.model, {}
+        probes = ("word", "thndwhat", "straße", "größenordnung", "été")
+        self.plain = all(self.pieces(w) == self.whole(w) for w in probes)
+
+    def whole(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def pieces(self, word: str) -> list[int]:
+        """Ids of one word of small letters: the model alone, on its bytes' characters."""
+        return [t.id for t in self.model.tokenize(word if word.isascii() else word.encode().decode("latin-1").translate(_BYTES))]
 
     def encode(self, chunk: bytes) -> bytes:
-        ids = self.tokenizer.encode(chunk.decode("utf-8"), add_special_tokens=False).ids
-        return np.array(ids, "<u4").tobytes()
+        text = chunk.decode("utf-8")
+        # a word of small letters needs no normalising and no cutting
+        word = self.plain and text.isalpha() and text == text.lower() and is_normalized("NFC", text)
+        return np.array(self.pieces(text) if word else self.whole(text), "<u4").tobytes()
 
     def __missing__(self, chunk: bytes) -> bytes:
-        # letters, digits and symbols are never in one token, so a word and the
-        # symbols behind it are looked up apart; case does not matter
-        stem = chunk.rstrip(_SYMBOLS)
-        last = stem[-4:].decode("utf-8", "ignore")[-1:]
-        if stem != chunk and (last.isalpha() or last.isdecimal()):
-            value = self[stem] + self[chunk[len(stem):]]
-        elif chunk != chunk.lower():
-            value = self[chunk.lower()]
-        else:
-            value = self.encode(chunk)
+        value = self.last.get(chunk)
+        if value is None:
+            # letters, digits and symbols are never in one token, so a word and the
+            # symbols behind it are looked up apart; case does not matter
+            stem = chunk.rstrip(_SYMBOLS)
+            last = stem[-4:].decode("utf-8", "ignore")[-1:]
+            if stem != chunk and (last.isalpha() or last.isdecimal()):
+                value = self[stem] + self[chunk[len(stem):]]
+            elif chunk != chunk.lower():
+                value = self[chunk.lower()]
+            else:
+                value = self.encode(chunk)
         if len(chunk) <= CACHED_BYTES:
             if len(self) >= CACHE_CHUNKS:
+                self.last = dict(self)
                 self.clear()
             self[chunk] = value
         return value

@@ -33,7 +33,7 @@ WORDS = 3
 KEPT = 2
 BIN_BITS = 6
 BINS = 1 << BIN_BITS
-EMPTY = "-" * 8
+EMPTY = 0               # the value of an empty bin; a hash of 0 is written as 1
 BLOCK_ROWS = 4096       # documents in a block, about
 
 
@@ -68,7 +68,7 @@ def _elements(kmers: Column) -> Column:
 
 
 def signature(text: Column) -> Column:
-    """Array of ``BINS`` texts of 8 hexadecimal digits, or ``EMPTY`` for an empty bin."""
+    """Array of ``BINS`` 32-bit numbers, ``EMPTY`` for an empty bin."""
     words = F.split(F.trim(text), r"[\x20\x09-\x0D]+")
 
     def select(t: Column) -> Column:
@@ -78,8 +78,8 @@ def signature(text: Column) -> Column:
         def hashed(d: Column) -> Column:
             least = F.filter(F.slice(t, d + 1, KEPT), lambda x: bin_of(x) == bin_of(F.get(t, d)))
             in_order = F.sort_array(F.transform(least, lambda x: F.struct(x["p"].alias("p"), x["g"].alias("g"))))
-            value = F.xxhash64(F.transform(in_order, lambda x: x["g"]))
-            return F.struct(bin_of(F.get(t, d)).alias("key"), F.right(F.lpad(F.hex(value), 16, "0"), F.lit(8)).alias("value"))
+            value = F.xxhash64(F.transform(in_order, lambda x: x["g"])).bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")
+            return F.struct(bin_of(F.get(t, d)).alias("key"), F.greatest(value, F.lit(1)).alias("value"))
 
         starts = _run_starts(F.size(t), lambda a, b: bin_of(F.get(t, a)) == bin_of(F.get(t, b)))
         return _let(F.map_from_entries(F.transform(starts, hashed)), lambda m: F.transform(
@@ -88,6 +88,11 @@ def signature(text: Column) -> Column:
     return F.when(F.trim(text) == "", F.array_repeat(F.lit(EMPTY), BINS)).otherwise(_let(_elements(_kmers(words)), select))
 
 
+def as_text(signature: Column) -> Column:
+    """The signature as one text, 8 hexadecimal digits for each bin."""
+    return F.array_join(F.transform(signature, lambda x: F.lpad(F.hex(x), 8, "0")), "")
+
+
 def likeness(a: Column, b: Column) -> Column:
     """Share of equal bins among those that are not empty in both signatures."""
     used = F.size(F.filter(F.arrays_zip(a.alias("a"), b.alias("b")), lambda x: (x["a"] != EMPTY) | (x["b"] != EMPTY)))
@@ -99,7 +104,7 @@ def fingerprint(documents: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """One row per row of ``documents``: doc_id, signature (array), fingerprint (one text)."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     signed = documents.select(F.col(id_col).alias("doc_id"), signature(text).alias("signature"))
-    return signed.withColumn("fingerprint", F.concat_ws("", "signature"))
+    return signed.withColumn("fingerprint", as_text(F.col("signature")))
 
 
 def with_next(documents: DataFrame, columns: list[str]) -> DataFrame:
@@ -145,7 +150,7 @@ def fingerprint_edits(documents: DataFrame, id_col: str = "doc_id", text_col: st
     changed = (signed.select("doc_id", size.cast("long").alias("n_chars"), edited.alias("edited"), "signature", "next_signature")
                .withColumn("edited_signature", signature(F.col("edited"))))
     return changed.select("doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
-                          F.concat_ws("", "signature").alias("fingerprint"),
-                          F.concat_ws("", "edited_signature").alias("edited_fingerprint"),
+                          as_text(F.col("signature")).alias("fingerprint"),
+                          as_text(F.col("edited_signature")).alias("edited_fingerprint"),
                           likeness(F.col("signature"), F.col("edited_signature")).alias("near_edited"),
                           likeness(F.col("signature"), F.col("next_signature")).alias("near_next"))

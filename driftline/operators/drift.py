@@ -136,6 +136,12 @@ class DriftTables:
                 F.sum("n_b").alias("n_baseline"), F.sum("n_c").alias("n_current"))
         return self._totals
 
+    def sizes(self) -> DataFrame:
+        """The totals alone: one aggregate over the data, no order and no pin."""
+        n = self.long.groupBy(*self.ikeys).agg(F.count_if(F.col("side") == "b").alias("n_baseline"),
+                                               F.count_if(F.col("side") == "c").alias("n_current"))
+        return n.withColumn("feature", feature_name(self.features)).select(*self.keys, "n_baseline", "n_current")
+
     def per_group(self, df: DataFrame) -> DataFrame:
         """Broadcast a table of a few rows per group if the groups are few.  They are
         counted, from the pinned ECDF; beyond the bound the runtime sizes decide.  The

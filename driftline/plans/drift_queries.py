@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driftline.functions.numeric import significant
+from driftline.operators.drift import DriftTables, feature_columns
 from driftline.plans.monitor import DriftResult, monitor_tagged
-from driftline.sources.tables import DRIFT_FEATURES, drift_scenarios
+from driftline.sources.tables import DRIFT_FEATURES, drift_scenarios, drift_sides
 
 RUN_DATE = "1998-12-01"
 SEGMENTS = ["scenario"]
@@ -24,7 +25,8 @@ def comparable(df: DataFrame) -> DataFrame:
 
 
 def q_drift_features(spark, sf_dir) -> DataFrame:
-    return run(spark, sf_dir).tables.totals()
+    baseline, current = drift_sides(spark, sf_dir)
+    return DriftTables(drift_scenarios(spark, sf_dir), feature_columns(baseline, current), SEGMENTS).sizes()
 
 
 def q_psi_edges(spark, sf_dir) -> DataFrame:
@@ -48,7 +50,7 @@ def q_drift_ks(spark, sf_dir) -> DataFrame:
 
 
 def q_drift_shift(spark, sf_dir) -> DataFrame:
-    return comparable(run(spark, sf_dir).shift)
+    return comparable(DriftTables(drift_scenarios(spark, sf_dir), DRIFT_FEATURES, SEGMENTS).shift())
 
 
 def q_feature_verdicts(spark, sf_dir) -> DataFrame:

@@ -3,13 +3,17 @@ recent-window and training-window reads, late partitions, event intake."""
 
 from __future__ import annotations
 
+import logging
 import os
+from datetime import date, timedelta
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, MapType, StringType, StructField, StructType
 
+log = logging.getLogger(__name__)
+
 SNAPSHOT_COL = "snapshot_date"
 TAG_COL = "_snapshot_date"
 # Snapshot file formats in order of precedence, and the defaults of
@@ -76,7 +80,8 @@ def save_snapshots(df: DataFrame, root: str, fmt: str = "parquet", date_col: str
     prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
-        w = df.write.mode("overwrite").partitionBy(date_col)
+        # few files per day; a large day is split over several tasks
+        w = df.hint("rebalance", F.col(date_col)).write.mode("overwrite").partitionBy(date_col)
         if fmt == "csv":
             w = w.option("header", "true").options(**CSV_TS)
         w.format(fmt).save(root)
@@ -89,52 +94,79 @@ def save_snapshot(df: DataFrame, root: str, run_date: str, fmt: str = "parquet")
 
 
 def read_snapshots(spark: SparkSession, root: str, fmt: str = "parquet", schema=None) -> DataFrame:
-    r = _reader(spark, fmt, schema)
-    if fmt == "parquet":
-        r = r.option("mergeSchema", "true")
-    return r.load(root)
+    return _reader(spark, fmt, schema).load(root)
+
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
-def load_snapshot(spark: SparkSession, root: str, run_date: str, fmt: str = "parquet") -> DataFrame:
-    """One day (partition filter, pruned at planning time)."""
-    return read_snapshots(spark, root, fmt).where(F.col(SNAPSHOT_COL) == F.lit(run_date).cast("date"))
 
+def _days(spark: SparkSession, root: str | dict[str, str], days: list[str], formats: tuple[str, ...], fmt: str,
+          schema=None) -> DataFrame | None:
+    """The given days, each from the first format that has it, united by column name.
 
-def _window(df: DataFrame, run_date: str, n_days: int) -> DataFrame:
-    anchor = F.lit(run_date).cast("date")
-    d = F.col(SNAPSHOT_COL)
-    out = df.where((d <= anchor) & (d >= F.date_sub(anchor, n_days - 1)))
-    return out.withColumn(TAG_COL, F.date_format(d, "yyyy-MM-dd"))
+    Only the folders of these days are opened, so neither the listing nor the reading of
+    schemas grows with the history.  Days that are missing everywhere are logged."""
+    roots = root if isinstance(root, dict) else {fmt: root}
+    found: dict[str, list[str]] = {}
+    for day in days:
+        for f in formats if isinstance(root, dict) else (fmt,):
+            path = f"{roots[f]}/{SNAPSHOT_COL}={day}" if f in roots else None
+            if path and _exists(spark, path):
+                found.setdefault(f, []).append(path)
+                break
+        else:
+            log.warning("no snapshot of %s", day)
+    out = None
+    for f, paths in found.items():
+        reader = _reader(spark, f, schema if f != "parquet" else None).option("basePath", roots[f])
+        if f == "parquet":
+            reader = reader.option("mergeSchema", "true")  # of these days only
+        part = reader.load(paths)
+        part = part.withColumn(SNAPSHOT_COL, F.col(SNAPSHOT_COL).cast("date"))
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    return out
 
 
-def load_recent(spark: SparkSession, root: str, run_date: str, n_days: int = RECENT_DAYS,
-                fmt: str = "parquet") -> DataFrame:
-    """Last ``n_days`` days ending at ``run_date`` (inclusive), tagged with the day."""
-    return _window(read_snapshots(spark, root, fmt), run_date, n_days)
+def _last_days(run_date: str, n_days: int) -> list[str]:
+    end = date.fromisoformat(run_date)
+    return [(end - timedelta(days=k)).isoformat() for k in range(n_days)]
+
+
+def _tagged(df: DataFrame) -> DataFrame:
+    return df.withColumn(TAG_COL, F.date_format(SNAPSHOT_COL, "yyyy-MM-dd"))
+
+
+def load_snapshot(spark: SparkSession, root: str | dict[str, str], run_date: str, fmt: str = "parquet", schema=None) -> DataFrame:
+    """One day, from its own folder.  ``root`` may name a folder per format; then parquet
+    comes before csv and csv before json.  A missing day is an error."""
+    out = _days(spark, root, [run_date], SNAPSHOT_FORMATS, fmt, schema)
+    if out is None:
+        raise FileNotFoundError(f"there is no snapshot of {run_date}")
+    return out
+
+
+def load_recent(spark: SparkSession, root: str | dict[str, str], run_date: str, n_days: int = RECENT_DAYS,
+                fmt: str = "parquet", schema=None) -> DataFrame:
+    """Last ``n_days`` days ending at ``run_date`` (inclusive), tagged with the day.
+    Missing days are logged; if none is there, that is an error."""
+    out = _days(spark, root, _last_days(run_date, n_days), SNAPSHOT_FORMATS, fmt, schema)
+    if out is None:
+        raise FileNotFoundError(f"there is no snapshot of the {n_days} days up to {run_date}")
+    return _tagged(out)
 
 
 def load_training(spark: SparkSession, roots: dict[str, str], run_date: str,
                   n_days: int = TRAINING_DAYS, schema=None) -> DataFrame:
     """Training window: for each day the parquet snapshot, else the CSV one (JSON
     is not used here); union by name, missing columns filled with NULL."""
-    frames = []
-    for fmt in TRAINING_FORMATS:
-        if fmt in roots:
-            sch = schema if fmt != "parquet" else None
-            frames.append((fmt, _window(read_snapshots(spark, roots[fmt], fmt, sch), run_date, n_days)))
-    out = None
-    for fmt, df in frames:
-        if out is None:
-            out = df
-        else:
-            # a day already present in a preferred format is not read again
-            # at most n_days dates: a bounded broadcast
-            have = F.broadcast(out.select(SNAPSHOT_COL).distinct())
-            out = out.unionByName(df.join(have, on=SNAPSHOT_COL, how="left_anti"),
-                                  allowMissingColumns=True)
+    usable = {f: r for f, r in roots.items() if f in TRAINING_FORMATS}
+    out = _days(spark, usable, _last_days(run_date, n_days), TRAINING_FORMATS, "parquet", schema)
     if out is None:
         raise ValueError("no snapshots to train on")
-    return out
+    return _tagged(out)
 
 
 def late_partitions(available_dates: DataFrame, start: str, end: str) -> DataFrame:

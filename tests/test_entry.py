@@ -24,10 +24,11 @@ def test_plan_properties(spark):
     for node in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas"):
         assert node not in sig_plan
     assert "CartesianProduct" not in sig_plan
-    snap = _plan(q["snapshot_day"](spark, SF_SMALL))
-    assert "PartitionFilters: [isnotnull(snapshot_date" in snap
-    for name in ("recent_inference", "training_dataset"):
-        plan = _plan(q[name](spark, SF_SMALL))
-        assert "PartitionFilters: [isnotnull(snapshot_date" in plan, name
-    ks_plan = _plan(q["drift_psi"](spark, SF_SMALL))
-    assert "ReadSchema: struct<l_linenumber:int,l_quantity:double" in ks_plan or "Scan" in ks_plan
+    # one day's folder, a week's folders, and nothing else, are opened
+    files = q["snapshot_day"](spark, SF_SMALL).inputFiles()
+    assert files and all("snapshot_date=2024-01-15/" in f for f in files)
+    days = {f.split("snapshot_date=")[1][:10] for f in q["recent_inference"](spark, SF_SMALL).inputFiles()}
+    assert days == {f"2024-01-{d}" for d in range(14, 21)}
+    shift = _plan(q["drift_shift"](spark, SF_SMALL))
+    assert "ReadSchema: struct<l_linenumber:int,l_quantity:double" in shift.replace("bigint", "int")
+    assert "ExistingRDD" not in shift and "Window" not in shift

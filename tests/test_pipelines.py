@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from driftline.operators.quality import SnapshotRules, stop_on_errors, rules_of_sample, check_table, coerce_numeric
 from driftline.operators.retrain import model_registry, retrain_decisions
 from driftline.session import scratch_path
-from driftline.sources.files import (late_partitions, load_recent, load_training, read_table, save_snapshot,
+from driftline.sources.files import (late_partitions, load_recent, load_snapshot, load_training, read_table, save_snapshot,
                                      save_snapshots, parse_events)
 from driftline.sources.tables import event_payloads, inference_rows
 from tests.conftest import SF_SMALL
@@ -45,6 +45,17 @@ def test_snapshots_recent_late_training(spark):
     assert late == [dt.date(2024, 1, 5)]
     recent = load_recent(spark, root, "2024-01-07", 3)
     assert {r[0] for r in recent.select("_snapshot_date").distinct().collect()} == {"2024-01-06", "2024-01-07"}
+    with pytest.raises(FileNotFoundError):
+        load_recent(spark, root, "2023-01-07", 3)
+    with pytest.raises(FileNotFoundError):
+        load_snapshot(spark, root, "2024-01-05")
+    # the format that comes first is read for each day
+    mixed = scratch_path(spark, "snap-csv")
+    save_snapshots(rows.where("snapshot_date BETWEEN '2024-01-05' AND '2024-01-06'"), mixed, "csv")
+    both = {"csv": mixed, "parquet": root}
+    assert load_snapshot(spark, both, "2024-01-05", schema=rows.schema).count() > 0
+    parts = load_recent(spark, both, "2024-01-07", 3, schema=rows.schema)
+    assert parts.groupBy("_snapshot_date").count().count() == 3 and parts.count() == rows.where("snapshot_date BETWEEN '2024-01-05' AND '2024-01-07'").count()
     # re-saving a day replaces only that day
     one = rows.where(F.col("snapshot_date") == F.lit("2024-01-06").cast("date")).limit(3).drop("snapshot_date")
     save_snapshot(one, root, "2024-01-06")

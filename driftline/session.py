@@ -19,6 +19,7 @@ _DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.streaming.stateStore.providerClass":
@@ -59,8 +60,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir() or conf_dir
 
 
+def scratch_root(spark: SparkSession) -> str:
+    """This application's scratch folder, below the shared checkpoint folder."""
+    return os.path.join(ensure_checkpoint_dir(spark), "driftline", spark.sparkContext.applicationId)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint folder (never machine-local
-    on a cluster, because the checkpoint folder is the cluster's shared one)."""
-    base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, "driftline", f"{name}-{uuid.uuid4().hex[:12]}")
+    """A fresh folder for a written table; on a cluster it is in shared storage."""
+    return os.path.join(scratch_root(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def release_scratch(spark: SparkSession, path: str | None = None) -> None:
+    """Delete one scratch folder, or all of this application's, once nothing reads them."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path or scratch_root(spark))
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

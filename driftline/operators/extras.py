@@ -11,7 +11,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from driftline.functions.numeric import ordered_sum_expr, round_half_even
@@ -68,19 +68,21 @@ def rolling_stats(rows: DataFrame, keys: list[str], value: str = "x", t_col: str
         F.coalesce(F.abs(z) > Z_OUTLIER, F.lit(False)).alias("outlier"))
 
 
-def embedding_cohesion(emb: DataFrame, vec: str = "embedding", label: str = "label",
-                       id_col: str = "vec_id") -> DataFrame:
+def embedding_cohesion(emb: DataFrame, vec: str = "embedding", label: str = "label") -> DataFrame:
     """Per label: mean cosine similarity of its vectors to the label centroid."""
-    cells = emb.select(id_col, label, F.posexplode(vec).alias("dim", "v")).withColumn(
-        "v", F.col("v").cast("double"))
-    centroid = cells.groupBy(label, "dim").agg(F.avg("v").alias("cv"))
-    j = cells.join(centroid, on=[label, "dim"], how="inner")
-    per = j.groupBy(id_col, label).agg(
-        F.sum(F.col("v") * F.col("cv")).alias("dot"), F.sum(F.col("v") * F.col("v")).alias("nv"),
-        F.sum(F.col("cv") * F.col("cv")).alias("nc"))
-    cos = F.try_divide(F.col("dot"), F.sqrt("nv") * F.sqrt("nc"))
-    return per.groupBy(label).agg(F.count(F.lit(1)).alias("n_vectors"),
-                                  round_half_even(F.avg(cos), 6).alias("cohesion"))
+    rows = emb.select(F.col(label).alias("label_"), F.transform(vec, lambda x: x.cast("double")).alias("v")).where(F.size("v") > 0)
+    # the cells are summed up before the shuffle: one row per label and dimension leaves a task
+    mean = (rows.select("label_", F.posexplode("v").alias("dim", "x")).groupBy("label_", "dim").agg(F.avg("x").alias("x"))
+            .groupBy("label_").agg(F.transform(F.array_sort(F.collect_list(F.struct("dim", "x"))), lambda c: c["x"]).alias("centre"))
+            .withColumnRenamed("label_", "centre_label"))
+
+    def dot(a: str, b: str) -> Column:
+        return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+
+    near = rows.join(mean, F.col("label_").eqNullSafe(F.col("centre_label")))  # one row per label on the right
+    cos = F.try_divide(dot("v", "centre"), F.sqrt(dot("v", "v")) * F.sqrt(dot("centre", "centre")))
+    return near.groupBy(F.col("label_").alias(label)).agg(F.count(F.lit(1)).alias("n_vectors"),
+                                                          round_half_even(F.avg(cos), 6).alias("cohesion"))
 
 
 def risk_entropy(pred: DataFrame, group: str = "model", level: str = "risk") -> DataFrame:

@@ -7,12 +7,10 @@ from pyspark.sql import functions as F
 
 from driftline.operators.extras import (embedding_cohesion, kl_divergence, risk_entropy, rolling_stats,
                                        signal_fusion)
-from driftline.operators.scoring import predictions
 from driftline.operators.signals import KEYS, explode_features, positions
-from driftline.plans import drift_queries
+from driftline.plans import drift_queries, stored
 from driftline.plans.monitor import monitor_tagged
 from driftline.sources.tables import BASELINE_END, DRIFT_FEATURES, event_stream, table
-from driftline.plans.signal_queries import all_rows
 
 
 def q_drift_kl(spark, sf_dir) -> DataFrame:
@@ -37,11 +35,11 @@ def q_embedding_cohesion(spark, sf_dir) -> DataFrame:
 
 
 def q_risk_entropy(spark, sf_dir) -> DataFrame:
-    return risk_entropy(predictions(all_rows(spark, sf_dir, "warm")))
+    return risk_entropy(stored.scored(spark, sf_dir))
 
 
 def q_signal_fusion(spark, sf_dir) -> DataFrame:
-    return signal_fusion(predictions(all_rows(spark, sf_dir, "warm")))
+    return signal_fusion(stored.scored(spark, sf_dir))
 
 
 QUERIES = {

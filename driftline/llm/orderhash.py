@@ -34,7 +34,6 @@ KEPT = 2
 BIN_BITS = 6
 BINS = 1 << BIN_BITS
 EMPTY = 0               # the value of an empty bin; a hash of 0 is written as 1
-BLOCK_ROWS = 4096       # documents in a block, about
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -107,23 +106,35 @@ def fingerprint(documents: DataFrame, id_col: str = "doc_id", text_col: str = "t
     return signed.withColumn("fingerprint", as_text(F.col("signature")))
 
 
+def block_of(value: Column, bounds: list[int]) -> Column:
+    """How many of the sorted bounds a value has reached (0 for null), by halving: a few
+    steps for any number of bounds."""
+    if not bounds:
+        return F.lit(0)
+    table = F.array(*[F.lit(b) for b in bounds])
+
+    def ahead(step: int) -> Callable[[Column], Column]:
+        return lambda at: F.when((at + step <= len(bounds)) & (F.get(table, at + (step - 1)) <= value), at + step).otherwise(at)
+
+    block, step = F.lit(0), 1 << len(bounds).bit_length()
+    while step > 1:
+        step >>= 1
+        block = _let(block, ahead(step))
+    return block
+
+
 def with_next(documents: DataFrame, columns: list[str]) -> DataFrame:
     """Add ``next_<column>`` of the document with the next larger doc_id.
 
     Blocks of ids are cut at approximate quantiles; the bounds and the first id of
-    each block are all that the driver sees (one number per block)."""
+    each block are all that the driver sees (one number per block, four blocks for
+    each shuffle partition).  A large block is sorted on disk."""
     spark = documents.sparkSession
     ids = documents.select("doc_id")
-    total = ids.count()
-    blocks = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), total // BLOCK_ROWS)
-    bounds = sorted({int(b) for b in ids.approxQuantile("doc_id", [k / blocks for k in range(1, blocks)], 1 / (4 * blocks))}) if total else []
-    # how many bounds the id has reached, by halving: a few steps for any number of bounds
-    block, step = F.lit(0), 1 << len(bounds).bit_length()
-    table = F.array(*[F.lit(b) for b in bounds]) if bounds else F.array(F.lit(0))
-    while step > 1:
-        step >>= 1
-        block = _let(block, lambda at, s=step: F.when(
-            (at + s <= len(bounds)) & (F.get(table, at + (s - 1)) <= F.col("doc_id")), at + s).otherwise(at))
+    blocks = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))  # set by the cluster, not by the data
+    cuts = ids.approxQuantile("doc_id", [k / blocks for k in range(1, blocks)], 1 / (4 * blocks))
+    bounds = sorted({int(b) for b in cuts or []})
+    block = block_of(F.col("doc_id"), bounds)
     placed = documents.withColumn("block_", block)
     firsts = sorted((r["block_"], r["first"]) for r in ids.withColumn("block_", block).groupBy("block_")
                     .agg(F.min_by("doc_id", F.struct("doc_id")).alias("first")).collect())

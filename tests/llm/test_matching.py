@@ -119,6 +119,14 @@ def test_order_minhash_sees_order():
     assert 0.3 < np.mean([x == y for x, y in zip(a, same, strict=True)]) < 1
 
 
+def test_blocks_are_those_of_a_binary_search(spark):
+    from bisect import bisect_right
+    for bounds in ([], [5], [3, 10, 11], list(range(0, 900, 7))):
+        got = spark.range(-3, 950, 13).selectExpr("id").union(spark.createDataFrame([(None,)], "id long"))
+        rows = got.select("id", orderhash.block_of(got["id"], bounds).alias("b")).collect()
+        assert all(r.b == (0 if r.id is None else bisect_right(bounds, r.id)) for r in rows)
+
+
 def test_next_document_and_edits(spark):
     rows = [(5, "abcdefgh"), (1, "ÄÖÜ ßß\U0001f600xy"), (9, "x"), (None, "first of all"), (7, None), (3, "")]
     got = {r.doc_id: r for r in orderhash.fingerprint_edits(frame(spark, rows)).collect()}

@@ -207,7 +207,8 @@ def near_duplicates(documents: DataFrame, shingle: int = 4, bits: int = 4,
     named = members.join(least, "root").select("fp", "component_id")
     known = (distinct.join(named, "fp", "left")
              .select("fp", F.coalesce("component_id", "first").alias("component_id")))
-    return prints.join(known, "fp").select("doc_id", "fp", "component_id")
+    # written, so that the join reads two plain shuffles and Spark may split a frequent fingerprint
+    return prints.join(written(known, "simhash-known"), "fp").select("doc_id", "fp", "component_id")
 
 
 def keep_one(documents: DataFrame, shingle: int = 4, bits: int = 4) -> DataFrame:

@@ -34,7 +34,7 @@ def keep_clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 10: the documents' tokens in sequences of at most 2048."""
-    return packing.pack(docs, tokenizer_path("word_bpe_49k.json"), 2048)
+    return packing.pack(docs, tokenizer_path("word_bpe_49k.json"), 2048, specials=True)
 
 
 STAGES = [("quality", keep_quality), ("language", keep_language), ("near_duplicates", keep_distinct),

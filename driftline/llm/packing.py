@@ -25,6 +25,7 @@ lengths are told apart by id, piece and content; extra columns do not matter.
 
 from __future__ import annotations
 
+import re
 import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
@@ -66,6 +67,20 @@ class Ids(dict):
         self.tokenizer, self.model, self.last = tokenizer, tokenizer.model, {}
         probes = ("word", "thndwhat", "straße", "größenordnung", "été")
         self.plain = all(self.pieces(w) == self.whole(w) for w in probes)
+        added = tokenizer.get_added_tokens_decoder().values()
+        # chunks with one of these take no short way
+        self.marked = re.compile(b"|".join(re.escape(t.content.lower().encode()) for t in added) or b"(?!)").search
+        odd = [t.content for t in added if t.lstrip or t.rstrip or t.single_word or t.normalized or t.content.split() != [t.content]]
+        if odd or not self.holds(probes):
+            raise ValueError(f"texts cannot be cut at white space and symbols for this vocabulary {odd or ''}")
+
+    def holds(self, probes: tuple[str, ...]) -> bool:
+        """Whether chunks, words, trailing symbols and ASCII case are independent, on probes."""
+        heads = [*probes, "7", "it's"]
+        cuts = [(a, gap, b) for a in heads for b in heads for gap in " \n\t"]
+        cuts += [(a, "", chr(b)) for a in heads for b in _SYMBOLS] + [("a", "", _SYMBOLS.decode())]
+        return (all(self.whole(a + gap + b) == self.whole(a) + self.whole(b) for a, gap, b in cuts)
+                and all(self.whole(w.upper()) == self.whole(w) for w in (*"abcdefghijklmnopqrstuvwxyz", "word", "it's")))
 
     def whole(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -84,13 +99,16 @@ class Ids(dict):
         value = self.last.get(chunk)
         if value is None:
             # letters, digits and symbols are never in one token, so a word and the
-            # symbols behind it are looked up apart; case does not matter
-            stem = chunk.rstrip(_SYMBOLS)
+            # symbols behind it are looked up apart; the case of ASCII does not matter,
+            # unless a character composes with the capital or the small letter
+            stem, small = chunk.rstrip(_SYMBOLS), chunk.lower()
             last = stem[-4:].decode("utf-8", "ignore")[-1:]
-            if stem != chunk and (last.isalpha() or last.isdecimal()):
+            if self.marked(small):
+                value = self.encode(chunk)
+            elif stem != chunk and (last.isalpha() or last.isdecimal()):
                 value = self[stem] + self[chunk[len(stem):]]
-            elif chunk != chunk.lower():
-                value = self[chunk.lower()]
+            elif chunk != small and (chunk.isascii() or all(is_normalized("NFC", c.decode()) for c in (chunk, small))):
+                value = self[small]
             else:
                 value = self.encode(chunk)
         if len(chunk) <= CACHED_BYTES:
@@ -102,20 +120,23 @@ class Ids(dict):
 
 
 @lru_cache(maxsize=2)
-def _open(path: str) -> Ids:
+def _open(path: str, specials: bool) -> Ids:
     """One tokenizer and cache for each worker process."""
     from tokenizers import Tokenizer
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True  # such strings in a text are ordinary text
+    tokenizer.encode_special_tokens = not specials
     return Ids(tokenizer)
 
 
 def pieces(documents: DataFrame, tokenizer_path: str, capacity: int = CAPACITY,
-           id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per piece: doc_id, piece, start, length, ids_crc32."""
+           id_col: str = "doc_id", text_col: str = "text", specials: bool = False) -> DataFrame:
+    """One row per piece: doc_id, piece, start, length, ids_crc32.
+
+    With ``specials`` the ids are those of a plain ``encode(text, add_special_tokens=False)``:
+    a special string in a text is its own id.  Without, it is ordinary text."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids = _open(tokenizer_path)
+        ids = _open(tokenizer_path, specials)
         end, step = np.array([END_ID], "<u4").tobytes(), 4 * capacity
         for batch in batches:
             rows = []
@@ -359,10 +380,11 @@ def _gaps(spark: SparkSession, plan: SmallPlan) -> Column:
 
 
 def pack(documents: DataFrame, tokenizer_path: str, capacity: int = CAPACITY,
-         id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
+         id_col: str = "doc_id", text_col: str = "text", specials: bool = False) -> DataFrame:
+    """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset
+    (``specials`` as in ``pieces``)."""
     spark = documents.sparkSession
-    cut = written(pieces(documents, tokenizer_path, capacity, id_col, text_col), "packing-pieces")
+    cut = written(pieces(documents, tokenizer_path, capacity, id_col, text_col, specials), "packing-pieces")
     counts = _histogram(cut, "length", capacity + 1)
     order = ["doc_id", "piece", "start", "ids_crc32"]
     rows = written(ranked(cut, "length", order, "rank"), "packing-ranked")

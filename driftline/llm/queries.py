@@ -71,7 +71,7 @@ def op9_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of at most 2048 tokens (see ``packing``)."""
-    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), 2048)
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), 2048, specials=True)
 
 
 _SHINGLES = """

@@ -131,6 +131,23 @@ def test_packing(spark):
     assert used <= 1.05 * least + 2
 
 
+def test_ids_are_those_of_a_plain_encode(spark):
+    tokenizer = Tokenizer.from_file(tokenizer_path(VOCABULARY))
+    texts = ["end <|endoftext|> x", "a<|startoftext|>B, <|endoftext|>", "<|ENDOFTEXT|> <|endoftext|", "H\u0331a", "J\u030c, T\u0308.", "\u0130x \u039f\u03a3", "It's 42!"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.length, r.ids_crc32) for r in packing.pieces(docs, tokenizer_path(VOCABULARY), specials=True).collect()}
+    for k, text in enumerate(texts):
+        ids = np.array([*tokenizer.encode(text, add_special_tokens=False).ids, 0], "<u4")
+        assert got[k] == (len(ids), zlib.crc32(ids.tobytes())), text
+
+
+def test_unsafe_vocabularies_are_refused():
+    tokenizer = Tokenizer.from_file(tokenizer_path(VOCABULARY))
+    tokenizer.normalizer = None  # capitals now have ids of their own
+    with pytest.raises(ValueError, match="vocabulary"):
+        packing.Ids(tokenizer)
+
+
 def test_plans_of_random_histograms():
     rng = np.random.default_rng(6)
     for _ in range(6):

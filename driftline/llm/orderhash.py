@@ -9,6 +9,11 @@ order, which makes the signature sensitive to edit distance and not only to the
 set of k-mers.  One hash dealt to bins stands for many hash functions (one
 permutation), so a text is sorted twice and not once for every bin.
 
+A bin of a short text often holds fewer than ``KEPT`` elements, and one element has
+no order.  A full signature lets such a bin borrow from the bins behind it (the first
+follow the last), so every bin selects ``KEPT`` elements if the text has as many; the
+query uses full signatures.  Without borrowing, bins are selected from as they are.
+
 The likeness of two fingerprints is the share of equal bins among those that are
 not empty in both, and 1 if all are empty.
 
@@ -87,6 +92,31 @@ def signature(text: Column) -> Column:
     return F.when(F.trim(text) == "", F.array_repeat(F.lit(EMPTY), BINS)).otherwise(_let(_elements(_kmers(words)), select))
 
 
+def full_signature(text: Column) -> Column:
+    """Like ``signature``, but every bin selects ``KEPT`` elements: its own with the least
+    hashes, then those of the bins behind it.  ``EMPTY`` only for an empty text."""
+    words = F.split(F.trim(text), r"[\x20\x09-\x0D]+")
+    # hashes are signed, so the bins lie in the order 32..63, 0..31; a mark sorts before its bin
+    marks = F.array(*[F.struct(F.lit((b << 64 - BIN_BITS) - 2**63).alias("g"), F.lit(-1).alias("p")) for b in range(BINS)])
+
+    def select(t: Column) -> Column:
+        def hashed(at: Column, b: Column) -> Column:
+            chosen = F.slice(t, at - b + 1, KEPT)
+            chosen = F.concat(chosen, F.slice(t, 1, F.least(F.lit(KEPT), F.size(t)) - F.size(chosen)))
+            in_order = F.sort_array(F.transform(chosen, lambda x: F.struct(x["p"].alias("p"), x["g"].alias("g"))))
+            value = F.xxhash64(F.transform(in_order, lambda x: x["g"])).bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")
+            return F.greatest(value, F.lit(1))
+        return hashed
+
+    def build(t: Column) -> Column:
+        marked = F.sort_array(F.concat(t, marks))
+        places = _let(marked, lambda m: F.filter(F.sequence(F.lit(0), F.size(m) - 1), lambda j: F.get(m, j)["p"] < 0))
+        values = F.transform(places, select(t))
+        return _let(values, lambda v: F.concat(F.slice(v, BINS // 2 + 1, BINS // 2), F.slice(v, 1, BINS // 2)))
+
+    return F.when(F.trim(text) == "", F.array_repeat(F.lit(EMPTY), BINS)).otherwise(_let(_elements(_kmers(words)), build))
+
+
 def as_text(signature: Column) -> Column:
     """The signature as one text, 8 hexadecimal digits for each bin."""
     return F.array_join(F.transform(signature, lambda x: F.lpad(F.hex(x), 8, "0")), "")
@@ -154,12 +184,12 @@ def fingerprint_edits(documents: DataFrame, id_col: str = "doc_id", text_col: st
     The edited text replaces the last quarter of the characters by the beginning
     of the next document."""
     docs = documents.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    signed = with_next(docs.withColumn("signature", signature(F.col("text"))), ["text", "signature"])
+    signed = with_next(docs.withColumn("signature", full_signature(F.col("text"))), ["text", "signature"])
     size = F.length("text")
     tail = F.floor(size / 4).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), size - tail), F.substring(F.col("next_text"), F.lit(1), tail))
     changed = (signed.select("doc_id", size.cast("long").alias("n_chars"), edited.alias("edited"), "signature", "next_signature")
-               .withColumn("edited_signature", signature(F.col("edited"))))
+               .withColumn("edited_signature", full_signature(F.col("edited"))))
     return changed.select("doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
                           as_text(F.col("signature")).alias("fingerprint"),
                           as_text(F.col("edited_signature")).alias("edited_fingerprint"),

@@ -119,6 +119,32 @@ def test_order_minhash_sees_order():
     assert 0.3 < np.mean([x == y for x, y in zip(a, same, strict=True)]) < 1
 
 
+def plain_full_signature(text):
+    w = [xxh64_intdigest(x.encode(), 42) for x in re.split(r"[\x20\x09-\x0D]+", text)]
+    seen, ring = {}, []
+    for place in range(max(1, len(w) - orderhash.WORDS + 1)):
+        h = chained(w[place:place + orderhash.WORDS])
+        seen[h] = seen.get(h, -1) + 1
+        ring.append((xxh64_intdigest(struct.pack("<i", seen[h]), chained([h])), place))
+    out = []
+    for b in range(orderhash.BINS):
+        first = b << 64 - orderhash.BIN_BITS
+        least = sorted(sorted(ring, key=lambda x: (x[0] - first) % 2**64)[:orderhash.KEPT], key=lambda x: x[1])  # noqa: B023
+        out.append(max(1, chained([g - 2**64 if g >> 63 else g for g, _ in least]) & 0x7FFFFFFF))
+    return out
+
+
+def test_short_texts_show_their_order(spark):
+    texts = ["one", "a b c d", "a b a b a b a b a b", " ".join(f"v{k}" for k in range(700))]
+    for n in (20, 40, 60):
+        words = [f"w{n}x{k}" for k in range(n)]
+        texts += [" ".join(words), " ".join(words[n // 2:] + words[:n // 2])]
+    got = [r.fingerprint for r in orderhash.fingerprint_edits(frame(spark, list(enumerate(texts)))).orderBy("doc_id").collect()]
+    assert got == ["".join(f"{x:08X}" for x in plain_full_signature(t)) for t in texts]
+    near = {r.doc_id: r.near_next for r in orderhash.fingerprint_edits(frame(spark, list(enumerate(texts)))).collect()}
+    assert all(near[k] < 0.7 for k in (4, 6, 8))  # moved halves: the sets of k-mers are nearly equal
+
+
 def test_blocks_are_those_of_a_binary_search(spark):
     from bisect import bisect_right
     for bounds in ([], [5], [3, 10, 11], list(range(0, 900, 7))):

@@ -20,6 +20,9 @@ Inputs and edge cases: a null text or role is empty; turns without a number come
 and equal numbers are ordered by role and text, repeats kept; rows without a conversation
 id form one conversation; an empty table gives an empty result; unknown columns do not
 matter; a table or record in no known layout raises (table) or gives no turns (record).
+A message's content may be a list of parts, joined by blank lines (a part without text as
+its JSON).  Records of no exact layout are listed with the reason by ``rejected_from_json``
+and ``rejected_from_table``.
 """
 
 from __future__ import annotations
@@ -28,7 +31,7 @@ import hashlib
 import json
 import re
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -46,6 +49,7 @@ class Layout:
 
     ``parts``: (role, fields joined by blank lines) for each turn of a flat record;
     ``items``, ``role``, ``text``: a list of messages and the names in a message;
+    ``system``: the field with the first turn, beside a list of messages;
     ``order``: the field with the turn's number if each row is a turn itself."""
 
     name: str
@@ -54,11 +58,12 @@ class Layout:
     role: str = ""
     text: str = ""
     order: str = ""
+    system: str = ""
     roles: dict[str, str] = field(default_factory=dict)
 
     def paths(self) -> frozenset[str]:
         if self.items:
-            return frozenset({f"{self.items}[].{self.role}", f"{self.items}[].{self.text}"})
+            return frozenset({f"{self.items}[].{self.role}", f"{self.items}[].{self.text}"} | ({self.system} if self.system else set()))
         if self.order:
             return frozenset({self.order, self.role, self.text})
         return frozenset(f for _, fields in self.parts for f in fields)
@@ -80,21 +85,40 @@ LAYOUTS = (
 )
 
 
+def _with_system(layout: Layout) -> Layout:
+    name = f"system and {layout.name}"
+    if layout.items:
+        return replace(layout, name=name, system="system")
+    return replace(layout, name=name, parts=(("system", ("system",)), *layout.parts))
+
+
+_NAMED = {layout.paths() for layout in LAYOUTS}
+LAYOUTS += tuple(x for x in map(_with_system, (x for x in LAYOUTS if x.items or x.parts and x.parts[0][0] != "system"))
+                 if x.paths() not in _NAMED)
+
+
+def known(paths: Iterable[str]) -> set[str]:
+    """The paths that any layout knows; paths inside a content's parts are those of the content."""
+    paths = {next((c for c in _CONTENTS if p.startswith(f"{c}[]")), p) for p in paths}
+    return paths & _KNOWN
+
+
 def fingerprint(paths: Iterable[str]) -> str:
     """Hash of the sorted paths that any layout knows."""
-    return xxh64_hexdigest("\n".join(sorted(set(paths) & _KNOWN)))
+    return xxh64_hexdigest("\n".join(sorted(known(paths))))
 
 
 def layout_of(paths: Iterable[str]) -> Layout | None:
     """The layout of the paths' fingerprint; if fields of several layouts are there,
     the largest layout that is there in full (the first listed among equals)."""
-    paths = set(paths)
+    paths = known(paths)
     exact = MAPPINGS.get(fingerprint(paths))
     if exact:
         return exact
     return max((x for x in LAYOUTS if x.paths() <= paths), key=lambda x: len(x.paths()), default=None)
 
 
+_CONTENTS = tuple(sorted({f"{layout.items}[].{layout.text}" for layout in LAYOUTS if layout.items}))
 _KNOWN = frozenset(p for layout in LAYOUTS for p in layout.paths())
 MAPPINGS = {fingerprint(layout.paths()): layout for layout in LAYOUTS}
 
@@ -121,32 +145,91 @@ def _said(value: object) -> str:
     return "" if value is None else value if isinstance(value, str) else json.dumps(value, ensure_ascii=False)
 
 
+def _content(value: object) -> str:
+    """A message's text: as it is, or its parts joined by blank lines."""
+    if not isinstance(value, list):
+        return _said(value)
+    return "\n\n".join(_said(p["text"] if isinstance(p, dict) and p.get("text") is not None else p) for p in value)
+
+
 def record_turns(record: object) -> list[tuple[str, str]]:
     """(role, text) of a JSON record, by the mapping of its fingerprint."""
     layout = layout_of(value_paths(record))
     if layout is None or not isinstance(record, dict):
         return []
     if layout.items:
-        found = [(_said(m.get(layout.role)), _said(m.get(layout.text))) for m in record[layout.items]]
-        return [(layout.roles.get(role, role), text) for role, text in found]
+        found = [(_said(m.get(layout.role)), _content(m.get(layout.text))) if isinstance(m, dict) else ("", _said(m))
+                 for m in record[layout.items]]
+        first = [("system", _said(record[layout.system]))] if layout.system else []
+        return first + [(layout.roles.get(role, role), text) for role, text in found]
     if layout.order:
         return [(_said(record[layout.role]), _said(record[layout.text]))]
     return [(role, "\n\n".join(_said(record[f]) for f in fields if record[f])) for role, fields in layout.parts]
 
 
 def turns_from_json(records: DataFrame, id_col: str, json_col: str) -> DataFrame:
-    """(conv_id, turn, role, text) of JSON texts in any mix of layouts."""
-    @F.pandas_udf("array<struct<role:string,text:string>>")
+    """(conv_id, turn, role, text) of JSON texts in any mix of layouts.
+
+    A record that is a turn itself brings its own number (null if that is no number)."""
+    @F.pandas_udf("array<struct<turn:long,role:string,text:string>>")
     def run(texts: pd.Series) -> pd.Series:
-        def one(text: str | None) -> list[dict[str, str]]:
+        def one(text: str | None) -> list[dict[str, object]]:
             try:
                 record = json.loads(text or "null")
             except ValueError:
                 return []
-            return [{"role": role, "text": said} for role, said in record_turns(record)]
+            turns = [{"turn": k, "role": role, "text": said} for k, (role, said) in enumerate(record_turns(record))]
+            layout = layout_of(value_paths(record))
+            if turns and layout.order:
+                turns[0]["turn"] = _number(record[layout.order])
+            return turns
         return texts.map(one)
-    parsed = records.select(F.col(id_col).alias("conv_id"), F.posexplode(run(F.col(json_col))).alias("turn", "m"))
-    return parsed.select("conv_id", F.col("turn").cast("long").alias("turn"), "m.role", "m.text")
+    return records.select(F.col(id_col).alias("conv_id"), F.inline(run(F.col(json_col))))
+
+
+def _number(value: object) -> int | None:
+    try:
+        number = int(value)
+    except (TypeError, ValueError, OverflowError):
+        return None
+    return number if -2**63 <= number < 2**63 else None
+
+
+def rejection(text: str | None) -> str | None:
+    """Why a JSON text is no record of an exact layout, or null."""
+    try:
+        record = json.loads(text or "null")
+    except ValueError:
+        return "not JSON"
+    paths = value_paths(record)
+    layout = layout_of(paths)
+    if layout is None or not isinstance(record, dict):
+        return "no layout"
+    left = sorted(known(paths) - layout.paths())
+    return f"fields left out: {', '.join(left)}" if left else None
+
+
+def rejected_from_json(records: DataFrame, id_col: str, json_col: str) -> DataFrame:
+    """(conv_id, record, reason) of JSON texts that are in no exact layout: they give no
+    turns, or turns without the fields that the reason names."""
+    @F.pandas_udf("string")
+    def run(texts: pd.Series) -> pd.Series:
+        return texts.map(rejection)
+    found = records.select(F.col(id_col).alias("conv_id"), F.col(json_col).alias("record"), run(F.col(json_col)).alias("reason"))
+    return found.where("reason IS NOT NULL")
+
+
+def rejected_from_table(records: DataFrame, id_col: str) -> DataFrame:
+    """(conv_id, record, reason) of rows with a known field that the table's layout leaves out."""
+    paths = schema_paths(records.schema)
+    layout = layout_of(paths)
+    left = sorted(known(paths) - (layout.paths() if layout else set()))
+    full = F.lit(layout is None)
+    for name in sorted({p.split("[")[0].split(".")[0] for p in left}):
+        full = full | F.col(name).isNotNull()
+    reason = f"fields left out: {', '.join(left)}" if layout else "no layout"
+    return records.where(full).select(F.col(id_col).alias("conv_id"), F.to_json(F.struct("*")).alias("record"),
+                                      F.lit(reason).alias("reason"))
 
 
 def turns_from_table(records: DataFrame, id_col: str) -> DataFrame:
@@ -167,9 +250,23 @@ def turns_from_table(records: DataFrame, id_col: str) -> DataFrame:
         return records.select(key, F.col(layout.order).cast("long").alias("turn"),
                               named(F.col(layout.role)).alias("role"), said(F.col(layout.text)).alias("text"))
     if layout.items:
-        rows = records.select(key, F.posexplode(layout.items).alias("turn", "m"))
-        return rows.select("conv_id", F.col("turn").cast("long").alias("turn"),
-                           named(F.col("m")[layout.role]).alias("role"), said(F.col("m")[layout.text]).alias("text"))
+        kind = records.schema[layout.items].dataType.elementType[layout.text].dataType
+
+        def content(c: Column) -> Column:
+            if not isinstance(kind, T.ArrayType):
+                return said(c)
+            if not isinstance(kind.elementType, T.StructType):
+                return F.array_join(F.transform(c, said), "\n\n")
+            has_text = "text" in kind.elementType.names
+            return F.array_join(F.transform(c, lambda p: said(F.coalesce(p["text"], F.to_json(p)) if has_text else F.to_json(p))), "\n\n")
+
+        turns = F.transform(layout.items, lambda m: F.struct(
+            named(m[layout.role]).alias("role"), F.coalesce(content(m[layout.text]), F.lit("")).alias("text")))
+        if layout.system:
+            first = F.array(F.struct(F.lit("system").alias("role"), said(F.col(layout.system)).alias("text")))
+            turns = F.concat(first, F.coalesce(turns, F.slice(first, 1, 0)))
+        rows = records.select(key, F.posexplode(turns).alias("turn", "m"))
+        return rows.select("conv_id", F.col("turn").cast("long").alias("turn"), "m.role", "m.text")
     parts = [F.struct(F.lit(k).cast("long").alias("turn"), F.lit(role).alias("role"),
                       F.concat_ws("\n\n", *[F.when(F.col(f) != "", F.col(f)) for f in fields]).alias("text"))
              for k, (role, fields) in enumerate(layout.parts)]

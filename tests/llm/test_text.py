@@ -63,6 +63,34 @@ def test_layouts_by_fingerprint(spark):
         chat.turns_from_table(spark.createDataFrame([(1, "x")], "id long, other string"), "id")
 
 
+def test_no_text_is_dropped(spark):
+    said = [{"role": "user", "content": [{"type": "text", "text": "a"}, {"type": "image", "url": "u"}]}, {"role": "assistant", "content": "b"}]
+    records = [{"system": "s", "instruction": "do", "output": "x"}, {"system": "s", "question": "q", "answer": "a"},
+               {"system": "s", "prompt": "p", "completion": "c"}, {"system": "s", "messages": [{"role": "user", "content": "hi"}]},
+               {"system": "s", "conversations": [{"from": "human", "value": "q"}]}, {"messages": said},
+               {"system": "s", "instruction": "do", "input": "it", "output": "x"},
+               {"instruction": "do", "output": "x", "prompt": "clash"}, {"unknown": 1}]
+    rows = [(k, json.dumps(r)) for k, r in enumerate(records)] + [(50, "not json")]
+    rows += [(60, json.dumps({"turn": k, "role": r, "text": t})) for k, r, t in [(2, "a", "late"), (0, "z", "first"), (1, "b", "mid")]]
+    raw = spark.createDataFrame(rows, "id long, raw string")
+    got = defaultdict(list)
+    for r in chat.turns_from_json(raw, "id", "raw").orderBy("conv_id", "turn").collect():
+        got[r.conv_id].append((r.role, r.text))
+    system = ("system", "s")
+    assert got[0] == [system, ("user", "do"), ("assistant", "x")] and got[1] == [system, ("user", "q"), ("assistant", "a")]
+    assert got[2] == [system, ("user", "p"), ("assistant", "c")] and got[3] == [system, ("user", "hi")]
+    assert got[4] == [system, ("user", "q")] and got[6] == [system, ("user", "do\n\nit"), ("assistant", "x")]
+    assert got[5] == [("user", 'a\n\n{"type": "image", "url": "u"}'), ("assistant", "b")]
+    assert got[60] == [("z", "first"), ("b", "mid"), ("a", "late")]
+    rejected = {r.conv_id: r.reason for r in chat.rejected_from_json(raw, "id", "raw").collect()}
+    assert rejected == {7: "fields left out: prompt", 8: "no layout", 50: "not JSON"}
+    schema = "id long, system string, messages array<struct<role:string,content:array<struct<type:string,text:string>>>>, answer string"
+    table_ = spark.createDataFrame([(1, "s", [("user", [("text", "a"), ("text", "b")])], None), (2, None, None, "lost")], schema)
+    turns = [tuple(r) for r in chat.turns_from_table(table_, "id").orderBy("conv_id", "turn").collect()]
+    assert turns == [(1, 0, "system", "s"), (1, 1, "user", "a\n\nb"), (2, 0, "system", "")]
+    assert [(r.conv_id, r.reason) for r in chat.rejected_from_table(table_, "id").collect()] == [(2, "fields left out: answer")]
+
+
 def plain_verdict(url, rules):
     host = path = ""
     if url and "://" in url:

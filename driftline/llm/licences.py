@@ -7,6 +7,14 @@ t / (2 - t) * m <= n <= (2 - t) / t * m, so these size bounds prune templates be
 bigram is compared.  Of the templates left the one with the largest coefficient counts
 (the least name among equals), if it reaches the threshold.
 
+A notice that shares its line or paragraph with other text is found as a window: the
+words of a paragraph (or of a line alone) from one bigram of the template to another,
+at most (2 - t) / t times as long as the template.  A window reaches t only if it has
+t / (2 - t) * m of the template's bigrams, so few templates are searched in a paragraph.
+Of overlapping windows of a template the one with the largest coefficient counts, and of
+several templates' the one with the most common bigrams; a window inside a
+line or paragraph that matches the same licence as a whole is not told again.
+
 Everything happens in a document's own row, with DataFrame functions only and without a
 shuffle.  Templates come to the driver, ``BLOCK_TEMPLATES`` at a time, and are part of
 the expression; more templates are more passes.
@@ -48,6 +56,40 @@ NOTICES = [
 ]
 
 
+# Further wordings, for texts outside the test tables.
+VARIANTS = [
+    ("apache-2.0", "Released under the Apache License, Version 2.0."),
+    ("apache-2.0", "Licensed under the Apache 2.0 License."),
+    ("apache-2.0-header", "Unless required by applicable law or agreed to in writing, software distributed under the License is "
+     "distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License "
+     "for the specific language governing permissions and limitations under the License."),
+    ("bsd", "Licensed under the BSD License."),
+    ("bsd", "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file."),
+    ("bsd-conditions", "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
+     "that the following conditions are met:"),
+    ("bsd-disclaimer", "This software is provided by the copyright holders and contributors \"as is\" and any express or implied "
+     "warranties, including, but not limited to, the implied warranties of merchantability and fitness for a particular purpose "
+     "are disclaimed."),
+    ("cc-by-4.0", "Licensed under a Creative Commons Attribution 4.0 International License."),
+    ("cc-by-nc-4.0", "Licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
+    ("cc-by-sa-4.0", "Licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+    ("gpl", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public "
+     "License as published by the Free Software Foundation"),
+    ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, "
+     "provided that the above copyright notice and this permission notice appear in all copies."),
+    ("mit", "Licensed under the MIT License."),
+    ("mit", "Distributed under the MIT License."),
+    ("mit-disclaimer", "The software is provided \"as is\", without warranty of any kind, express or implied, including but not "
+     "limited to the warranties of merchantability, fitness for a particular purpose and noninfringement."),
+    ("mpl-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
+]
+
+
+def wider(spark: SparkSession) -> DataFrame:
+    """The notices and their variants."""
+    return spark.createDataFrame(NOTICES + VARIANTS, "licence string, text string")
+
+
 def notices(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(NOTICES, "licence string, text string")
 
@@ -95,9 +137,87 @@ def _best(known: list[tuple[str, list[int]]], threshold: float, unit: Column) ->
     return F.when(F.size(unit["words"]) - 1 >= least - 1e-9, _let(bigrams(unit["words"]), compare))
 
 
+def _paragraphs(text: Column) -> Column:
+    """(words, line of each word) of every paragraph, also of one line."""
+    def find(t: Column) -> Column:
+        def one(starts: Column) -> Column:
+            def lines(d: Column, r: Column) -> Column:
+                own = F.slice(t, d + 1, F.coalesce(F.get(starts, r + 1), F.size(t)) - d)
+                return F.struct(F.flatten(own).alias("words"), F.flatten(F.transform(own, lambda w, k: F.array_repeat(d + k, F.size(w)))).alias("at"))
+            return F.filter(F.transform(starts, lines), lambda u: F.size(u["words"]) > 1)
+        return _let(_run_starts(F.size(t), lambda a, b: (F.size(F.get(t, a)) > 0) == (F.size(F.get(t, b)) > 0)), one)
+    return _let(F.transform(F.split(text, "\n"), words), find)
+
+
+def _apart(found: Column) -> Column:
+    """The first of the sorted windows that do not overlap."""
+    return F.aggregate(found, F.slice(found, 1, 0), lambda kept, x: F.when(
+        F.exists(kept, lambda y: (x["start"] <= y["stop"]) & (y["start"] <= x["stop"])), kept).otherwise(F.concat(kept, F.array(x))))
+
+
+def _windows(known: list[tuple[str, list[int]]], threshold: float, paragraph: Column) -> Column:
+    """The best windows of one paragraph that do not overlap."""
+    table = F.array(*[F.struct(F.lit(name).alias("licence"), F.lit(len(b)).alias("m"),
+                               F.array(*[F.lit(x) for x in b]).alias("bigrams")) for name, b in known])
+    share, w = threshold / (2 - threshold), paragraph["words"]
+    every = sorted({x for _, b in known for x in b})
+
+    def search(grams: Column, hits: Column) -> Column:
+        def template(t: Column) -> Column:
+            def starts(own: Column) -> Column:
+                need = F.ceil(share * t["m"] - 1e-9).cast("int")
+
+                def window(a: Column, k: Column) -> Column:
+                    ends = F.filter(F.slice(own, k + need, F.floor(t["m"] / share + 1e-9).cast("int")),
+                                    lambda e: e["i"] - a["i"] < t["m"] / share + 1e-9)
+
+                    def score(e: Column) -> Column:
+                        both = F.array_distinct(F.slice(grams, a["i"] + 1, e["i"] - a["i"] + 1))
+                        common = F.size(F.array_intersect(both, t["bigrams"]))
+                        return F.struct((-2 * common / (F.size(both) + t["m"])).alias("less"), (-common).alias("fewer"),
+                                        t["licence"].alias("licence"), a["i"].alias("start"), e["i"].alias("stop"))
+                    return F.array_min(F.transform(ends, score))
+                reached = F.filter(F.transform(own, window), lambda x: -x["less"] >= threshold - 1e-9)
+                return _let(F.sort_array(reached), _apart)
+            return _let(F.filter(hits, lambda x: F.array_contains(t["bigrams"], x["h"])), starts)
+
+        near = F.filter(table, lambda t: F.size(F.array_intersect(F.transform(hits, lambda x: x["h"]), t["bigrams"])) >= share * t["m"] - 1e-9)
+        found = F.transform(F.flatten(F.transform(near, template)), lambda x: F.struct(
+            *[x[c].alias(c) for c in ("fewer", "less", "licence", "start", "stop")]))
+        free = _let(F.sort_array(found), _apart)
+        return F.transform(free, lambda x: F.struct(
+            F.get(paragraph["at"], x["start"]).alias("line"),
+            (F.get(paragraph["at"], x["stop"] + 1) - F.get(paragraph["at"], x["start"]) + 1).alias("lines"),
+            x["licence"].alias("licence"), (-x["less"]).alias("dice")))
+
+    def hits_of(grams: Column) -> Column:
+        hits = F.filter(F.transform(grams, lambda h, i: F.struct(i.alias("i"), h.alias("h"))), lambda x: x["h"].isin(every))
+        return _let(hits, lambda x: F.when(F.size(x) > 0, search(grams, x)))
+
+    return _let(F.transform(F.sequence(F.lit(1), F.size(w) - 1), lambda i: F.xxhash64(F.get(w, i - 1), F.get(w, i))), hits_of)
+
+
+def _all(known: list[tuple[str, list[int]]], threshold: float, text: Column) -> Column:
+    """Matches of whole units, and of windows that they do not tell already."""
+    units = F.filter(F.transform(_units(text), partial(_best, known, threshold)), lambda x: x.isNotNull())
+    parts = F.flatten(F.filter(F.transform(_paragraphs(text), partial(_windows, known, threshold)), lambda x: x.isNotNull()))
+
+    def join(whole: Column) -> Column:
+        def told(x: Column) -> Column:
+            return F.exists(whole, lambda u: (u["licence"] == x["licence"]) & (u["line"] <= x["line"])
+                            & (u["line"] + u["lines"] >= x["line"] + x["lines"]))
+        new = F.array_distinct(F.filter(parts, lambda x: ~told(x)))
+        return F.concat(F.transform(whole, lambda u: F.struct(*[u[c].alias(c) for c in _COLUMNS], F.lit(False).alias("window"))),
+                        F.transform(new, lambda u: F.struct(*[u[c].alias(c) for c in _COLUMNS], F.lit(True).alias("window"))))
+    return _let(units, join)
+
+
+_COLUMNS = ("line", "lines", "licence", "dice")
+
+
 def scan(documents: DataFrame, templates: DataFrame, threshold: float = THRESHOLD,
          id_col: str = "doc_id", text_col: str = "text", block_templates: int = BLOCK_TEMPLATES) -> DataFrame:
-    """One row per matching line or paragraph: doc_id, line (from 0), lines, licence, dice."""
+    """One row per matching line, paragraph or window: doc_id, line (from 0), lines, licence, dice."""
     spark = documents.sparkSession
     docs = documents.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     known = templates.select("licence", bigrams(words(F.col("text"))).alias("b")).where("size(b) > 0")
@@ -105,12 +225,13 @@ def scan(documents: DataFrame, templates: DataFrame, threshold: float = THRESHOL
     parts = []
     for k in range(0, len(rows), block_templates):
         some = rows[k:k + block_templates]
-        found = F.filter(F.transform(_units(F.col("text")), partial(_best, some, threshold)), lambda x: x.isNotNull())
-        parts.append(docs.select("doc_id", F.inline(found)))
+        parts.append(docs.select("doc_id", F.inline(_all(some, threshold, F.col("text")))))
     if not parts:
         return spark.createDataFrame([], "doc_id long, line int, lines int, licence string, dice double")
     if len(parts) == 1:
-        return parts[0]
-    best = reduce(DataFrame.unionByName, parts).groupBy("doc_id", "line", "lines")
+        return parts[0].drop("window")
+    found = reduce(DataFrame.unionByName, parts)
+    best = found.where("NOT window").groupBy("doc_id", "line", "lines")
+    windows = found.where("window").select("doc_id", *_COLUMNS)
     return (best.agg(F.min(F.struct((-F.col("dice")).alias("less"), "licence")).alias("best"))
-            .select("doc_id", "line", "lines", "best.licence", (-F.col("best.less")).alias("dice")))
+            .select("doc_id", "line", "lines", "best.licence", (-F.col("best.less")).alias("dice")).unionByName(windows))

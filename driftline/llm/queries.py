@@ -61,7 +61,7 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every line or paragraph of a document that reads like a licence notice (see ``licences``)."""
-    return licences.scan(table(spark, sf_dir, "documents"), licences.notices(spark))
+    return licences.scan(table(spark, sf_dir, "documents"), licences.wider(spark))
 
 
 def op9_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:

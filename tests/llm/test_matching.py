@@ -186,6 +186,17 @@ def test_licences(spark):
     assert licences.scan(frame(spark, rows).limit(0), licences.notices(spark)).count() == 0
 
 
+def test_licences_inside_other_text(spark):
+    header = licences.NOTICES[2][1].replace(" file except", "\n# file except").replace(" copy of", "\n# copy of")
+    rows = [(1, "Copyright 2020 Acme Corp. All rights reserved."), (2, "Licensed under the MIT License."),
+            (3, "intro\n\nThis work is licensed under CC BY 4.0."), (4, "# " + header + "\nimport os, sys\nprint(os.getcwd())\nx = 1 + 2 + 3 + 4 + 5 + 6 + 7 + 8 + 9 + 10 + 11 + 12 + 13\n"
+            "for a, b, c in zip(p, q, r): yield from run(a, b, c, deep=True, fast=False, more=None)"),
+            (5, "Released under the MIT License. All rights reserved."), (6, "All rights of way are reserved.")]
+    got = sorted((r.doc_id, r.line, r.lines, r.licence, round(r.dice, 3)) for r in licences.scan(frame(spark, rows), licences.wider(spark)).collect())
+    assert got == [(1, 0, 1, "all-rights-reserved", 1.0), (2, 0, 1, "mit", 1.0), (3, 2, 1, "cc-by-4.0", 1.0), (4, 0, 3, "apache-2.0-header", 1.0),
+                   (5, 0, 1, "all-rights-reserved", 1.0), (5, 0, 1, "mit", 1.0)]
+
+
 def grams(text):
     return contamination.shingles(contamination.normal(text or "").split())
 

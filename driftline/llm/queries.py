@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftline.llm import chat, contamination, language, licences, orderhash, packing, quality, simhash, toxicity, urlfilter
+from driftline.llm import (chat, contamination, language, licences, orderhash, packing, quality, ranking, sharding, simhash,
+                           spelling, toxicity, urlfilter)
 from driftline.llm.common import held_out, table, tokenizer_path
 
 
@@ -74,6 +75,25 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), 2048, specials=True)
 
 
+def op11_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item (see ``ranking``)."""
+    return ranking.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 16 shards of near equal bytes (see ``sharding``)."""
+    placed = sharding.assign(table(spark, sf_dir, "documents"), shards=16)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents with their near words, forms and roots (see ``spelling``)."""
+    found = spelling.runs(table(spark, sf_dir, "documents"))
+    words = spelling.vocabulary(found.select(spelling.typed(F.col("run"), F.col("doc_id")).alias("word")))
+    return spelling.group_variants(words)
+
+
 _SHINGLES = """
 SELECT DISTINCT {key}, array_to_string(w[i:i + 4], ' ') AS s
 FROM (SELECT {key}, regexp_extract_all(lower(text), '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+') AS w FROM {table}),
@@ -131,11 +151,60 @@ WITH rest AS (SELECT page_id, CASE WHEN position('://' IN url) > 0 THEN substr(u
      best AS (SELECT n, arg_max(rule, length(rule)) AS rule, arg_max(v, length(rule)) AS v FROM fits GROUP BY n)
 SELECT page_id, host, path, rule, coalesce(v, 'allow') AS verdict FROM asked LEFT JOIN best USING (n)"""
 
+_RANKING = """
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[0-9a-z\\x{80}-\\x{10FFFF}]+') AS w FROM documents),
+     i AS (SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                     '[0-9a-z\\x{80}-\\x{10FFFF}]+')) AS t FROM benchmark),
+     held AS (SELECT doc_id, len(w)::BIGINT AS n, w FROM d WHERE len(w) > 0),
+     size AS (SELECT count(*)::BIGINT AS nn, sum(n)::BIGINT AS l FROM held),
+     tf AS (SELECT doc_id, n, t, count(*)::BIGINT AS tf FROM (SELECT doc_id, n, unnest(w) AS t FROM held) GROUP BY ALL),
+     wt AS (SELECT t, floor(1000 * ln((2 * nn + 2) / (2 * count(*) + 1)))::BIGINT AS wt FROM tf, size GROUP BY t, nn),
+     scored AS (SELECT item_id, doc_id, sum(wt * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * nn) // l))))::BIGINT AS score
+                FROM i JOIN tf USING (t) JOIN wt USING (t), size GROUP BY item_id, doc_id),
+     ranks AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score
+               FROM scored WHERE score > 0)
+SELECT * FROM ranks WHERE rank <= 10"""
+
+# crc32 is a fold over bytes with the table of the reversed polynomial 0xEDB88320; DuckDB's levenshtein
+# compares bytes, so the 64 accented letters become single-byte signs first
+_SPELLING = """
+WITH RECURSIVE steps AS (
+       SELECT list(v ORDER BY b) AS t FROM (
+         SELECT b, list_reduce(list_concat([b::BIGINT], [0, 0, 0, 0, 0, 0, 0, 0]),
+                               lambda x, y: CASE WHEN x % 2 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END) AS v
+         FROM range(0, 256) AS r(b))),
+     runs AS (SELECT doc_id, run, count(*) AS k FROM (
+                SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                         '[a-z\\x{C0}-\\x{FF}]+')) AS run FROM documents)
+              WHERE length(run) >= 6 GROUP BY ALL),
+     hexed AS (SELECT *, hex(encode(doc_id || ':' || run)) AS x FROM runs),
+     hashed AS (SELECT run, k, xor(4294967295, list_reduce(
+                  list_concat([4294967295], list_transform(range(0, length(x) // 2),
+                    lambda j: (strpos('0123456789ABCDEF', x[2 * j + 1]) - 1) * 16 + strpos('0123456789ABCDEF', x[2 * j + 2]) - 1)),
+                  lambda c, b: xor(c >> 8, t[xor(c, b) % 256 + 1]))) AS h FROM hexed, steps),
+     words AS (SELECT CASE WHEN h % 199 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, k
+               FROM hashed),
+     v AS (SELECT word, sum(k)::BIGINT AS n, translate(word, '{accented}', '{signs}') AS bytes
+           FROM words WHERE length(word) >= 6 GROUP BY word HAVING sum(k) >= 5),
+     near AS (SELECT a.word, b.word AS other, b.n AS m FROM v a JOIN v b ON abs(length(a.word) - length(b.word)) <= 1
+              AND levenshtein(a.bytes, b.bytes) = 1),
+     best AS (SELECT word, count(*) AS n_near, max(m) AS m,
+                     (list(other ORDER BY m DESC, encode(other)))[1] AS other FROM near GROUP BY word),
+     forms AS (SELECT v.word, n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN m >= 5 * n THEN other END AS form,
+                      CASE WHEN m >= 5 * n THEN m END::BIGINT AS form_n FROM v LEFT JOIN best USING (word)),
+     chain AS (SELECT word, word AS root, form AS further FROM forms
+               UNION ALL SELECT c.word, f.word, f.form FROM chain c JOIN forms f ON f.word = c.further)
+SELECT f.word, f.form, c.root, f.n, f.n_near, f.form_n FROM forms f JOIN chain c ON c.word = f.word AND c.further IS NULL"""
+_SPELLING = (_SPELLING.replace("{accented}", "".join(map(chr, range(0xC0, 0x100))))
+             .replace("{signs}", "".join(map(chr, range(33, 97))).replace("'", "''")))
+
 QUERIES = {
     "op1_quality": op1_quality, "op2_toxicity": op2_toxicity, "op3_chat": op3_chat,
     "op4_order_minhash": op4_order_minhash, "op5_url_filter": op5_url_filter, "op6_language": op6_language,
     "op7_simhash": op7_simhash, "op8_licences": op8_licences, "op9_contamination": op9_contamination,
-    "op10_packing": op10_packing,
+    "op10_packing": op10_packing, "op11_ranking": op11_ranking, "op12_sharding": op12_sharding,
+    "op13_spelling": op13_spelling,
 }
 ORACLES = {"op3_chat": _CHAT, "op5_url_filter": _URL_FILTER, "op8_licences": _LICENCES,
-           "op9_contamination": _CONTAMINATION}
+           "op9_contamination": _CONTAMINATION, "op11_ranking": _RANKING, "op13_spelling": _SPELLING}

@@ -1,37 +1,35 @@
-"""Blocked exponential-moving-average scan, expressed with windows and joins.
+"""Exponential moving averages over rows that lie in pinned ranges.
 
-For one key and positions t = 0, 1, 2, ...:   y_t = q * y_{t-1} + a * u_t,  y_{-1} = 0,
-with q = 1 - a.  (A seed y_0 = s is written as u_0 = s / a.)
+For the rows of one key, y_t = q * y_{t-1} + a * u_t with q = 1 - a.  Rows are dealt to
+ranges by (key, order) and numbered p = 0, 1, ... inside (range, key); see
+:mod:`driftline.operators.ranges`.  Here only the part inside a range is computed, with
+y = 0 before it.  An earlier part of the key adds q^(p+1) * C, with C its last y: an
+affine map, so the parts of a key compose through one number each.
 
-Rows are cut into blocks of B positions (block = t div B, j = t mod B).  Inside a
-block, with S_j = sum_{i<=j} a * u_i * q^(-i) (a running window sum):
+Inside a range the sum is taken in blocks of p, since q^(-p) overflows in the end:
 
-    y_t     = q^j * S_j       + q^(j+1) * C_b
-    y_{t-1} = q^(j-1) * S_{j-1} + q^j   * C_b          (S_{-1} = 0)
+    S_j = sum_{i <= j} a * u_i * q^(-i),   y = q^j * S_j + q^(j+1) * (y at the end of the block before)
 
-C_b, the value carried into block b, is sum_{k=1..K} q^(B(k-1)) * L_{b-k}, where
-L_c = q^(B-1) * S_{B-1} of block c.  K reaches back until q^(K B) is zero in double
-precision: every weight that is not zero is used, so nothing is cut off.  Every
-window is partitioned by
-(key, block), so a key of any length is spread over many tasks; the block
-tables (one row per block) are the only thing that moves for the carries.
+Two blocks back weigh q^(2 * block), less than the smallest normal double, so every
+weight that counts is used.  All windows share one partitioning (the range) and one order.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from driftline.operators.ranges import POSITION, RANGE_COL
+
 BLOCK_COL = "_blk"
 POS_COL = "_j"
 
+# rows per block by smoothing factor: q^block is about 1e-160; the longer one is a multiple
+BLOCKS = {0.01: 36_000, 0.1: 3_600}
+
 
-def carry_blocks(alpha: float, block: int) -> int:
-    """Number of previous blocks whose weight q^(K*B) is not zero in double precision."""
-    smallest = math.log(5e-324)
-    return int(math.ceil(smallest / (block * math.log1p(-alpha)))) + 1
+def block_name(alpha: float) -> str:
+    return f"_b{BLOCKS[alpha]}"
 
 
 def add_blocks(df: DataFrame, t_col: str, block: int) -> DataFrame:
@@ -39,61 +37,27 @@ def add_blocks(df: DataFrame, t_col: str, block: int) -> DataFrame:
               .withColumn(POS_COL, (F.col(t_col) % F.lit(block)).cast("int")))
 
 
-def ema_scan(df: DataFrame, keys: list[str], t_col: str, u: str, alpha: float, block: int,
-             out: str, prev_out: str | None = None) -> DataFrame:
-    """Add ``out`` = y_t (and ``prev_out`` = y_{t-1}) for input column ``u``.
-
-    ``df`` must already carry ``_blk`` / ``_j`` (see :func:`add_blocks`).
-    """
-    q = 1.0 - alpha
-    kk = carry_blocks(alpha, block)
-    part = [*keys, BLOCK_COL]
-    w = Window.partitionBy(*part).orderBy(t_col)
-    j = F.col(POS_COL).cast("double")
-    term = F.lit(alpha) * F.col(u) * F.pow(F.lit(q), -j)
-    s_cur = F.sum(term).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    s_prev = F.coalesce(F.sum(term).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
-    tmp_s, tmp_p = f"_s_{out}", f"_sp_{out}"
-    rows = df.withColumn(tmp_s, s_cur).withColumn(tmp_p, s_prev)
-
-    # block ends (full blocks only matter: every block before the last is full)
-    ends = (rows.where(F.col(POS_COL) == block - 1)
-                .select(*part, (F.pow(F.lit(q), F.lit(float(block - 1))) * F.col(tmp_s)).alias("_L")))
-    shifts = F.explode(F.array(*[F.struct(F.lit(k).alias("k"),
-                                          F.lit(q ** (block * (k - 1))).alias("wt"))
-                                 for k in range(1, kk + 1)])).alias("_sh")
-    carry = (ends.select(*keys, BLOCK_COL, "_L", shifts)
-                 .select(*keys, (F.col(BLOCK_COL) + F.col("_sh.k")).alias(BLOCK_COL),
-                         (F.col("_L") * F.col("_sh.wt")).alias("_c"))
-                 .groupBy(*part).agg(F.sum("_c").alias(f"_C_{out}")))
-    rows = rows.join(carry, on=part, how="left")
-    c = F.coalesce(F.col(f"_C_{out}"), F.lit(0.0))
-    y = F.pow(F.lit(q), j) * F.col(tmp_s) + F.pow(F.lit(q), j + 1) * c
-    rows = rows.withColumn(out, y)
-    if prev_out:
-        yp = F.pow(F.lit(q), j - 1) * F.col(tmp_p) + F.pow(F.lit(q), j) * c
-        rows = rows.withColumn(prev_out, yp)
-    return rows.drop(tmp_s, tmp_p, f"_C_{out}")
-
-
-def block_lag(df: DataFrame, keys: list[str], t_col: str, value: str, lag: int, block: int,
-              out: str) -> DataFrame:
-    """``out`` = value at position t - lag of the same key (NULL before the start).
-
-    Inside a block this is a window ``lag``; the first ``lag`` rows of a block read
-    the tail of the previous block (at most ``lag`` values per block, joined on
-    (key, block))."""
-    assert lag < block
-    part = [*keys, BLOCK_COL]
-    w = Window.partitionBy(*part).orderBy(t_col)
-    tail = (df.where(F.col(POS_COL) >= block - lag)
-              .groupBy(*part)
-              .agg(F.array_sort(F.collect_list(F.struct(F.col(POS_COL), F.col(value)))).alias("_tail"))
-              .select(*keys, (F.col(BLOCK_COL) + 1).alias(BLOCK_COL),
-                      F.transform("_tail", lambda x: x[value]).alias(f"_tail_{out}")))
-    rows = df.withColumn(f"_in_{out}", F.lag(F.col(value), lag).over(w))
-    rows = rows.join(tail, on=part, how="left")
-    # previous block's value at j' = block - lag + j  ->  tail index j (0-based)
-    from_tail = F.try_element_at(F.col(f"_tail_{out}"), F.col(POS_COL) + 1)
-    rows = rows.withColumn(out, F.when(F.col(POS_COL) >= lag, F.col(f"_in_{out}")).otherwise(from_tail))
-    return rows.drop(f"_in_{out}", f"_tail_{out}")
+def part_window(keys: list[str]):
+    """The rows of one key in one range, in order."""
+    return Window.partitionBy(RANGE_COL, *keys).orderBy(*map(block_name, BLOCKS), POSITION)
+
+
+def ema_in_range(df: DataFrame, keys: list[str], alpha: float, inputs: dict[str, str]) -> DataFrame:
+    """Add ``out`` for every ``out: u`` of ``inputs``: the average inside the range alone."""
+    q, size = 1.0 - alpha, BLOCKS[alpha]
+    longer = [block_name(a) for a, n in BLOCKS.items() if n >= size]
+    shorter = [block_name(a) for a, n in BLOCKS.items() if n < size]
+    block = Window.partitionBy(RANGE_COL, *keys, *longer).orderBy(*shorter, POSITION)
+    upto = block.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = part_window(keys).rowsBetween(Window.unboundedPreceding, -1)
+    j = (F.col(POSITION) % F.lit(size)).cast("double")
+    at_end = F.col(POSITION) % F.lit(size) == size - 1
+    down = F.pow(F.lit(q), j)
+    rows = df.withColumns({out: F.coalesce(F.sum(F.lit(alpha) * F.col(u) * F.pow(F.lit(q), -j)).over(upto), F.lit(0.0)) * down
+                           for out, u in inputs.items()})
+    for _ in range(2):  # the ends of the block before, then with what it took over itself
+        taken = {out: F.coalesce(F.col(f"_c_{out}"), F.lit(0.0)) if f"_c_{out}" in rows.columns else F.lit(0.0) for out in inputs}
+        rows = rows.withColumns({f"_c_{out}": F.last(F.when(at_end, F.col(out) + F.lit(q ** size) * taken[out]), ignorenulls=True).over(before)
+                                 for out in inputs})
+    rows = rows.withColumns({out: F.col(out) + down * F.lit(q) * F.coalesce(F.col(f"_c_{out}"), F.lit(0.0)) for out in inputs})
+    return rows.drop(*[f"_c_{out}" for out in inputs])

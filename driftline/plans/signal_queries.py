@@ -15,7 +15,7 @@ from driftline.sources.tables import event_payloads, event_stream
 
 
 def all_rows(spark: SparkSession, sf_dir: str, variant: str = "warm") -> DataFrame:
-    return compute_signals(explode_features(event_stream(spark, sf_dir, variant)))
+    return compute_signals(explode_features(event_stream(spark, sf_dir, variant), keep_empty=True))
 
 
 def q_parse_events(spark, sf_dir) -> DataFrame:

@@ -29,7 +29,7 @@ def store(spark: SparkSession, sf_dir: str, variant: str = "warm") -> str:
     key = (spark.sparkContext.applicationId, sf_dir, variant)
     if key not in _WRITTEN:
         base = scratch_path(spark, f"stored-{variant}")
-        rows = compute_signals(explode_features(event_stream(spark, sf_dir, variant)))
+        rows = compute_signals(explode_features(event_stream(spark, sf_dir, variant), keep_empty=True))
         rows.write.parquet(os.path.join(base, "rows"))
         rows = spark.read.parquet(os.path.join(base, "rows"))
         _write(signal_rows(rows), os.path.join(base, "signals"))

@@ -2,9 +2,10 @@ import datetime as dt
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from driftline.operators.scoring import predictions
-from driftline.operators.signals import compute_signals, explode_features
+from driftline.operators.signals import compute_signals, explode_features, model_state
 from driftline.streaming.processor import KeySignals
 
 T0 = dt.datetime(2024, 1, 1)
@@ -20,8 +21,8 @@ def events_df(spark, model, series: dict[str, list[float]]):
                                        "features map<string,double>, prediction double")
 
 
-def run_batch(spark, model, series, block=64):
-    rows = compute_signals(explode_features(events_df(spark, model, series)), block=block)
+def run_batch(spark, model, series, num_ranges=4):
+    rows = compute_signals(explode_features(events_df(spark, model, series)), num_ranges=num_ranges)
     sig = {(r["feature"], r["t"]): (r["drift"], r["velocity"], r["acceleration"], r["samples"])
            for r in rows.where("t >= 1").collect()}
     pred = {r["event_id"]: r for r in predictions(rows).collect()}
@@ -80,11 +81,12 @@ def test_batch_scan_equals_loop_across_blocks(spark):
         "const": [7.5] * n,
         "ints": [float(rng.randint(0, 5)) for _ in range(n)],
     }
-    sig, _ = run_batch(spark, "m", series, block=64)   # 11 blocks, carries over many blocks
     loop = run_loop(series)
-    assert set(sig) == set(loop)
-    bad = [(k, sig[k], loop[k]) for k in loop if sig[k] != loop[k]]
-    assert not bad, bad[:5]
+    for num_ranges in (1, 5, 150):   # 150: parts shorter than the lags, keys over many borders
+        sig, _ = run_batch(spark, "m", series, num_ranges)
+        assert set(sig) == set(loop)
+        bad = [(k, sig[k], loop[k]) for k in loop if sig[k] != loop[k]]
+        assert not bad, (num_ranges, bad[:5])
     assert all(loop[("const", t)][0] == 0.0 for t in range(1, n))
 
 
@@ -126,8 +128,8 @@ def test_rolling_stats_across_blocks_matches_pandas(spark):
     assert bool(got.loc[150, "outlier"]) and got["outlier"].sum() >= 1
 
 
-def _same(spark, series, block):
-    sig, _ = run_batch(spark, "m", series, block=block)
+def _same(spark, series, num_ranges=4):
+    sig, _ = run_batch(spark, "m", series, num_ranges)
     loop = run_loop(series)
     assert set(sig) == set(loop)
     bad = [(k, sig[k], loop[k]) for k in loop if any(abs(a - b) > 2e-6 for a, b in zip(sig[k], loop[k]))]
@@ -136,15 +138,68 @@ def _same(spark, series, block):
 
 
 def test_long_constant_and_step_then_flat(spark):
-    loop = _same(spark, {"flat": [7.3] * 20_000}, 1024)
+    loop = _same(spark, {"flat": [7.3] * 20_000})
     assert all(loop["flat", t][0] == 0.0 for t in range(1, 20_000))
     rng = random.Random(3)
     steps = {"step": [100.0] * 500 + [250.1] * 11_500, "zero": [5.0] * 3000 + [0.0] * 9000,
              "walk": [50 + rng.gauss(0, 4) for _ in range(500)] + [61.7] * 11_500}
-    loop = _same(spark, steps, 1024)
+    loop = _same(spark, steps)
     assert all(loop[f, t][0] < 1e-3 for f in steps for t in (11_900, 11_999))
 
 
 def test_flat_then_jump_saturates(spark):
-    loop = _same(spark, {"x": [3.0] * 7000 + [4.0] * 5}, 64)
+    loop = _same(spark, {"x": [3.0] * 7000 + [4.0] * 5}, 20)
     assert loop["x", 7000][0] == 0.1 and loop["x", 6999][0] == 0.0
+
+
+def test_blocks_inside_a_range(spark):
+    """One range longer than the blocks of either smoothing factor."""
+    rng = random.Random(21)
+    _same(spark, {"x": [50 + rng.gauss(0, 2) + (i > 60_000) * 3 for i in range(80_000)]}, 1)
+
+
+def test_rows_are_shuffled_twice(spark, monkeypatch):
+    """Into the ranges, and never again: no exchange, no sort after the pin."""
+    from driftline.operators import ranges
+    from driftline.operators.signals import signal_rows
+    from driftline.sources.tables import event_stream
+    from tests.conftest import SF_SMALL
+    pinned = []
+    keep = ranges.pin_in_place
+    monkeypatch.setattr(ranges, "pin_in_place", lambda df: (pinned.append(df), keep(df))[1])
+    rows = signal_rows(compute_signals(explode_features(event_stream(spark, SF_SMALL), keep_empty=True)))
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert len(pinned) == 1 and "Window" in plan
+    assert "hashpartitioning" not in plan and "rangepartitioning" not in plan and "Sort " not in plan
+    before = pinned[0]._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
+    assert sum("Exchange" in line for line in before.splitlines()) == 2
+
+
+def test_scan_from_a_stored_state_equals_one_scan(spark):
+    from driftline.operators.signals import key_state
+    rng = random.Random(5)
+    series = {"walk": list(np.cumsum([rng.gauss(0, 1) for _ in range(260)]) + 50), "const": [7.5] * 260,
+              "steps": [10.0 if i % 50 > 44 else 3.0 for i in range(260)]}
+    long = explode_features(events_df(spark, "m", series)).withColumn("x", F.when(
+        (F.col("feature") != "steps") | (F.col("event_id") > 30), F.col("x"))).where("x IS NOT NULL")
+    cols = ["event_id", "feature", "t", "drift", "velocity", "acceleration", "samples"]
+    want = sorted(tuple(r) for r in compute_signals(long).select(*cols).collect())
+    got, state = [], None
+    for a, b in ((0, 3), (3, 4), (4, 11), (11, 13), (13, 25), (25, 140), (140, 260)):
+        part = long.where((F.col("event_id") >= a) & (F.col("event_id") < b))
+        rows = compute_signals(part, num_ranges=6, keep_state=True, state=state).persist()
+        got += [tuple(r) for r in rows.select(*cols).collect()]
+        state = spark.createDataFrame(key_state(rows, state).collect(), key_state(rows, state).schema)
+        rows.unpersist()
+    assert sorted(got) == want
+    assert {r["feature"]: r["t"] for r in state.collect()} == {"walk": 259, "const": 259, "steps": 228}
+
+
+def test_event_without_features_gets_its_prediction_in_batch(spark):
+    events = spark.createDataFrame([(i, "m", T0 + dt.timedelta(seconds=i), f) for i, f in enumerate(
+        [{"a": 1.0}, {}, None, {"a": float("nan"), "b": None}, {"a": 2.0, "b": float("nan")}])],
+        "event_id long, model string, ts timestamp_ntz, features map<string,double>")
+    rows = compute_signals(explode_features(events, keep_empty=True))
+    got = {r["event_id"]: (r["risk"], r["n_features"]) for r in predictions(rows).collect()}
+    assert got == {0: ("UNKNOWN", 0), 1: ("UNKNOWN", 0), 2: ("UNKNOWN", 0), 3: ("UNKNOWN", 0), 4: ("CRITICAL", 1)}
+    assert [r["feature"] for r in model_state(rows).collect()] == ["a"]

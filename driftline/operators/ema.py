@@ -1,4 +1,4 @@
-"""Exponential moving averages over rows that lie in pinned ranges.
+"""Exponential moving averages over rows in ordered parts.
 
 For the rows of one key, y_t = q * y_{t-1} + a * u_t with q = 1 - a.  Rows are dealt to
 ranges by (key, order) and numbered p = 0, 1, ... inside (range, key); see

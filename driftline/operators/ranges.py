@@ -1,11 +1,12 @@
-"""Rows of many keys in pinned, ordered ranges, and what goes over a range's border.
+"""Rows of many keys in ordered parts, and what goes over the border of two parts.
 
-Rows are range-partitioned by (key, order), so a hot key lies in many ranges and every
-range is one task's work.  The range id travels with the rows; they are numbered inside
-(range, key), sorted, and pinned with a reliable checkpoint.  The checkpoint keeps its
+A key with no more rows than a fair share of a task stays whole: rows are dealt by a hash
+of the key, and nothing more is needed.  Keys with more rows (fewer than there are tasks)
+are cut by range partitioning on (key, order), in which all rows of another key are equal
+and stay together.  The range ids are then pinned with a reliable checkpoint.  It keeps its
 partitioning and order, so windows per (range, key ...) on it need no shuffle and no sort.
 
-A range border cuts at most one key.  What a later part of a key must know of the
+A border of two ranges cuts at most one key.  What a later part of a key must know of the
 earlier ones is therefore a table of at most one row per range, however many keys there
 are: it is collected, folded in the order of the ranges, and broadcast back.
 """
@@ -14,7 +15,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from driftline.operators.prefix import RANGE_COL, ensure_checkpoint_dir
@@ -38,21 +39,44 @@ def pin_in_place(df: DataFrame) -> DataFrame:
         spark.conf.set(name, adaptive)
 
 
-def pinned_ranges(df: DataFrame, keys: list[str], order: list[str], blocks: dict[str, int],
-                  num_ranges: int | None = None) -> DataFrame:
-    """``df`` in ranges with ``_rng``, the position ``_p`` inside (range, key) and one column
-    per entry of ``blocks`` (name: rows, longest first).
+def heavy_keys(df: DataFrame, keys: list[str], parts: int) -> list[tuple]:
+    """Keys with more rows than the mean of ``parts`` equal parts: fewer than ``parts``.
 
-    Rows without a value in all of ``order`` come first and get position -1: they carry
+    One aggregate; of its rows the largest ``parts`` and the sum come to the driver."""
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    total = Observation("rows")
+    most = counts.observe(total, F.sum("_n").alias("rows")).orderBy(F.desc("_n"), *keys).limit(parts).collect()
+    rows = total.get["rows"] or 0
+    return [tuple(r)[:-1] for r in most if r["_n"] * parts > rows]
+
+
+def ordered_parts(df: DataFrame, keys: list[str], order: list[str], blocks: dict[str, int],
+                  num_ranges: int | None = None) -> tuple[DataFrame, bool]:
+    """``df`` with ``_rng``, the position ``_p`` inside (range, key) and one column per entry of
+    ``blocks`` (name: rows, longest first); and whether any key is cut.
+
+    Rows without a value in the first of ``order`` come first and get position -1: they carry
     what is known of a key from before, at most one a key."""
     n = num_ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *keys, *order).withColumn(RANGE_COL, F.spark_partition_id())
-    dealt = ranged.repartitionById(n, F.col(RANGE_COL))
+    heavy = heavy_keys(df, keys, n)
+    if heavy:
+        kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+        table = df.sparkSession.createDataFrame([(*k, True) for k in heavy], ", ".join(f"_h_{k} {kinds[k]}" for k in keys) + ", _heavy boolean")
+        same = F.lit(True)
+        for k in keys:
+            same = same & F.col(k).eqNullSafe(F.col(f"_h_{k}"))
+        marked = df.join(F.broadcast(table), same, "left").drop(*[f"_h_{k}" for k in keys])  # at most n rows
+        cuts = [F.when(F.col("_heavy"), F.col(c)) for c in order]
+        ranged = marked.repartitionByRange(n, *keys, *cuts).drop("_heavy").withColumn(RANGE_COL, F.spark_partition_id())
+        dealt = ranged.repartitionById(n, F.col(RANGE_COL))
+    else:
+        dealt = df.repartition(n, *keys).withColumn(RANGE_COL, F.spark_partition_id())
     inside = Window.partitionBy(RANGE_COL, *keys).orderBy(*order)
     known = F.first(F.col(order[0]).isNull()).over(inside.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     rows = dealt.withColumn(POSITION, (F.row_number().over(inside) - 1 - known.cast("int")).cast("long"))
     rows = rows.withColumns({name: F.floor(F.col(POSITION) / F.lit(size)) for name, size in blocks.items()})
-    return pin_in_place(rows.sortWithinPartitions(RANGE_COL, *keys, *blocks, POSITION))
+    rows = rows.sortWithinPartitions(RANGE_COL, *keys, *blocks, POSITION)
+    return (pin_in_place(rows), True) if heavy else (rows, False)
 
 
 @dataclass

@@ -19,10 +19,11 @@ be noise.  No division by s happens where s may be zero.  Batch, stream and orac
 share this rule.  The mean is scanned centred on the part's first value (exact for
 constant features).  Order within a key is (ts, event_id).
 
-Rows are shuffled twice, into pinned ranges (:mod:`driftline.operators.ranges`), and never
-again: every step is a window per (range, key) on that table.  A key that a border cuts
-takes over, for each step in turn, the value before the border; that is one row per range
-at most.  The lags of nine reach over a border through the last drifts before it.
+Rows are shuffled once, by key, and every step is a window on that (see
+:mod:`driftline.operators.ranges`).  Keys with more rows than a task's fair share are cut
+into pinned ranges; a cut key takes over, for each step in turn, the value before the
+border: one row per range at most.  The lags of nine reach over a border through the last
+drifts before it.
 
 A scan may start from a stored state (:func:`key_state`): the state's rows are ranged with
 the values, before them, and every step takes over from them as it does over a border.
@@ -36,7 +37,7 @@ from pyspark.sql import functions as F
 from driftline.functions.numeric import is_finite_value, round_half_even
 from driftline.operators.ema import BLOCKS, block_name, ema_in_range, part_window
 from driftline.operators.prefix import keyed_positions
-from driftline.operators.ranges import (POSITION, RANGE_COL, Border, before_borders, borders, pinned_ranges,
+from driftline.operators.ranges import (POSITION, RANGE_COL, Border, before_borders, borders, ordered_parts,
                                         with_carry)
 
 KEYS = ["model", "feature"]
@@ -283,8 +284,8 @@ def compute_signals(long: DataFrame, num_ranges: int | None = None, keep_state:
     if state is not None:
         packed = state.select("model", "feature", F.struct(*[c for c in state.columns if c not in KEYS]).alias("_state"))
         rows = rows.withColumn("_state", F.lit(None).cast(packed.schema["_state"].dataType)).unionByName(packed, allowMissingColumns=True)
-    rows = pinned_ranges(rows, KEYS, ORDER, {block_name(a): n for a, n in BLOCKS.items()}, num_ranges)
-    found = borders(rows, KEYS)
+    rows, cut = ordered_parts(rows, KEYS, ORDER, {block_name(a): n for a, n in BLOCKS.items()}, num_ranges)
+    found = borders(rows, KEYS) if cut else []
     carries = _fold(before_borders(rows, KEYS, found), found) if found else []
     rows = _smooth(_spread_and_drift(_mean(_with_carries(rows, found, carries))))
     t = F.col("t")

@@ -158,21 +158,24 @@ def test_blocks_inside_a_range(spark):
     _same(spark, {"x": [50 + rng.gauss(0, 2) + (i > 60_000) * 3 for i in range(80_000)]}, 1)
 
 
-def test_rows_are_shuffled_twice(spark, monkeypatch):
-    """Into the ranges, and never again: no exchange, no sort after the pin."""
+def test_shuffles_of_the_scan(spark, monkeypatch):
+    """One shuffle by key; keys that must be cut: two before the pin and none after it."""
     from driftline.operators import ranges
     from driftline.operators.signals import signal_rows
     from driftline.sources.tables import event_stream
     from tests.conftest import SF_SMALL
+    def plan_of(df):
+        text = df._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
+        return sum("Exchange" in line for line in text.splitlines()), "Sort " in text, text
     pinned = []
     keep = ranges.pin_in_place
     monkeypatch.setattr(ranges, "pin_in_place", lambda df: (pinned.append(df), keep(df))[1])
-    rows = signal_rows(compute_signals(explode_features(event_stream(spark, SF_SMALL), keep_empty=True)))
-    plan = rows._jdf.queryExecution().executedPlan().toString()
-    assert len(pinned) == 1 and "Window" in plan
-    assert "hashpartitioning" not in plan and "rangepartitioning" not in plan and "Sort " not in plan
-    before = pinned[0]._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
-    assert sum("Exchange" in line for line in before.splitlines()) == 2
+    long = explode_features(event_stream(spark, SF_SMALL), keep_empty=True)
+    exchanges, _, text = plan_of(signal_rows(compute_signals(long)))
+    assert exchanges == 1 and not pinned and text.count("FileScan") == 1
+    exchanges, sorts, text = plan_of(signal_rows(compute_signals(long, num_ranges=200)))
+    assert exchanges == 0 + text.count("BroadcastExchange") and not sorts and len(pinned) == 1
+    assert plan_of(pinned[0])[0] == 2 + plan_of(pinned[0])[2].count("BroadcastExchange")
 
 
 def test_scan_from_a_stored_state_equals_one_scan(spark):
@@ -185,11 +188,12 @@ def test_scan_from_a_stored_state_equals_one_scan(spark):
     cols = ["event_id", "feature", "t", "drift", "velocity", "acceleration", "samples"]
     want = sorted(tuple(r) for r in compute_signals(long).select(*cols).collect())
     got, state = [], None
-    for a, b in ((0, 3), (3, 4), (4, 11), (11, 13), (13, 25), (25, 140), (140, 260)):
+    for a, b in ((0, 3), (3, 4), (4, 13), (13, 25), (25, 260)):
         part = long.where((F.col("event_id") >= a) & (F.col("event_id") < b))
         rows = compute_signals(part, num_ranges=6, keep_state=True, state=state).persist()
         got += [tuple(r) for r in rows.select(*cols).collect()]
-        state = spark.createDataFrame(key_state(rows, state).collect(), key_state(rows, state).schema)
+        after = key_state(rows, state)
+        state = spark.createDataFrame(after.collect(), after.schema)
         rows.unpersist()
     assert sorted(got) == want
     assert {r["feature"]: r["t"] for r in state.collect()} == {"walk": 259, "const": 259, "steps": 228}

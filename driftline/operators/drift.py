@@ -1,37 +1,45 @@
 """Batch drift between a baseline and a current sample, per feature.
 
 Input: one DataFrame with segment columns (e.g. ``scenario`` or ``run_date``), a
-``side`` column (``'b'`` baseline / ``'c'`` current) and numeric feature columns.
+``side`` column (``'b'`` baseline / ``'c'`` current) and numeric feature columns.  With a
+shared baseline its rows stand there once, with null segments, and every segment is
+compared with them; otherwise a segment has a baseline of its own.
 
 Everything flows from one unpivot and one ECDF table:
 
     long  (seg..., feature, side, value)          -- nulls / NaN dropped per side
-    ecdf  (seg..., feature, value, n_b, n_c, cum_n_b, cum_n_c)
-
-* PSI edges: order statistics of the baseline read off ``cum_n_b`` (numpy's
-  linear interpolation, then unique edges);
-* bin counts: each distinct value falls in one bin of its group's edges;
-* KS D: ``max |cum_n_b/N_b - cum_n_c/N_c|``;
+    ecdf  (seg..., feature, value, n_b, n_c, own_b, cum_n_b, cum_n_c, all_b, all_c)
+
+Distinct values of both sides lie in one order (range-partitioned by feature and value,
+so a hot feature is many tasks' work): the baseline is ranked once, and the current
+values of any number of segments are located in it by the same running sums.  No row of
+the baseline is copied.
+
+* PSI edges: order statistics of the baseline read off ``cum_n_b`` (numpy's linear
+  interpolation, then unique edges), once per baseline;
+* bin counts: each distinct value falls in one bin of its baseline's edges;
+* KS D: the step functions differ most at a current value or just before one, so
+  ``max |F_b - F_c|`` is taken there and needs the current rows only;
 * mean / variance shift: one grouped aggregate over ``long``.
 
-Only the segment x feature tables (a few rows each) are broadcast, and only
-when the caller states how many groups there are.
+Tables of a shared baseline have a few rows per feature and are broadcast; for the others
+the runtime sizes decide.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import (BooleanType, ByteType, DecimalType, DoubleType, FloatType,
                                IntegerType, LongType, ShortType)
 
 import pandas as pd
 
-from driftline.functions.kolmogorov import kolmogorov_sf_expr, ks_pvalue_exact
+from driftline.functions.kolmogorov import kolmogorov_sf_expr, ks_pvalue
 from driftline.functions.numeric import is_finite_value, ordered_sum_expr, round_half_even
 from driftline.functions.severity import psi_severity
-from driftline.operators.prefix import keyed_running_sum
+from driftline.operators.prefix import RANGE_COL
+from driftline.operators.ranges import pin_in_place
 
 NUMERIC_TYPES = (ByteType, ShortType, IntegerType, LongType, FloatType, DoubleType, DecimalType)
 
@@ -40,7 +48,6 @@ NUMERIC_TYPES = (ByteType, ShortType, IntegerType, LongType, FloatType, DoubleTy
 DEFAULT_BUCKETS = 10
 PSI_EPSILON = 1e-4
 SHIFT_EPSILON = 1e-9
-GROUP_BROADCAST_LIMIT = 100_000
 
 
 def feature_columns(baseline: DataFrame, current: DataFrame) -> list[str]:
@@ -58,12 +65,11 @@ def feature_columns(baseline: DataFrame, current: DataFrame) -> list[str]:
 
 def tag_sides(baseline: DataFrame, current: DataFrame, features: list[str],
               segments: list[str] | None = None) -> DataFrame:
-    """Union baseline and current into one frame with a ``side`` column."""
-    segments = segments or []
-    cols = [*segments, *features]
-    b = baseline.select(*[F.col(c) for c in cols], F.lit("b").alias("side"))
-    c = current.select(*[F.col(c) for c in cols], F.lit("c").alias("side"))
-    return b.unionByName(c)
+    """Union of a shared baseline, once and with null segments, and the current rows."""
+    kinds = {f.name: f.dataType for f in current.schema.fields}
+    none = [F.lit(None).cast(kinds[c]).alias(c) for c in segments or []]
+    b = baseline.select(*none, *features, F.lit("b").alias("side"))
+    return b.unionByName(current.select(*(segments or []), *features, F.lit("c").alias("side")))
 
 
 def unpivot(tagged: DataFrame, features: list[str], segments: list[str]) -> DataFrame:
@@ -82,127 +88,151 @@ def feature_name(features: list[str]):
     return F.element_at(F.array(*[F.lit(f) for f in features or [""]]), F.col("feature_idx") + 1)
 
 
+def _finite_p(d: pd.Series, n1: pd.Series, n2: pd.Series) -> pd.Series:
+    known = ~(d.isna() | n1.isna() | n2.isna() | (n1 == 0) | (n2 == 0))
+    return pd.Series([ks_pvalue(float(dv), int(a), int(b)) if ok else None for dv, a, b, ok in zip(d, n1, n2, known)],
+                     dtype="float64")
 
 
-def _exact_p(d: pd.Series, n1: pd.Series, n2: pd.Series) -> pd.Series:
-    out = []
-    for dv, a, b in zip(d, n1, n2):
-        if pd.isna(dv) or pd.isna(a) or pd.isna(b) or a == 0 or b == 0:
-            out.append(None)
-        else:
-            out.append(ks_pvalue_exact(float(dv), int(a), int(b)))
-    return pd.Series(out, dtype="float64")
+def _finite_p_udf(*cols):
+    # built on first use (a pandas UDF needs a running session)
+    return F.pandas_udf(_finite_p, "double")(*cols)
 
 
-def _exact_p_udf(*cols):
-    # built on first use (a pandas UDF needs a running session)
-    return F.pandas_udf(_exact_p, "double")(*cols)
+def matched(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left", small: bool = False) -> DataFrame:
+    """Join in which null keys match; ``small``: the right side is bounded and broadcast."""
+    other = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & F.col(k).eqNullSafe(F.col(f"_r_{k}"))
+    return left.join(F.broadcast(other) if small else other, cond, how).drop(*[f"_r_{k}" for k in keys])
 
 
 class DriftTables:
-    """Lazily built tables shared by the PSI, KS and shift outputs."""
+    """Lazily built tables that the PSI, KS and shift outputs share.
+
+    ``shared``: the baseline rows have null segments and count for every segment with
+    current rows; ``expected`` names further segments (a table of the segment columns)."""
 
     def __init__(self, tagged: DataFrame, features: list[str], segments: list[str] | None = None,
-                 buckets: int = DEFAULT_BUCKETS):
+                 buckets: int = DEFAULT_BUCKETS, shared: bool = False, expected: DataFrame | None = None):
         self.segments = list(segments or [])
         self.features = list(features)
         self.buckets = buckets
+        self.shared = shared or not self.segments
+        self.expected = expected
         self.keys = [*self.segments, "feature_idx", "feature"]
         self.ikeys = [*self.segments, "feature_idx"]       # what the large shuffles carry
-        self._groups = None
+        self.bkeys = ["feature_idx"] if self.shared else self.ikeys   # of a baseline
         self.long = unpivot(tagged, self.features, self.segments)
-        self._ecdf = None
-        self._totals = None
+        self._pinned = None
+
+    # -- one row per baseline, one per segment ----------------------------------
+    def paired(self, both: DataFrame, base: list[str], cur: list[str], has_b: str, has_c: str) -> DataFrame:
+        """A table of groups (``ikeys``), the baseline's columns and the segment's side by side."""
+        if not self.shared:
+            return both.withColumn("feature", feature_name(self.features)).select(*self.keys, *base, *cur)
+        b = both.where(F.col(has_b) > 0).select("feature_idx", *base)
+        c = both.where(F.col(has_c) > 0).select(*self.ikeys, *cur)
+        if self.segments:
+            known = c.select(*self.segments)
+            known = (known if self.expected is None else known.unionByName(self.expected.select(*self.segments))).distinct()
+        else:
+            known = both.sparkSession.range(1).select()
+        grid = known.select("*", F.explode(F.array(*[F.lit(i) for i in range(len(self.features))]).cast("array<int>")).alias("feature_idx"))
+        out = matched(matched(grid, b, ["feature_idx"], small=True), c, self.ikeys)
+        return out.withColumn("feature", feature_name(self.features)).select(*self.keys, *base, *cur)
 
     # -- ECDF -----------------------------------------------------------------
-    def ecdf(self) -> DataFrame:
-        if self._ecdf is None:
+    def pinned(self) -> DataFrame:
+        """Distinct values in pinned ranges, with running counts inside a range."""
+        if self._pinned is None:
             counts = self.long.groupBy(*self.ikeys, "value").agg(
-                F.count_if(F.col("side") == "b").alias("n_b"),
-                F.count_if(F.col("side") == "c").alias("n_c"))
-            ecdf = keyed_running_sum(counts, self.ikeys, [F.col("value")], ["n_b", "n_c"])
-            ecdf = ecdf.select(*self.ikeys, feature_name(self.features).alias("feature"),
-                               "value", "n_b", "n_c", "cum_n_b", "cum_n_c")
-            # every metric reads this table; its lineage starts at a reliable checkpoint,
-            # so a lost cached block is recomputed to the same rows
-            self._ecdf = ecdf.persist(StorageLevel.MEMORY_AND_DISK)
-        return self._ecdf
+                F.count_if(F.col("side") == "b").alias("n_b"), F.count_if(F.col("side") == "c").alias("n_c"))
+            n = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+            # equal values of a feature share a range, whatever segment they are of
+            ranged = counts.repartitionByRange(n, *self.bkeys, "value").withColumn(RANGE_COL, F.spark_partition_id())
+            dealt = ranged.repartitionById(n, F.col(RANGE_COL))
+            place = Window.partitionBy(RANGE_COL, *self.bkeys).orderBy("value")
+            mine = Window.partitionBy(RANGE_COL, *self.ikeys).orderBy("value")
+            self._pinned = pin_in_place(dealt.select(
+                "*", F.sum("n_b").over(place.rangeBetween(Window.unboundedPreceding, Window.currentRow)).alias("upto_b"),
+                F.sum("n_b").over(place.rangeBetween(Window.currentRow, Window.currentRow)).alias("own_b"),
+                F.sum("n_c").over(mine.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("upto_c")))
+        return self._pinned
+
+    def _offsets(self, keys: list[str], n: str, name: str) -> DataFrame:
+        """Per range and group in it: the counts of the ranges before, and of all ranges.  For a
+        shared baseline these are a few more rows than ranges and features."""
+        per = self.pinned().groupBy(RANGE_COL, *keys).agg(F.sum(n).alias("_s"))
+        every = Window.partitionBy(*keys)
+        before = every.orderBy(RANGE_COL).rowsBetween(Window.unboundedPreceding, -1)
+        return per.select(RANGE_COL, *keys, F.coalesce(F.sum("_s").over(before), F.lit(0)).alias(f"_off_{name}"),
+                          F.sum("_s").over(every).alias(f"all_{name}"))
+
+    def _ranked(self, rows: DataFrame) -> DataFrame:
+        return matched(rows, self._offsets(self.bkeys, "n_b", "b"), [RANGE_COL, *self.bkeys], small=self.shared)
+
+    def ecdf(self) -> DataFrame:
+        """Each row's running counts over all ranges; both sides' sizes."""
+        rows = matched(self._ranked(self.pinned()), self._offsets(self.ikeys, "n_c", "c"), [RANGE_COL, *self.ikeys])
+        return rows.select(*self.ikeys, feature_name(self.features).alias("feature"), "value", "n_b", "n_c", "own_b",
+                           (F.col("_off_b") + F.col("upto_b")).alias("cum_n_b"),
+                           (F.col("_off_c") + F.col("upto_c")).alias("cum_n_c"), "all_b", "all_c")
 
     def totals(self) -> DataFrame:
         """Per group sample sizes (after the per-side null/NaN drop)."""
-        if self._totals is None:
-            # from the pinned ECDF table (distinct values), not another pass over the data
-            self._totals = self.ecdf().groupBy(*self.keys).agg(
-                F.sum("n_b").alias("n_baseline"), F.sum("n_c").alias("n_current"))
-        return self._totals
+        return self._sizes(self.pinned().groupBy(*self.ikeys).agg(F.sum("n_b").alias("nb"), F.sum("n_c").alias("nc")))
 
     def sizes(self) -> DataFrame:
         """The totals alone: one aggregate over the data, no order and no pin."""
-        n = self.long.groupBy(*self.ikeys).agg(F.count_if(F.col("side") == "b").alias("n_baseline"),
-                                               F.count_if(F.col("side") == "c").alias("n_current"))
-        return n.withColumn("feature", feature_name(self.features)).select(*self.keys, "n_baseline", "n_current")
-
-    def per_group(self, df: DataFrame) -> DataFrame:
-        """Broadcast a table of a few rows per group if the groups are few.  They are
-        counted, from the pinned ECDF; beyond the bound the runtime sizes decide.  The
-        result is the same either way."""
-        if self._groups is None:
-            self._groups = self.totals().count()
-        return F.broadcast(df) if self._groups <= GROUP_BROADCAST_LIMIT else df
+        return self._sizes(self.long.groupBy(*self.ikeys).agg(F.count_if(F.col("side") == "b").alias("nb"),
+                                                              F.count_if(F.col("side") == "c").alias("nc")))
+
+    def _sizes(self, counts: DataFrame) -> DataFrame:
+        out = self.paired(counts, ["nb"], ["nc"], "nb", "nc")
+        out = out.select(*self.keys, F.coalesce("nb", F.lit(0)).alias("n_baseline"), F.coalesce("nc", F.lit(0)).alias("n_current"))
+        return out.where("n_baseline + n_current > 0")
 
     # -- PSI ------------------------------------------------------------------
     def edge_targets(self) -> DataFrame:
         """Positions of the baseline order statistics needed for each edge."""
-        k = F.explode(F.sequence(F.lit(0), F.lit(self.buckets))).alias("k")
-        t = self.totals().where(F.col("n_baseline") > 0).select(*self.keys, "n_baseline", k)
+        sizes = self.pinned().groupBy(*self.bkeys).agg(F.sum("n_b").alias("n_baseline")).where("n_baseline > 0")
+        t = sizes.select(*self.bkeys, "n_baseline", F.explode(F.sequence(F.lit(0), F.lit(self.buckets))).alias("k"))
         # numpy: percent_k = k * (100 / buckets) (last one exactly 100), q = percent / 100,
         # virtual index = (n - 1) * q
         step = 100.0 / float(self.buckets)
         pct = F.when(F.col("k") == self.buckets, F.lit(100.0)).otherwise(F.col("k").cast("double") * F.lit(step))
-        q = pct / F.lit(100.0)
-        vi = (F.col("n_baseline") - 1).cast("double") * q
-        t = t.withColumn("vi", vi).withColumn("lo", F.floor("vi"))
-        t = t.withColumn("hi", F.least(F.col("lo") + 1, F.col("n_baseline") - 1))
-        t = t.withColumn("frac", F.col("vi") - F.col("lo"))
-        return t
-
-    def edges(self) -> DataFrame:
-        """(keys..., edges array<double>) - sorted unique percentile edges."""
-        if getattr(self, "_edges", None) is None:
-            # one row per group: a bounded table, kept for the bins and the PSI
-            self._edges = self._edges_plan().persist(StorageLevel.MEMORY_AND_DISK)
-        return self._edges
-
-    def _edges_plan(self) -> DataFrame:
-        targets = self.edge_targets()
-        look = targets.select(*self.keys, "k", F.explode(F.array(
-            F.struct(F.lit("lo").alias("which"), F.col("lo").alias("rank")),
-            F.struct(F.lit("hi").alias("which"), F.col("hi").alias("rank")))).alias("r"))
-        look = look.select(*[F.col(k).alias(f"_l_{k}") for k in self.keys], "k", "r.which", "r.rank")
-        e = self.ecdf().where(F.col("n_b") > 0).select(
-            *self.keys, "value", (F.col("cum_n_b") - F.col("n_b")).alias("first_rank"),
-            (F.col("cum_n_b") - 1).alias("last_rank"))
-        look = self.per_group(look)
-        cond = [F.col(k) == F.col(f"_l_{k}") for k in self.keys] + [
-            F.col("rank") >= F.col("first_rank"), F.col("rank") <= F.col("last_rank")]
-        found = e.join(look, on=cond, how="inner").select(*self.keys, "k", "which", "value")
-        pts = found.groupBy(*self.keys, "k").agg(
-            F.max(F.when(F.col("which") == "lo", F.col("value"))).alias("a"),
-            F.max(F.when(F.col("which") == "hi", F.col("value"))).alias("b"))
-        pts = pts.join(targets.select(*self.keys, "k", "frac"), on=[*self.keys, "k"])
+        t = t.withColumn("vi", (F.col("n_baseline") - 1).cast("double") * (pct / F.lit(100.0))).withColumn("lo", F.floor("vi"))
+        return (t.withColumn("hi", F.least(F.col("lo") + 1, F.col("n_baseline") - 1))
+                .withColumn("frac", F.col("vi") - F.col("lo")))
+
+    def baseline_edges(self) -> DataFrame:
+        """(bkeys..., edges array<double>): sorted unique percentile edges of every baseline."""
+        look = self.edge_targets().select(*self.bkeys, "k", "frac", "lo", "hi")
+        e = self._ranked(self.pinned().where("n_b > 0"))
+        e = e.select(*self.bkeys, "value", (F.col("_off_b") + F.col("upto_b") - 1).alias("last_rank"),
+                     (F.col("_off_b") + F.col("upto_b") - F.col("n_b")).alias("first_rank"))
+        hit = [F.col("last_rank") >= F.col(r) for r in ("lo", "hi")], [F.col("first_rank") <= F.col(r) for r in ("lo", "hi")]
+        low, high = (a & b for a, b in zip(*hit))
+        found = matched(e, look, self.bkeys, "inner", small=self.shared).where(low | high)
+        pts = found.groupBy(*self.bkeys, "k", "frac").agg(F.max(F.when(low, F.col("value"))).alias("a"),
+                                                          F.max(F.when(high, F.col("value"))).alias("b"))
         diff = F.col("b") - F.col("a")
-        lerp = (F.when(F.col("frac") >= 0.5, F.col("b") - diff * (F.lit(1.0) - F.col("frac")))
+        edge = (F.when(F.col("frac") >= 0.5, F.col("b") - diff * (F.lit(1.0) - F.col("frac")))
                 .otherwise(F.col("a") + diff * F.col("frac")))
-        pts = pts.withColumn("edge", lerp)
-        return pts.groupBy(*self.keys).agg(
-            F.array_distinct(F.array_sort(F.collect_list("edge"))).alias("edges"))
+        return pts.groupBy(*self.bkeys).agg(F.array_distinct(F.array_sort(F.collect_list(edge))).alias("edges"))
+
+    def edges(self) -> DataFrame:
+        """(keys..., edges array<double>) of every group with a baseline."""
+        groups = self.totals().where("n_baseline > 0").select(*self.keys)
+        return matched(groups, self.baseline_edges(), self.bkeys, "inner", small=self.shared)
 
     def bin_counts(self) -> DataFrame:
-        """(keys..., bin, cnt_b, cnt_c): numpy.histogram bins [e_i, e_i+1), last closed,
-        values outside the edges not counted."""
-        edges = self.per_group(self.edges())
-        e = self.ecdf().select(*self.keys, "value", "n_b", "n_c")
-        j = e.join(edges, on=self.keys, how="inner")
+        """(keys..., bin, n_b, n_c): numpy.histogram bins [e_i, e_i+1), last closed,
+        values outside the edges not counted.  A shared baseline's counts have null segments."""
+        j = matched(self.pinned().select(*self.ikeys, "value", "n_b", "n_c"), self.baseline_edges(), self.bkeys, "inner",
+                    small=self.shared)
         n_edges = F.size("edges")
         # number of edges <= value, unrolled over the (at most buckets + 1) edges so the
         # expression stays in generated code
@@ -211,19 +241,18 @@ class DriftTables:
         bin_ = F.when(F.col("value") == F.element_at("edges", -1), n_edges - 2).otherwise(below - 1)
         j = j.where((n_edges >= 2) & (F.col("value") >= F.element_at("edges", 1))
                     & (F.col("value") <= F.element_at("edges", -1)))
-        return j.groupBy(*self.keys, bin_.alias("bin")).agg(
-            F.sum("n_b").alias("cnt_b"), F.sum("n_c").alias("cnt_c"))
+        return j.groupBy(*self.ikeys, bin_.alias("bin")).agg(F.sum("n_b").alias("n_b"), F.sum("n_c").alias("n_c"))
 
     def psi_bins(self) -> DataFrame:
         """Every bin of every group, empty bins included, with both shares."""
-        edges = self.edges()
+        edges = matched(self.totals().where("n_baseline > 0"), self.baseline_edges(), self.bkeys, "inner", small=self.shared)
         bins = F.when(F.size("edges") >= 2, F.sequence(F.lit(0), F.size("edges") - 2)).otherwise(
             F.array().cast("array<int>"))
-        all_bins = edges.select(*self.keys, "edges", F.explode(bins).alias("bin"))
+        all_bins = edges.select("*", F.explode(bins).alias("bin"))
         counts = self.bin_counts()
-        t = self.totals()
-        out = (all_bins.join(counts, on=[*self.keys, "bin"], how="left")
-               .join(t, on=self.keys, how="inner"))
+        b = counts.where("n_b > 0").groupBy(*self.bkeys, "bin").agg(F.sum("n_b").alias("cnt_b"))
+        c = counts.where("n_c > 0").select(*self.ikeys, "bin", F.col("n_c").alias("cnt_c"))
+        out = matched(matched(all_bins, b, [*self.bkeys, "bin"], small=self.shared), c, [*self.ikeys, "bin"])
         out = out.select(
             *self.keys, "bin",
             F.element_at("edges", F.col("bin") + 1).alias("lower"),
@@ -244,8 +273,7 @@ class DriftTables:
         total = ordered_sum_expr("tv")
         per = per.withColumn("tv", F.transform("terms", lambda x: x["term"])).withColumn("psi_raw", F.expr(total))
         # groups with < 2 unique edges have no bins: PSI 0.0 (constant baseline)
-        t = self.totals()
-        out = t.join(per, on=self.keys, how="left").withColumn(
+        out = matched(self.totals(), per, self.keys).withColumn(
             "psi_raw",
             F.when((F.col("n_baseline") == 0) | (F.col("n_current") == 0), F.lit(None).cast("double"))
             .otherwise(F.coalesce("psi_raw", F.lit(0.0))))
@@ -256,20 +284,17 @@ class DriftTables:
     def ks(self, p_value_threshold: float = 0.05, p_value_method: str = "asymp") -> DataFrame:
         """(keys..., ks_statistic, p_value, drifted).
 
-        ``p_value_method`` is the caller's choice and never depends on sizes: ``asymp``
-        (the default everywhere) is the Kolmogorov series in SQL, ``exact`` the
-        lattice-path probability, in a pandas UDF over the per-feature rows (sizes and
-        D, never the data), with work that grows with the product of the sizes."""
-        t = self.totals()
-        e = self.ecdf().join(self.per_group(t), on=self.keys, how="inner")
-        gap = F.abs(F.col("cum_n_b") / F.col("n_baseline") - F.col("cum_n_c") / F.col("n_current"))
-        d = e.where((F.col("n_baseline") > 0) & (F.col("n_current") > 0)).groupBy(*self.keys).agg(
-            F.max(gap).alias("d_raw"))
-        out = t.join(d, on=self.keys, how="left")
-        out = out.withColumn("ks_statistic", round_half_even("d_raw", 6))
+        ``p_value_method`` is the caller's choice: ``asymp`` is the Kolmogorov series in SQL,
+        ``finite`` the probability for the given sizes (:func:`ks_pvalue`), in a pandas UDF
+        over the per-feature rows (sizes and D, never the data) with bounded work."""
+        e = self.ecdf().where("n_c > 0 AND all_b > 0")
+        at = F.abs(F.col("cum_n_b") / F.col("all_b") - F.col("cum_n_c") / F.col("all_c"))
+        before = F.abs((F.col("cum_n_b") - F.col("own_b")) / F.col("all_b") - (F.col("cum_n_c") - F.col("n_c")) / F.col("all_c"))
+        d = e.groupBy(*self.ikeys).agg(F.max(F.greatest(at, before)).alias("d_raw"))
+        out = matched(self.totals(), d, self.ikeys).withColumn("ks_statistic", round_half_even("d_raw", 6))
         p = F.expr(kolmogorov_sf_expr("d_raw", "n_baseline", "n_current"))
-        if p_value_method == "exact":
-            p = _exact_p_udf(F.col("d_raw"), F.col("n_baseline"), F.col("n_current"))
+        if p_value_method == "finite":
+            p = _finite_p_udf(F.col("d_raw"), F.col("n_baseline"), F.col("n_current"))
         elif p_value_method != "asymp":
             raise ValueError(f"unknown p_value_method {p_value_method!r}")
         out = out.withColumn("p_value", round_half_even(p, 6))
@@ -281,13 +306,12 @@ class DriftTables:
         b = F.col("side") == "b"
         c = F.col("side") == "c"
         agg = self.long.groupBy(*self.ikeys).agg(
-            F.avg(F.when(b, F.col("value"))).alias("bm"),
-            F.avg(F.when(c, F.col("value"))).alias("cm"),
-            F.var_samp(F.when(b, F.col("value"))).alias("bv"),
-            F.var_samp(F.when(c, F.col("value"))).alias("cv"))
+            F.avg(F.when(b, F.col("value"))).alias("bm"), F.avg(F.when(c, F.col("value"))).alias("cm"),
+            F.var_samp(F.when(b, F.col("value"))).alias("bv"), F.var_samp(F.when(c, F.col("value"))).alias("cv"),
+            F.count_if(b).alias("nb"), F.count_if(c).alias("nc"))
+        agg = self.paired(agg, ["bm", "bv", "nb"], ["cm", "cv", "nc"], "nb", "nc").where("coalesce(nb, 0) + coalesce(nc, 0) > 0")
         mean_pct = F.abs(F.col("cm") - F.col("bm")) / (F.abs(F.col("bm")) + F.lit(SHIFT_EPSILON)) * F.lit(100.0)
         var_pct = F.abs(F.col("cv") - F.col("bv")) / (F.abs(F.col("bv")) + F.lit(SHIFT_EPSILON)) * F.lit(100.0)
-        agg = agg.withColumn("feature", feature_name(self.features))
         return agg.select(
             *self.keys,
             round_half_even("bm", 6).alias("baseline_mean"),

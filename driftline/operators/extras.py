@@ -5,8 +5,9 @@
 * segment-aware drift (the drift engine's segment columns);
 * embedding cohesion per label and the entropy of a model's risk levels;
 * signal fusion: per model min-max normalised mean drift / velocity / acceleration,
-  combined with fixed weights (no pairwise correlation term: it would pair up
-  every feature of a model).
+  combined with fixed weights;
+* correlation of a model's features: co-moments per pair of features, which merge over
+  tasks, so a model costs the square of its features in numbers and no pair of rows.
 """
 
 from __future__ import annotations
@@ -85,6 +86,22 @@ def embedding_cohesion(emb: DataFrame, vec: str = "embedding", label: str = "lab
                                                           round_half_even(F.avg(cos), 6).alias("cohesion"))
 
 
+def feature_correlation(events: DataFrame, most_features: int = 64) -> DataFrame:
+    """Per model and pair of features (by name): Pearson correlation over the events that hold
+    both, and their number.  An event with more than ``most_features`` usable features is an
+    error, not cut: it bounds an event's pairs."""
+    cell = F.filter(F.map_entries("features"), lambda e: e["value"].isNotNull() & ~F.isnan(e["value"]))
+    cells = F.array_sort(F.transform(cell, lambda e: F.struct(e["key"].alias("f"), e["value"].alias("x"))))
+    told = F.concat(F.lit(f"an event has more than {most_features} features: "), F.col("model"))
+    rows = events.select("model", F.when(F.size(cells) <= most_features, cells)
+                         .when(F.size(cells) > most_features, F.raise_error(told)).alias("cells"))
+    pairs = rows.select("model", "cells", F.explode(F.col("cells")).alias("a")).select(
+        "model", "a", F.explode("cells").alias("b")).where("a.f < b.f")
+    made = pairs.groupBy("model", F.col("a.f").alias("feature_a"), F.col("b.f").alias("feature_b")).agg(
+        F.count(F.lit(1)).alias("n"), F.corr("a.x", "b.x").alias("r"))
+    return made.select("model", "feature_a", "feature_b", "n", round_half_even("r", 6).alias("correlation"))
+
+
 def risk_entropy(pred: DataFrame, group: str = "model", level: str = "risk") -> DataFrame:
     """Per model: -sum p ln p over the shares of its risk levels."""
     counts = pred.groupBy(group, level).agg(F.count(F.lit(1)).alias("c"))

@@ -1,54 +1,61 @@
-"""Data-quality checks of inference snapshots, as a table of check rows.
+"""Data-quality checks of inference snapshots: a list of rules in, a table of check rows out.
 
-Schema checks (required columns, numeric types) read only the schema; row
-counts and null rates come from one grouped aggregate over the data (per
-``group_cols``, e.g. per snapshot day), unpivoted to one row per column.
+A rule says what is checked, on which column, against which limit, and what breaking it
+means.  Rules are written one by one or derived from a schema; a rule without a column
+stands for every column that no rule of its kind names.  Schema rules read the schema
+only; row counts and null rates come from one grouped aggregate over the data (per
+``group_cols``, e.g. per snapshot day).
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import (BooleanType, ByteType, DecimalType, DoubleType, FloatType,
-                               IntegerType, LongType, ShortType)
-
-NUMERIC = (ByteType, ShortType, IntegerType, LongType, FloatType, DoubleType, DecimalType)
-FLOATING = (FloatType, DoubleType)
-# A nullable column warns above 50 % nulls; a spec built from a sample
-# requires every column, allows 10 % nulls and wants at least 10 rows.
-NULLABLE_WARN_RATE = 0.5
-DEFAULT_SPEC_NULL_RATE = 0.1
-DEFAULT_SPEC_MIN_ROWS = 10
-# The message texts below are output values of the check table.
-CHECK_COLS = ["check", "column", "level", "observed", "threshold", "passed", "message"]
+from pyspark.sql.types import BooleanType, DataType, DoubleType, FloatType, NumericType, StructType
+
+# A column that may be empty warns above 50 % nulls; rules derived from a
+# schema require every column, allow 10 % nulls and want at least 10 rows.
+EMPTY_WARN_RATE = 0.5
+DERIVED_NULL_RATE = 0.1
+DERIVED_ROWS = 10
 # the numeric pattern accepted by the coercion (plain decimal / exponent / inf / nan)
 NUMERIC_PATTERN = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|inf|infinity|nan)\s*$"
 
 
-@dataclass
-class SnapshotRules:
-    """What a snapshot must look like: columns that must be there, columns that must be
-    numbers, columns that may be empty (they only warn), the share of nulls allowed
-    elsewhere, and the least number of rows."""
+class Rule(NamedTuple):
+    check: str            # row_count, required_columns, numeric_type or null_rate
+    column: str | None = None
+    limit: float | None = None
+    level: str = "error"
+
+
+def least_rows(n: int) -> list[Rule]:
+    return [Rule("row_count", limit=n)]
+
+
+def required(*columns: str) -> list[Rule]:
+    return [Rule("required_columns", c) for c in columns]
+
 
-    present: list[str] = field(default_factory=list)
-    numbers: list[str] = field(default_factory=list)
-    may_be_empty: list[str] = field(default_factory=list)
-    null_share: float = 0.05
-    least_rows: int = 1
+def numeric(*columns: str) -> list[Rule]:
+    return [Rule("numeric_type", c) for c in columns]
 
 
-def _is_numeric(dt, accept_bool: bool) -> bool:
-    return isinstance(dt, NUMERIC) or (accept_bool and isinstance(dt, BooleanType))
+def most_nulls(share: float, *columns: str) -> list[Rule]:
+    """At most this share of nulls, in the named columns or in all others."""
+    return [Rule("null_rate", c, share) for c in columns or (None,)]
 
 
-def rules_of_sample(df: DataFrame) -> SnapshotRules:
-    """Every column required, numeric columns (no booleans) listed, 10 % nulls, 10 rows."""
-    numeric = [f.name for f in df.schema.fields if _is_numeric(f.dataType, accept_bool=False)]
-    return SnapshotRules(present=list(df.columns), numbers=numeric, may_be_empty=[],
-                      null_share=DEFAULT_SPEC_NULL_RATE, least_rows=DEFAULT_SPEC_MIN_ROWS)
+def may_be_empty(*columns: str) -> list[Rule]:
+    return [Rule("null_rate", c, EMPTY_WARN_RATE, "warning") for c in columns]
+
+
+def rules_of_schema(schema: StructType) -> list[Rule]:
+    """Every column must be there, numbers (no booleans) stay numbers, few nulls, ten rows."""
+    return [*least_rows(DERIVED_ROWS), *required(*schema.names),
+            *numeric(*(f.name for f in schema.fields if isinstance(f.dataType, NumericType))), *most_nulls(DERIVED_NULL_RATE)]
 
 
 def _pct(rate: F.Column) -> F.Column:
@@ -60,67 +67,63 @@ def _pct_lit(rate: float) -> str:
     return f"{rate:.1%}"
 
 
-def check_table(df: DataFrame, rules: SnapshotRules, group_cols: list[str] | None = None) -> DataFrame:
-    """One row per check (and group): row count, required columns, numeric types,
-    null rate of every column.  ``passed`` is false for errors and warnings;
+def _row(check: str, column: str | None, level: Column, observed: Column, limit: float | None, message: Column) -> Column:
+    return F.struct(F.lit(check).alias("check"), F.lit(column).cast("string").alias("column"), level.alias("level"),
+                    observed.cast("double").alias("observed"), F.lit(limit).cast("double").alias("threshold"),
+                    F.when(level != "ok", message).alias("message"))
+
+
+def _judged(broken: Column, rule: Rule) -> Column:
+    return F.when(broken, rule.level).otherwise("ok")
+
+
+def _count_row(rule: Rule) -> Column:
+    n = F.col("_rows")
+    text = F.format_string("Snapshot has %d rows; minimum required is %d.", n, F.lit(int(rule.limit)))
+    return _row(rule.check, None, _judged(n < rule.limit, rule), n, rule.limit, text)
+
+
+def _required_row(rules: list[Rule], columns: list[str]) -> Column:
+    """One row for all required columns together."""
+    missing = [r.column for r in rules if r.column not in columns]
+    level = F.lit(max((r.level for r in rules if r.column in missing), default="ok", key=("ok", "warning", "error").index))
+    return _row("required_columns", None, level, F.lit(len(missing)), 0.0, F.lit(f"Missing required columns: {missing!r}"))
+
+
+def _type_row(rule: Rule, kind: DataType) -> Column:
+    is_number = isinstance(kind, (NumericType, BooleanType))  # booleans count as numbers here
+    text = f"Column '{rule.column}' is expected to be numeric but has dtype '{kind.simpleString()}'."
+    return _row(rule.check, rule.column, F.lit("ok" if is_number else rule.level), F.lit(None), None, F.lit(text))
+
+
+def _null_row(rule: Rule, column: str) -> Column:
+    rate = F.col(f"_n_{column}")
+    if rule.level == "warning":
+        text = F.concat(F.lit(f"Nullable column '{column}' has a high null rate: "), _pct(rate), F.lit("."))
+    else:
+        text = F.concat(F.lit(f"Column '{column}' null rate "), _pct(rate), F.lit(f" exceeds threshold {_pct_lit(rule.limit)}."))
+    return _row(rule.check, column, _judged(rate > rule.limit, rule), rate, rule.limit, text)
+
+
+def _empty(name: str, kind: DataType) -> Column:
+    return F.col(name).isNull() | F.isnan(name) if isinstance(kind, (FloatType, DoubleType)) else F.col(name).isNull()
+
+
+def check_table(df: DataFrame, rules: list[Rule], group_cols: list[str] | None = None) -> DataFrame:
+    """One row per check (and group).  ``passed`` is false for errors and warnings;
     ``level`` is ``error`` / ``warning`` / ``ok``."""
-    group_cols = list(group_cols or [])
-    data_cols = [c for c in df.columns if c not in group_cols]
-    types = {f.name: f.dataType for f in df.schema.fields}
-    nulls = []
-    for c in data_cols:
-        isnull = F.col(c).isNull()
-        if isinstance(types[c], FLOATING):
-            isnull = isnull | F.isnan(F.col(c))
-        nulls.append(F.avg(isnull.cast("double")).alias(f"_n_{c}"))
-    agg = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_rows"), *nulls)
-
-    rows = []
-    # row count
-    rc = F.col("_rows")
-    rows.append(F.struct(
-        F.lit("row_count").alias("check"), F.lit(None).cast("string").alias("column"),
-        F.when(rc < rules.least_rows, "error").otherwise("ok").alias("level"),
-        rc.cast("double").alias("observed"), F.lit(float(rules.least_rows)).alias("threshold"),
-        F.when(rc < rules.least_rows, F.format_string(
-            "Snapshot has %d rows; minimum required is %d.", rc, F.lit(rules.least_rows))).alias("message")))
-    # required columns (schema)
-    missing = [c for c in rules.present if c not in data_cols]
-    rows.append(F.struct(
-        F.lit("required_columns").alias("check"), F.lit(None).cast("string").alias("column"),
-        F.lit("error" if missing else "ok").alias("level"),
-        F.lit(float(len(missing))).alias("observed"), F.lit(0.0).alias("threshold"),
-        F.lit(f"Missing required columns: {missing!r}" if missing else None).cast("string").alias("message")))
-    # numeric types (schema; booleans count as numeric here)
-    for c in rules.numbers:
-        if c not in data_cols:
-            continue
-        ok = _is_numeric(types[c], accept_bool=True)
-        rows.append(F.struct(
-            F.lit("numeric_type").alias("check"), F.lit(c).alias("column"),
-            F.lit("ok" if ok else "error").alias("level"),
-            F.lit(None).cast("double").alias("observed"), F.lit(None).cast("double").alias("threshold"),
-            F.lit(None if ok else f"Column '{c}' is expected to be numeric but has dtype "
-                                  f"'{types[c].simpleString()}'.").cast("string").alias("message")))
-    # null rate of every column
-    for c in data_cols:
-        rate = F.col(f"_n_{c}")
-        if c in rules.may_be_empty:
-            bad = rate > NULLABLE_WARN_RATE
-            lvl = F.when(bad, "warning").otherwise("ok")
-            thr = NULLABLE_WARN_RATE
-            msg = F.when(bad, F.concat(F.lit(f"Nullable column '{c}' has a high null rate: "), _pct(rate), F.lit(".")))
-        else:
-            bad = rate > rules.null_share
-            lvl = F.when(bad, "error").otherwise("ok")
-            thr = rules.null_share
-            msg = F.when(bad, F.concat(F.lit(f"Column '{c}' null rate "), _pct(rate),
-                                       F.lit(f" exceeds threshold {_pct_lit(rules.null_share)}.")))
-        rows.append(F.struct(
-            F.lit("null_rate").alias("check"), F.lit(c).alias("column"), lvl.alias("level"),
-            rate.alias("observed"), F.lit(float(thr)).alias("threshold"), msg.alias("message")))
-    out = agg.select(*group_cols, F.explode(F.array(*rows)).alias("r"))
-    return out.select(*group_cols, "r.check", "r.column", "r.level", "r.observed", "r.threshold",
+    groups = list(group_cols or [])
+    kinds = {f.name: f.dataType for f in df.schema.fields if f.name not in groups}
+    by_check = {kind: [r for r in rules if r.check == kind] for kind in ("row_count", "required_columns", "numeric_type", "null_rate")}
+    named = {r.column: r for r in by_check["null_rate"]}
+    rows = [_count_row(r) for r in by_check["row_count"]]
+    rows.append(_required_row(by_check["required_columns"], list(kinds)))
+    rows += [_type_row(r, kinds[r.column]) for r in by_check["numeric_type"] if r.column in kinds]
+    rows += [_null_row(rule, c) for c in kinds if (rule := named.get(c, named.get(None)))]
+    measured = df.groupBy(*groups).agg(F.count(F.lit(1)).alias("_rows"),
+                                       *[F.avg(_empty(c, kind).cast("double")).alias(f"_n_{c}") for c, kind in kinds.items()])
+    out = measured.select(*groups, F.explode(F.array(*rows)).alias("r"))
+    return out.select(*groups, "r.check", "r.column", "r.level", "r.observed", "r.threshold",
                       (F.col("r.level") == "ok").alias("passed"), "r.message")
 
 
@@ -135,9 +138,10 @@ def validation_summary(checks: DataFrame, group_cols: list[str]) -> DataFrame:
 
 def stop_on_errors(checks: DataFrame) -> None:
     """Raise with the message of every failed check (a row per group and column at most)."""
-    failed = [r["message"] for r in checks.where(F.col("level") == "error").select("message").collect()]
+    groups = [c for c in checks.columns if c not in ("check", "column", "level", "observed", "threshold", "passed", "message")]
+    failed = checks.where(F.col("level") == "error").select(F.concat_ws(" ", *[F.col(g).cast("string") for g in groups], "message")).collect()
     if failed:
-        raise ValueError(f"{len(failed)} snapshot checks failed:\n" + "\n".join(f"- {m}" for m in failed))
+        raise ValueError(f"{len(failed)} snapshot checks failed:\n" + "\n".join(f"- {r[0]}" for r in sorted(failed)))
 
 
 def coerce_numeric(df: DataFrame, columns: list[str]) -> DataFrame:

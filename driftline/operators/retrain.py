@@ -12,8 +12,6 @@ independent of each other.
 
 from __future__ import annotations
 
-from datetime import datetime, timezone
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -56,15 +54,15 @@ def model_registry(decisions: DataFrame, dag_id: str = RETRAIN_DAG, logged_at: s
                    pipeline_col: str = "pipeline") -> DataFrame:
     """One registry record per triggered retrain.
 
-    The version hashes the pipeline, the run date and the logging time.  That time is
-    taken once, here, so a record reads the same whenever it is computed."""
-    now = logged_at or datetime.now(timezone.utc).replace(tzinfo=None).isoformat(timespec="microseconds")
+    The version hashes the pipeline, the run date and the logging time, which is that of the
+    day's check if none is given: a record reads the same whenever it is computed."""
     day = F.date_format(F.col("run_date"), "yyyy-MM-dd")
-    run_id = F.substring(F.sha1(F.concat_ws("|", F.col(pipeline_col), day, F.lit(now))), 1, 10)
+    now = F.lit(logged_at) if logged_at else F.concat(day, F.lit(f"T{CHECK_HOUR:02d}:00:00.000000"))
+    run_id = F.substring(F.sha1(F.concat_ws("|", F.col(pipeline_col), day, now)), 1, 10)
     return decisions.where("retrain_triggered").select(
         F.col(pipeline_col),
         F.concat(F.lit("v_"), F.regexp_replace(day, "-", ""), F.lit("_"), run_id).alias("model_version"),
         run_id.alias("run_id"), day.alias("retrain_date"),
         F.lit("drift_threshold_breached").alias("trigger_reason"),
         F.col("consecutive_count").alias("consecutive_drift_runs"),
-        F.lit(dag_id).alias("dag_id"), F.lit(now).alias("logged_at"))
+        F.lit(dag_id).alias("dag_id"), now.alias("logged_at"))

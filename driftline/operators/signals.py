@@ -61,9 +61,12 @@ STATE_SCHEMA = ("model string, feature string, t long, x_first double, mc double
                 "ts timestamp_ntz, event_id long")
 
 
-def explode_features(events: DataFrame, keep_empty: bool = False) -> DataFrame:
+def explode_features(events: DataFrame, keep_empty: bool = False, also: dict[str, Column] | None = None) -> DataFrame:
     """(event_id, model, ts, features map) -> (event_id, model, ts, fpos, feature, x).
 
+    ``also`` adds columns of the event to its first row (null in the others) and, with it, the
+    flag ``leads`` (``keep_empty`` only).
+
     ``keep_empty`` keeps an event without any usable value as one row with an empty
     feature name and no value, so that it still gets its UNKNOWN prediction.
 
@@ -75,10 +78,13 @@ def explode_features(events: DataFrame, keep_empty: bool = False) -> DataFrame:
     cells = F.transform(F.map_entries("features"), lambda e, i: F.struct(
         i.alias("fpos"), e["key"].alias("feature"), e["value"].alias("x")))
     usable = F.filter(cells, lambda c: is_finite_value(c["x"]))
-    cell = F.explode_outer(usable).alias("c")   # one pass: an empty list gives one row
-    return events.select("event_id", "model", "ts", cell).select(
-        "event_id", "model", "ts", F.coalesce("c.fpos", F.lit(0)).alias("fpos"),
-        F.coalesce("c.feature", F.lit("")).alias("feature"), F.col("c.x").alias("x"))
+    also = also or {}
+    cells = events.select("event_id", "model", "ts", *[c.alias(n) for n, c in also.items()],
+                          F.posexplode_outer(usable).alias("at", "c"))   # one pass: an empty list gives one row
+    leads = F.coalesce(F.col("at"), F.lit(0)) == 0
+    more = [leads.alias("leads"), *[F.when(leads, F.col(n)).alias(n) for n in also]] if also else []
+    return cells.select("event_id", "model", "ts", F.coalesce("c.fpos", F.lit(0)).alias("fpos"),
+                        F.coalesce("c.feature", F.lit("")).alias("feature"), F.col("c.x").alias("x"), *more)
 
 
 def positions(long: DataFrame, num_ranges: int | None = None) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from driftline.config import thresholds as merge_thresholds
@@ -92,6 +92,42 @@ def write_report_json(report: DataFrame, segments: list[str], path: str) -> None
     nested.write.mode("overwrite").json(path)
 
 
+def _lookup(table: dict[str, str], key: Column, other: str) -> Column:
+    return F.coalesce(F.element_at(F.create_map(*[F.lit(x) for kv in table.items() for x in kv]), key), F.lit(other))
+
+
+def severity_color(severity: Column) -> Column:
+    return _lookup(SEVERITY_COLORS, severity, SEVERITY_COLORS["warning"])
+
+
+def alert_payload(severity: Column, text: Column, fields: dict[str, Column] | None = None) -> Column:
+    """The JSON body of an alert message: one attachment with colour, text and short fields."""
+    parts = [severity_color(severity).alias("color"), text.alias("text"), F.array(F.lit("text")).alias("mrkdwn_in")]
+    if fields:
+        parts.append(F.array(*[F.struct(F.lit(t).alias("title"), v.cast("string").alias("value"), F.lit(True).alias("short"))
+                               for t, v in fields.items()]).alias("fields"))
+    return F.to_json(F.struct(F.array(F.struct(*parts)).alias("attachments")))
+
+
+def drift_alert_payloads(alerts: DataFrame) -> DataFrame:
+    """The message bodies of drift alerts, with their fields."""
+    fields = {"Run Date": F.col("run_date"), "DAG": F.col("dag_id"), "Drifted Features": F.col("drifted_features"),
+              "Should Retrain": F.col("should_retrain")}
+    return alerts.withColumn("payload", alert_payload(F.col("severity"), F.col("message"), fields))
+
+
+def retrain_notices(registry: DataFrame) -> DataFrame:
+    """One notice per registry record: a retraining was triggered."""
+    # fixed texts of the notice
+    message = F.concat(F.lit("✅ *ML Retraining Triggered* — `"), F.col("dag_id"), F.lit("` | `"), F.col("retrain_date"),
+                       F.lit("`\nNew model version: *"), F.col("model_version"),
+                       F.lit("*\nDrift counters reset. Monitoring continues."))
+    fields = {"Model Version": F.col("model_version"), "Trigger Date": F.col("retrain_date")}
+    return registry.select(*[c for c in registry.columns if c in ("pipeline", "model_version", "retrain_date")],
+                           F.lit("ok").alias("severity"), message.alias("message"),
+                           alert_payload(F.lit("ok"), message, fields).alias("payload"))
+
+
 def drift_alerts(verdicts: DataFrame, overall: DataFrame, segments: list[str],
                  run_date: str, dag_id: str) -> DataFrame:
     """Alert rows for the segments that should alert (the webhook post is not built:
@@ -105,10 +141,7 @@ def drift_alerts(verdicts: DataFrame, overall: DataFrame, segments: list[str],
                                  lambda x: x["feature"]), ", ").alias("drifted_list"))
     o = overall.where(F.col("should_alert")).join(drifted, on=keys, how="left")
     status = F.col("overall_status")
-    emoji = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for kv in SEVERITY_EMOJI.items() for x in kv]), status),
-                       F.lit(UNKNOWN_EMOJI))
-    color = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for kv in SEVERITY_COLORS.items() for x in kv]), status),
-                       F.lit(SEVERITY_COLORS["warning"]))
+    emoji, color = _lookup(SEVERITY_EMOJI, status, UNKNOWN_EMOJI), severity_color(status)
     message = F.concat(emoji, F.lit(f" {ALERT_TITLE} — `{dag_id}` | `{run_date}`\nStatus: *"),
                        F.upper(status), F.lit("*\n"), F.col("summary"))
     drifted_text = F.coalesce(F.nullif(F.col("drifted_list"), F.lit("")), F.lit("none"))

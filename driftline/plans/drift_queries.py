@@ -16,7 +16,7 @@ SEGMENTS = ["scenario"]
 
 def run(spark: SparkSession, sf_dir: str) -> DriftResult:
     tagged = drift_scenarios(spark, sf_dir)
-    return monitor_tagged(tagged, DRIFT_FEATURES, SEGMENTS)
+    return monitor_tagged(tagged, DRIFT_FEATURES, SEGMENTS, shared=True)
 
 
 def comparable(df: DataFrame) -> DataFrame:
@@ -26,7 +26,7 @@ def comparable(df: DataFrame) -> DataFrame:
 
 def q_drift_features(spark, sf_dir) -> DataFrame:
     baseline, current = drift_sides(spark, sf_dir)
-    return DriftTables(drift_scenarios(spark, sf_dir), feature_columns(baseline, current), SEGMENTS).sizes()
+    return DriftTables(drift_scenarios(spark, sf_dir), feature_columns(baseline, current), SEGMENTS, shared=True).sizes()
 
 
 def q_psi_edges(spark, sf_dir) -> DataFrame:
@@ -50,7 +50,7 @@ def q_drift_ks(spark, sf_dir) -> DataFrame:
 
 
 def q_drift_shift(spark, sf_dir) -> DataFrame:
-    return comparable(DriftTables(drift_scenarios(spark, sf_dir), DRIFT_FEATURES, SEGMENTS).shift())
+    return comparable(DriftTables(drift_scenarios(spark, sf_dir), DRIFT_FEATURES, SEGMENTS, shared=True).shift())
 
 
 def q_feature_verdicts(spark, sf_dir) -> DataFrame:

@@ -12,13 +12,13 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftline.operators.quality import (SnapshotRules, check_table, coerce_numeric, rules_of_sample,
-                                         validation_summary)
+from driftline.operators.quality import (check_table, coerce_numeric, least_rows, may_be_empty, most_nulls, numeric, required,
+                                         rules_of_schema)
 from driftline.operators.retrain import model_registry, retrain_decisions
-from driftline.plans.jobs import ingest_snapshots
+from driftline.plans.jobs import ingest_snapshots, late_days
 from driftline.plans.monitor import monitor_tagged
 from driftline.session import scratch_path
-from driftline.sources.files import (SNAPSHOT_COL, late_partitions, load_recent, load_snapshot,
+from driftline.sources.files import (SNAPSHOT_COL, load_recent, load_snapshot,
                                      load_training, read_snapshots, read_table, save_snapshots, write_table)
 from driftline.sources.tables import inference_rows, table
 
@@ -33,10 +33,9 @@ HISTORY_FEATURES = ["prediction_score", "feature_1", "feature_2", "feature_3"]
 # strict PSI limits, so that the small daily samples give all three outcomes
 HISTORY_THRESHOLDS = {"psi": {"warning": 0.03, "critical": 0.05}, "mean_shift_pct": 1000.0, "var_shift_pct": 1000.0}
 REGISTRY_LOGGED_AT = "2024-02-01T08:00:00.000000"
-# the ingestion spec: timestamp and score required, score numeric, feature_3 may be null
-INGEST_SPEC = SnapshotRules(present=["timestamp", "prediction_score"],
-                         numbers=["prediction_score"], may_be_empty=["feature_3"],
-                         null_share=0.05, least_rows=10)
+# the ingestion rules: timestamp and score required, score numeric, feature_3 may be null
+INGEST_RULES = [*least_rows(10), *required("timestamp", "prediction_score"), *numeric("prediction_score"),
+                *may_be_empty("feature_3"), *most_nulls(0.05)]
 SNAPSHOT_COLUMNS = ["event_id", "timestamp", "prediction_score", "feature_1", "feature_2", "feature_3",
                     "event_type"]
 
@@ -56,7 +55,7 @@ def _snapshot_root(spark, sf_dir, drop_days=()) -> str:
 
 def q_ingest_snapshot(spark, sf_dir) -> DataFrame:
     root = scratch_path(spark, "ingest")
-    summary, _ = ingest_snapshots(_rows(spark, sf_dir), root, INGEST_SPEC, WINDOW_START, WINDOW_END)
+    summary, _ = ingest_snapshots(_rows(spark, sf_dir), root, INGEST_RULES, WINDOW_START, WINDOW_END)
     saved = read_snapshots(spark, root).groupBy(SNAPSHOT_COL).agg(F.count(F.lit(1)).alias("rows_saved"))
     return summary.join(saved, on=SNAPSHOT_COL, how="left").select(
         SNAPSHOT_COL, "rows_in", "passed", "errors", "warnings",
@@ -65,8 +64,7 @@ def q_ingest_snapshot(spark, sf_dir) -> DataFrame:
 
 def q_dq_checks(spark, sf_dir) -> DataFrame:
     rows = _rows(spark, sf_dir)
-    spec = rules_of_sample(rows.drop(SNAPSHOT_COL))
-    return check_table(rows, spec, [SNAPSHOT_COL])
+    return check_table(rows, rules_of_schema(rows.drop(SNAPSHOT_COL).schema), [SNAPSHOT_COL])
 
 
 def q_coerce_numeric(spark, sf_dir) -> DataFrame:
@@ -103,7 +101,7 @@ def q_recent_inference(spark, sf_dir) -> DataFrame:
 
 def q_late_partitions(spark, sf_dir) -> DataFrame:
     root = _snapshot_root(spark, sf_dir, LATE_DAYS)
-    return late_partitions(read_snapshots(spark, root), WINDOW_START, WINDOW_END)
+    return late_days(spark, root, WINDOW_START, WINDOW_END)
 
 
 def q_training_dataset(spark, sf_dir) -> DataFrame:
@@ -123,11 +121,9 @@ def run_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _rows(spark, sf_dir)
     day = F.col(SNAPSHOT_COL)
     last = F.lit(HISTORY_BASELINE_LAST).cast("date")
-    # the baseline week counts once for every day of the window
-    days = F.sequence(F.date_add(last, 1), F.lit(WINDOW_END).cast("date"))
-    baseline = rows.where(day <= last).select(*HISTORY_FEATURES, F.explode(days).alias("run_date"), F.lit("b").alias("side"))
-    current = rows.where(day > last).select(*HISTORY_FEATURES, day.alias("run_date"), F.lit("c").alias("side"))
-    found = monitor_tagged(baseline.unionByName(current), HISTORY_FEATURES, ["run_date"], HISTORY_THRESHOLDS)
+    # one scan: the baseline week has no run date and counts for every day
+    tagged = rows.select(*HISTORY_FEATURES, F.when(day > last, day).alias("run_date"), F.when(day > last, "c").otherwise("b").alias("side"))
+    found = monitor_tagged(tagged, HISTORY_FEATURES, ["run_date"], HISTORY_THRESHOLDS, shared=True)
     at = F.col("run_date").cast("timestamp") + F.make_interval(hours=F.lit(8) + F.day("run_date") % 3 * 6)
     return found.overall.select(F.lit("inference").alias("pipeline"), "run_date", "overall_status", at.alias("evaluated_at"))
 

@@ -1,7 +1,7 @@
 """Drift monitoring job: baseline + recent data -> metrics -> verdicts -> alerts.
 
-One lazy DataFrame DAG: tagged union -> unpivot -> ECDF (one shuffle on
-(segment, feature, value), two-level running sums) -> PSI / KS / shift ->
+Tagged union -> unpivot -> ECDF (one shuffle on (segment, feature, value), pinned ranges,
+the baseline ranked once for all segments) -> PSI / KS / shift ->
 verdicts.  Branching (alert, retrain) is a filter on the verdict rows.
 """
 
@@ -37,13 +37,14 @@ class DriftResult:
 
 def monitor_tagged(tagged: DataFrame, features: list[str], segments: list[str] | None = None,
                    thresholds: dict | None = None, buckets: int = 10,
-                   p_value_method: str = "asymp") -> DriftResult:
-    """Drift for a frame that already has ``side`` (and segment) columns.
+                   p_value_method: str = "asymp", shared: bool = False, expected: DataFrame | None = None) -> DriftResult:
+    """Drift for a frame that already has ``side`` (and segment) columns; ``shared`` and
+    ``expected`` as in :class:`DriftTables`.
 
     Without a shared numeric column there is nothing to compare and the verdict is ok."""
     th = merge_thresholds(thresholds)
     segments = list(segments or [])
-    t = DriftTables(tagged, features, segments, buckets=buckets)
+    t = DriftTables(tagged, features, segments, buckets, shared, expected)
     psi = t.psi(th["psi"]["warning"], th["psi"]["critical"])
     ks = t.ks(th["ks_p_value"], p_value_method)
     shift = t.shift()
@@ -53,9 +54,9 @@ def monitor_tagged(tagged: DataFrame, features: list[str], segments: list[str] |
 
 
 def monitor_drift(baseline: DataFrame, current: DataFrame, thresholds: dict | None = None,
-                  buckets: int = 10, p_value_method: str = "asymp") -> DriftResult:
-    """Baseline and current as separate frames; features from the schemas.
-    ``p_value_method="exact"`` uses exact KS p-values."""
+                  buckets: int = 10, p_value_method: str = "finite") -> DriftResult:
+    """Baseline and current as separate frames; features from the schemas, KS p-values for
+    the sizes at hand."""
     features = feature_columns(baseline, current)
     tagged = tag_sides(baseline, current, features)
-    return monitor_tagged(tagged, features, [], thresholds, buckets, p_value_method=p_value_method)
+    return monitor_tagged(tagged, features, [], thresholds, buckets, p_value_method, shared=True)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from driftline.plans import drift_queries, oracle_drift, oracle_ingest
 from driftline.plans.oracle_drift import rnd
 from driftline.plans.oracle_signals import long_sql, prediction_ctes, signal_ctes
 
@@ -51,5 +52,23 @@ j AS (SELECT s.*, {', '.join(f'r.lo_{c}, r.hi_{c}' for c, _ in cols)} FROM score
 SELECT event_id, model, {', '.join(rnd(nz(c), 6) + f' AS norm_{c[4:]}' for c, _ in cols)},
        {rnd(f"CASE WHEN ({den}) = 0 THEN NULL ELSE ({num}) / ({den}) END", 6)} AS fused_score
 FROM j"""
-    return {"rolling_stats": roll, "embedding_cohesion": cohesion, "risk_entropy": entropy,
+    body = """replace(replace(message, '"', '\\"'), chr(10), '\\n')"""
+    own = [oracle_drift.oracle_queries(drift_queries.RUN_DATE)["drift_alerts"], oracle_ingest.oracle_queries()["model_registry"]]
+    head = """'{"attachments":[{"color":"' || color || '","text":"' || """ + body + """ || '","mrkdwn_in":["text"],"fields":['"""
+
+    def fields(**shown: str) -> str:
+        each = " || ',' || ".join(f"""'{{"title":"{t.replace('_', ' ')}","value":"' || {v} || '","short":true}}'""" for t, v in shown.items())
+        return f"({head} || {each} || ']}}]}}')"
+
+    payloads = f"""SELECT scenario, severity, {fields(Run_Date='run_date', DAG='dag_id', Drifted_Features='drifted_features',
+                                                       Should_Retrain='should_retrain')} AS payload FROM ({own[0]}) a"""
+    notices = f"""SELECT pipeline, model_version, retrain_date, 'ok' AS severity, message,
+       {fields(Model_Version='model_version', Trigger_Date='retrain_date')} AS payload
+FROM (SELECT *, '#36a64f' AS color, '✅ *ML Retraining Triggered* — `' || dag_id || '` | `' || retrain_date || '`' || chr(10)
+             || 'New model version: *' || model_version || '*' || chr(10) || 'Drift counters reset. Monitoring continues.' AS message
+      FROM ({own[1]}) r) m"""
+    pairs = f"""WITH long AS (SELECT * FROM ({long_sql('steady')}) u WHERE x IS NOT NULL AND NOT isnan(x))
+SELECT a.model, a.feature AS feature_a, b.feature AS feature_b, count(*) AS n, {rnd('corr(a.x, b.x)', 6)} AS correlation
+FROM long a JOIN long b ON a.event_id = b.event_id AND a.feature < b.feature GROUP BY ALL"""
+    return {"feature_correlation": pairs, "alert_payloads": payloads, "retrain_notices": notices, "rolling_stats": roll, "embedding_cohesion": cohesion, "risk_entropy": entropy,
             "signal_fusion": fusion}

@@ -27,11 +27,11 @@ def long_sql(variant: str) -> str:
     return " UNION ALL ".join(parts)
 
 
-def signal_ctes(variant: str) -> str:
+def signal_ctes(variant: str, where: str = "") -> str:
     """CTE text (after WITH RECURSIVE) defining ``allrows`` with t, drift, velocity,
     acceleration, samples, baseline_mean, baseline_std for every row."""
     return f"""
-long AS (SELECT * FROM ({long_sql(variant)}) u WHERE x IS NOT NULL AND NOT isnan(x)),
+long AS (SELECT * FROM ({long_sql(variant)}) u WHERE x IS NOT NULL AND NOT isnan(x) {where}),
 seq AS (
   SELECT *, row_number() OVER (PARTITION BY model, feature ORDER BY ts, event_id) - 1 AS t FROM long
 ),
@@ -214,3 +214,21 @@ SELECT (SELECT count(*) FROM events) AS events_processed,
        (SELECT count(*) FROM allrows WHERE t >= 1) AS signals_computed,
        (SELECT count(*) FROM pred) AS predictions_generated""",
     }
+
+
+def stream_oracles() -> dict[str, str]:
+    """Queries of the intake and of late events."""
+    good = "WITH RECURSIVE " + signal_ctes("warm", "AND event_id % 50 NOT IN (7, 17, 27, 37, 47)") + "," + prediction_ctes()
+    return {
+        "late_events": f"""WITH long AS ({long_sql('warm')}),
+newest AS (SELECT model, feature, max(ts) AS ts FROM long WHERE event_id % 10 <> 3 GROUP BY ALL)
+SELECT l.event_id, l.model, l.feature, l.ts FROM long l JOIN newest n ON n.model = l.model AND n.feature = l.feature
+WHERE l.event_id % 10 = 3 AND l.ts < n.ts - INTERVAL 1 HOUR""",
+        "intake_predictions": f"""{good}
+SELECT event_id, model, risk, confidence, root_cause, n_features::INTEGER AS n_features FROM pred
+UNION ALL SELECT event_id, CAST(user_id AS VARCHAR), 'UNKNOWN', 'LOW', 'EARLY_WARNING', 0 FROM events WHERE event_id % 50 = 47""",
+        "intake_tables": """SELECT CASE WHEN event_id % 50 IN (7, 17, 27, 37) THEN 'rejects' ELSE 'events' END AS name,
+       CASE event_id % 50 WHEN 7 THEN 'not a JSON object' WHEN 17 THEN 'no model' WHEN 27 THEN 'no features'
+            WHEN 37 THEN 'a feature is not a number' END AS reason,
+       count(*) AS rows, sum(CASE WHEN event_id % 50 IN (7, 17, 27, 37, 47) THEN 0 ELSE 3 END)::BIGINT AS features
+FROM events GROUP BY ALL"""}

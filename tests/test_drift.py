@@ -2,7 +2,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from driftline.functions.kolmogorov import ks_pvalue_asymp
+from driftline.functions.kolmogorov import ks_pvalue
 from driftline.plans.monitor import monitor_drift
 
 
@@ -46,7 +46,7 @@ def test_metrics_match_numpy(spark):
         assert psi[f]["psi"] == pytest.approx(round(ref_psi(bb, cc), 6), abs=2e-6)
         d = ref_ks_d(bb, cc)
         assert ks[f]["ks_statistic"] == pytest.approx(round(d, 6), abs=1e-9)
-        assert ks[f]["p_value"] == pytest.approx(round(ks_pvalue_asymp(d, len(bb), len(cc)), 6), abs=1e-6)
+        assert ks[f]["p_value"] == pytest.approx(round(ks_pvalue(d, len(bb), len(cc)), 6), abs=1e-6)
         assert sh[f]["baseline_mean"] == pytest.approx(bb.mean(), abs=1e-6)
         assert sh[f]["current_var"] == pytest.approx(cc.var(ddof=1), abs=1e-6)
 
@@ -102,15 +102,52 @@ def test_no_cartesian_product_in_plan(spark):
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
-def test_exact_p_value_mode(spark):
-    from driftline.functions.kolmogorov import ks_pvalue_exact
+def test_p_value_methods(spark):
+    from driftline.functions.kolmogorov import ks_pvalue_asymp
     rng = np.random.default_rng(8)
     base = pd.DataFrame({"v": rng.normal(0, 1, 60)})
     cur = pd.DataFrame({"v": rng.normal(0.4, 1, 40)})
-    res = monitor_drift(*_frames(spark, base, cur), p_value_method="exact")
-    r = res.ks.collect()[0]
     d = ref_ks_d(base.v.to_numpy(), cur.v.to_numpy())
-    assert r["p_value"] == pytest.approx(round(ks_pvalue_exact(d, 60, 40), 6), abs=1e-9)
+    for method, f in (("finite", ks_pvalue), ("asymp", ks_pvalue_asymp)):
+        r = monitor_drift(*_frames(spark, base, cur), p_value_method=method).ks.collect()[0]
+        assert r["p_value"] == pytest.approx(round(f(d, 60, 40), 6), abs=1e-9)
+
+
+def test_one_baseline_for_many_segments(spark):
+    """Every segment as if it were compared alone; the baseline is ranked once."""
+    from driftline.operators.drift import tag_sides
+    from driftline.plans.monitor import monitor_tagged
+    rng = np.random.default_rng(31)
+    base = pd.DataFrame({"a": rng.normal(5, 1, 900).round(2), "b": rng.integers(0, 6, 900).astype(float)})
+    parts = {s: pd.DataFrame({"a": rng.normal(5 + k / 4, 1 + k / 9, 80 + 90 * k).round(2),
+                              "b": rng.integers(0, 5 + k, 80 + 90 * k).astype(float)}) for k, s in enumerate("xyz")}
+    parts["x"].loc[:, "b"] = np.nan                              # a side without values
+    parts[None] = pd.DataFrame({"a": base.a[:50] + 0.5, "b": base.b[:50]})  # a segment without a name
+    cur = pd.concat([p.assign(seg=s) for s, p in parts.items()])
+    b, c = spark.createDataFrame(base), spark.createDataFrame(cur[["seg", "a", "b"]], "seg string, a double, b double")
+    res = monitor_tagged(tag_sides(b, c, ["a", "b"], ["seg"]), ["a", "b"], ["seg"], shared=True)
+    psi = {(r["seg"], r["feature"]): r["psi"] for r in res.psi.collect()}
+    ks = {(r["seg"], r["feature"]): r["ks_statistic"] for r in res.ks.collect()}
+    shift = {(r["seg"], r["feature"]): r["current_mean"] for r in res.shift.collect()}
+    assert set(psi) == set(ks) == set(shift) == {(s, f) for s in parts for f in "ab"}
+    for s, p in parts.items():
+        for f in "ab":
+            v = p[f].dropna().to_numpy()
+            if not len(v):
+                assert psi[s, f] is None and ks[s, f] is None and shift[s, f] is None
+                continue
+            assert psi[s, f] == pytest.approx(round(ref_psi(base[f], v), 6), abs=2e-6)
+            assert ks[s, f] == pytest.approx(round(ref_ks_d(base[f].to_numpy(), v), 6), abs=1e-9)
+            assert shift[s, f] == pytest.approx(v.mean(), abs=1e-6)
+    # distinct baseline values stand in the ranked table once
+    assert res.tables.pinned().where("n_b > 0 AND seg IS NOT NULL").count() == 0
+    assert res.tables.pinned().agg({"n_b": "sum"}).first()[0] == 1800
+
+
+def test_feature_on_one_side_only_is_skipped(spark):
+    left = pd.DataFrame({"a": [1.0, 2.0, 3.0], "only_here": [1.0, 2.0, 3.0]})
+    right = pd.DataFrame({"a": [1.0, 2.0, 4.0], "only_there": [1.0, 2.0, 3.0]})
+    assert [r["feature"] for r in monitor_drift(*_frames(spark, left, right)).psi.collect()] == ["a"]
 
 
 def test_ks_symmetric_bounded_and_severity_monotone(spark):

@@ -1,3 +1,7 @@
+import os
+import shutil
+import subprocess
+import sys
 
 import __spark_entry__ as E
 from tests.conftest import SF_SMALL
@@ -32,3 +36,17 @@ def test_plan_properties(spark):
     shift = _plan(q["drift_shift"](spark, SF_SMALL))
     assert "ReadSchema: struct<l_linenumber:int,l_quantity:double" in shift.replace("bigint", "int")
     assert "ExistingRDD" not in shift and "Window" not in shift
+
+
+def test_entry_without_the_text_operators(tmp_path):
+    """A copy without the llm folders (an empty one may be left) still has all other queries."""
+    root = os.path.dirname(os.path.abspath(E.__file__))
+    skip = shutil.ignore_patterns("llm", ".git", "__pycache__", "*.json", "*.md")
+    shutil.copytree(root, tmp_path / "copy", ignore=skip)
+    for left in (False, True):
+        if left:
+            (tmp_path / "copy/driftline/llm/__pycache__").mkdir(parents=True)
+        out = subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"],
+                             cwd=tmp_path / "copy", capture_output=True, text=True, env=os.environ | {"PYTHONPATH": ""})
+        own = len(E.queries()) - len(E.LLM_QUERIES)
+        assert out.stdout.split() == [str(own), str(own)], out.stderr

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from driftline.functions.kolmogorov import ks_pvalue_asymp, ks_pvalue_exact
+from driftline.functions.kolmogorov import kolmogorov_cdf, ks_pvalue, ks_pvalue_asymp, ks_pvalue_exact
 from driftline.functions.numeric import round_half_even
 
 
@@ -48,3 +48,36 @@ def test_ks_exact_close_to_asymptotic_for_large_samples():
     assert ks_pvalue_asymp(0.0, 100, 100) == 1.0
     assert 0.0 <= ks_pvalue_asymp(0.5, 100, 100) < 1e-5
     assert math.isclose(ks_pvalue_exact(0.0, 10, 12), 1.0)
+
+
+def _one_sample_cdf(n, d):
+    """P(D_n < d) by the power of a banded matrix (exact; small n only)."""
+    k = int(n * d) + 1
+    m, h = 2 * k - 1, k - n * d
+    H = np.array([[1.0 if i - j + 1 >= 0 else 0.0 for j in range(m)] for i in range(m)])
+    for i in range(m):
+        H[i, 0] -= h ** (i + 1)
+        H[m - 1, i] -= h ** (m - i)
+    H[m - 1, 0] += max(2 * h - 1, 0) ** m
+    for i in range(m):
+        for j in range(m):
+            if i - j + 1 > 0:
+                H[i, j] /= math.factorial(i - j + 1)
+    power, out = H, np.eye(m)
+    scale = 0
+    for _ in range(n):
+        out = out @ power
+        if out[k - 1, k - 1] > 1e140:
+            out, scale = out * 1e-140, scale + 140
+    q = out[k - 1, k - 1]
+    return math.exp(math.log(q) + scale * math.log(10) + math.lgamma(n + 1) - n * math.log(n))
+
+
+def test_finite_n_distribution():
+    assert ks_pvalue(0.25, 60, 40) == pytest.approx(0.0883, abs=5e-5)
+    for n in (400, 600):
+        for d in (0.03, 0.05, 0.07, 0.09, 0.11):
+            assert kolmogorov_cdf(n, d) == pytest.approx(_one_sample_cdf(n, d), abs=2e-6)
+    # beyond the exact rows: close to the exact probability and bounded
+    assert abs(ks_pvalue(0.03, 10_001, 4000) - ks_pvalue_exact(0.03, 10_001, 4000)) < 1e-3
+    assert ks_pvalue(0.0, 10**9, 10**9) == 1.0 and 0 <= ks_pvalue(0.9, 10**9, 10**9) < 1e-12

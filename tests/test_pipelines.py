@@ -3,7 +3,8 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from driftline.operators.quality import SnapshotRules, stop_on_errors, rules_of_sample, check_table, coerce_numeric
+from driftline.operators.quality import (check_table, coerce_numeric, least_rows, may_be_empty, most_nulls, numeric, required,
+                                         rules_of_schema, stop_on_errors)
 from driftline.operators.retrain import model_registry, retrain_decisions
 from driftline.session import scratch_path
 from driftline.sources.files import (late_partitions, load_recent, load_snapshot, load_training, read_table, save_snapshot,
@@ -15,8 +16,7 @@ from tests.conftest import SF_SMALL
 def test_check_table_levels_and_messages(spark):
     df = spark.createDataFrame([(1.0, None, "a"), (None, 2.0, "b"), (3.0, None, None), (4.0, None, "c")],
                                "score double, f3 double, s string")
-    spec = SnapshotRules(present=["score", "ts"], numbers=["score", "s"],
-                      may_be_empty=["f3"], null_share=0.2, least_rows=5)
+    spec = [*least_rows(5), *required("score", "ts"), *numeric("score", "s"), *may_be_empty("f3"), *most_nulls(0.2)]
     rows = {(r["check"], r["column"]): r for r in check_table(df, spec).collect()}
     assert rows[("row_count", None)]["message"] == "Snapshot has 4 rows; minimum required is 5."
     assert rows[("required_columns", None)]["message"] == "Missing required columns: ['ts']"
@@ -26,8 +26,9 @@ def test_check_table_levels_and_messages(spark):
     assert rows[("null_rate", "s")]["level"] == "error"
     with pytest.raises(ValueError, match="snapshot checks failed"):
         stop_on_errors(check_table(df, spec))
-    spec2 = rules_of_sample(df)
-    assert spec2.numbers == ["score", "f3"] and spec2.least_rows == 10
+    derived = rules_of_schema(df.schema)
+    assert [r.column for r in derived if r.check == "numeric_type"] == ["score", "f3"]
+    assert [r.limit for r in derived if r.check == "row_count"] == [10]
 
 
 def test_coerce_numeric(spark):
@@ -105,3 +106,22 @@ def test_json_document_and_extension_case(spark, tmp_path):
         json.dump([{"a": 1.5, "b": "x"}, {"a": 2.5, "b": None}], f)
     df = read_table(spark, path, json_document=True)
     assert sorted(r["a"] for r in df.collect()) == [1.5, 2.5]
+
+
+def test_manifest_decides_what_is_there(spark, monkeypatch):
+    """Availability, format and columns come from the manifest: no data file is opened for them."""
+    from driftline.plans.jobs import late_days
+    from driftline.sources import files
+    rows = inference_rows(spark, SF_SMALL)
+    root = scratch_path(spark, "manifest")
+    save_snapshots(rows.where("snapshot_date BETWEEN '2024-01-01' AND '2024-01-04'"), root)
+    save_snapshot(rows.where("snapshot_date = '2024-01-02'").drop("snapshot_date", "feature_2").withColumn("extra", F.lit(1)), root, "2024-01-02")
+    m = {str(r["snapshot_date"]): r for r in files.read_manifest(spark, root).collect()}
+    assert sorted(m) == [f"2024-01-0{d}" for d in range(1, 5)] and all(r["format"] == "parquet" for r in m.values())
+    assert sum(r["rows"] for r in m.values()) == rows.where("snapshot_date BETWEEN '2024-01-01' AND '2024-01-04'").count()
+    monkeypatch.setattr(files, "days_in", lambda *a: pytest.fail("listed"))
+    united = load_recent(spark, root, "2024-01-04", 4)
+    assert {"extra", "feature_2"} <= set(united.columns) and united.count() == sum(r["rows"] for r in m.values())
+    assert [str(r["run_date"]) for r in late_days(spark, root, "2024-01-03", "2024-01-06").orderBy("run_date").collect()] == ["2024-01-05", "2024-01-06"]
+    plan = late_days(spark, root, "2024-01-03", "2024-01-06")._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<>" in plan  # of the manifest: its partition column alone

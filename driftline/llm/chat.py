@@ -132,17 +132,24 @@ def schema_paths(kind: T.DataType, at: str = "") -> list[str]:
     return [at]
 
 
+_PATH_SIGNS = str.maketrans({c: f"\\{c}" for c in "\\.[]"})
+_LONE = re.compile("[\ud800-\udfff]")
+
+
 def value_paths(value: object, at: str = "") -> set[str]:
-    """Nested field paths of a JSON value."""
+    """Nested field paths of a JSON value; signs of a path inside a key are escaped."""
     if isinstance(value, dict):
-        return {p for k, v in value.items() for p in value_paths(v, f"{at}.{k}" if at else k)}
+        keys = ((k.translate(_PATH_SIGNS), v) for k, v in value.items())
+        return {p for k, v in keys for p in value_paths(v, f"{at}.{k}" if at else k)}
     if isinstance(value, list):
         return {p for v in value for p in value_paths(v, f"{at}[]")} or {f"{at}[]"}
     return {at}
 
 
 def _said(value: object) -> str:
-    return "" if value is None else value if isinstance(value, str) else json.dumps(value, ensure_ascii=False)
+    """A value's text; half a surrogate pair is no character and becomes U+FFFD."""
+    text = "" if value is None else value if isinstance(value, str) else json.dumps(value, ensure_ascii=False)
+    return _LONE.sub("\ufffd", text)
 
 
 def _content(value: object) -> str:
@@ -176,10 +183,10 @@ def turns_from_json(records: DataFrame, id_col: str, json_col: str) -> DataFrame
         def one(text: str | None) -> list[dict[str, object]]:
             try:
                 record = json.loads(text or "null")
-            except ValueError:
+                turns = [{"turn": k, "role": role, "text": said} for k, (role, said) in enumerate(record_turns(record))]
+                layout = layout_of(value_paths(record))
+            except (ValueError, RecursionError):
                 return []
-            turns = [{"turn": k, "role": role, "text": said} for k, (role, said) in enumerate(record_turns(record))]
-            layout = layout_of(value_paths(record))
             if turns and layout.order:
                 turns[0]["turn"] = _number(record[layout.order])
             return turns
@@ -199,14 +206,19 @@ def rejection(text: str | None) -> str | None:
     """Why a JSON text is no record of an exact layout, or null."""
     try:
         record = json.loads(text or "null")
+        paths, turns = value_paths(record), record_turns(record)
     except ValueError:
         return "not JSON"
-    paths = value_paths(record)
+    except RecursionError:
+        return "nested too deeply"
     layout = layout_of(paths)
     if layout is None or not isinstance(record, dict):
         return "no layout"
     left = sorted(known(paths) - layout.paths())
-    return f"fields left out: {', '.join(left)}" if left else None
+    if left:
+        return f"fields left out: {', '.join(left)}"
+    broken = _LONE.search(json.dumps(record, ensure_ascii=False)) and any("\ufffd" in part for turn in turns for part in turn)
+    return "half surrogate pairs replaced" if broken else None
 
 
 def rejected_from_json(records: DataFrame, id_col: str, json_col: str) -> DataFrame:

@@ -26,12 +26,13 @@ lengths are told apart by id, piece and content; extra columns do not matter.
 from __future__ import annotations
 
 import re
+import struct
 import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
-from unicodedata import is_normalized
+from unicodedata import is_normalized, normalize
 
 import numpy as np
 import pandas as pd
@@ -48,6 +49,8 @@ CACHE_CHUNKS = 120_000  # of one generation
 CACHED_BYTES = 64
 
 _SYMBOLS = b".,;:!?%$#&*|"
+# symbols between a small ASCII letter or digit and white space
+_TRAILING = re.compile(rb"(?<=[a-z0-9])([" + re.escape(_SYMBOLS) + rb"]+)(?!\S)").sub
 # the printable character that byte-level vocabularies write for each byte
 _SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _BYTES = {b: chr(b) for b in _SHOWN} | {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in _SHOWN)}
@@ -66,8 +69,9 @@ class Ids(dict):
         super().__init__()
         self.tokenizer, self.model, self.last = tokenizer, tokenizer.model, {}
         probes = ("word", "thndwhat", "straße", "größenordnung", "été")
-        self.plain = all(self.pieces(w) == self.whole(w) for w in probes)
         added = tokenizer.get_added_tokens_decoder().values()
+        self.plain = (all(self.pieces(w) == self.whole(w) for w in probes)
+                      and not any(t.content.isalpha() for t in added))
         # chunks with one of these take no short way
         self.marked = re.compile(b"|".join(re.escape(t.content.lower().encode()) for t in added) or b"(?!)").search
         odd = [t.content for t in added if t.lstrip or t.rstrip or t.single_word or t.normalized or t.content.split() != [t.content]]
@@ -93,16 +97,31 @@ class Ids(dict):
         text = chunk.decode("utf-8")
         # a word of small letters needs no normalising and no cutting
         word = self.plain and text.isalpha() and text == text.lower() and is_normalized("NFC", text)
-        return np.array(self.pieces(text) if word else self.whole(text), "<u4").tobytes()
+        ids = self.pieces(text) if word else self.whole(text)
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def text(self, text: str) -> bytes:
+        """The ids of a whole text.
+
+        Where nothing composes with another case and no special string stands, capitals and
+        trailing symbols go first, in one pass, so fewer different chunks are looked up."""
+        raw = text.encode("utf-8", "replace")
+        small = raw.lower()
+        if not self.marked(small) and (raw.isascii() or all(is_normalized("NFC", c.decode()) for c in (raw, small))):
+            raw = _TRAILING(rb" \1", small)
+        return b"".join([self[c] for c in raw.split()])
 
     def __missing__(self, chunk: bytes) -> bytes:
         value = self.last.get(chunk)
+        if value is None and self.plain and chunk.isalpha() and chunk.islower():
+            value = self.encode(chunk)  # small ASCII letters only
         if value is None:
             # letters, digits and symbols are never in one token, so a word and the
-            # symbols behind it are looked up apart; the case of ASCII does not matter,
+            # symbols behind it are looked up apart if it ends in a letter or digit after
+            # normalising (some letters end in a mark then); the case of ASCII does not matter,
             # unless a character composes with the capital or the small letter
             stem, small = chunk.rstrip(_SYMBOLS), chunk.lower()
-            last = stem[-4:].decode("utf-8", "ignore")[-1:]
+            last = normalize("NFC", stem[-4:].decode("utf-8", "ignore")[-1:]).lower()[-1:]
             if self.marked(small):
                 value = self.encode(chunk)
             elif stem != chunk and (last.isalpha() or last.isdecimal()):
@@ -141,7 +160,7 @@ def pieces(documents: DataFrame, tokenizer_path: str, capacity: int = CAPACITY,
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
-                raw = b"".join([ids[c] for c in text.encode("utf-8", "replace").split()]) + end
+                raw = ids.text(text) + end
                 for piece, a in enumerate(range(0, len(raw), step)):
                     part = raw[a:a + step]
                     rows.append((doc_id, piece, a // 4, len(part) // 4, zlib.crc32(part)))

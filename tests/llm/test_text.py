@@ -207,7 +207,7 @@ def test_configurations_meet_the_demand():
 
 
 def test_registered_queries_and_columns(spark):
-    assert [q.split("_")[0] for q in queries.QUERIES] == [f"op{k}" for k in range(1, 11)]
+    assert [q.split("_")[0] for q in queries.QUERIES] == [f"op{k}" for k in range(1, 14)]
     chats = queries.op3_chat(spark, SF_SMALL)
     mine = chats.where("conv_id = -1").collect()[0]
     assert mine.n_turns == 2 and mine.loss_chars == len(queries.CONTROL_TEXT)
@@ -225,3 +225,36 @@ def test_pipeline_stages(spark):
     packed = pipeline.STAGES[-1][1](spark, docs, SF_SMALL)
     assert packed.select("doc_id").distinct().count() == n
     assert packed.agg(F.max("length")).first()[0] <= 2048
+
+
+def test_ids_are_those_of_a_plain_encode_for_any_characters():
+    """100,000 random strings of letters, marks, symbols, gaps and special strings."""
+    import random
+
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    path = public_tokenizers.path("word_bpe_49k.json")
+    plain, ids = Tokenizer.from_file(path), packing._open(path, True)
+    parts = [*"abcXYZHJ019", *".,;:!?%$#&*|\"'()<>-_/", " ", " ", "\n", "\t", "\u00a0", "\u0085", "\u0130", "\u0131", "\u0300", "\u0331",
+             "\u030c", "\u0307", "\u0345", "\u0958", "\u095f", "\u2adc", "\u1e9e", "\u00df", "\u03a3", "\u03c2", "\u00c9", "\u00e9", "\ufb01",
+             "\u0149", "\u1100", "\u1161", "\u11a8", "\uac00", "\u6f22", "\u2019", "\u201c", "\u2026", "\U0001f600", "\u200d", "\u0660",
+             "\u00bd", "\u216b", "\u212a", "\u2126", "the", "Word", "it's", "I'LL", "<|endoftext|>", "<|STARTOFTEXT|>"]
+    rng = random.Random(17)
+    texts = ["".join(rng.choices(parts, k=rng.randint(1, 9))) for _ in range(100_000)]
+    texts += ["\u0130,", "x\u0130. y", "\u0958,", "a\u0300,", "H\u0331.", "\u0130\u0307;"]
+    want = [e.ids for e in plain.encode_batch_fast(texts, add_special_tokens=False)]
+    got = [np.frombuffer(ids.text(t), "<u4").tolist() for t in texts]
+    bad = [(t, g, w) for t, g, w in zip(texts, got, want, strict=True) if g != w]
+    assert not bad, bad[:5]
+
+
+def test_records_that_no_layout_can_take_do_not_end_the_job(spark):
+    """Deep nesting, a key that reads like a path, and half a surrogate pair."""
+    deep = '{"prompt": ' + "[" * 100_000 + "]" * 100_000 + "}"
+    rows = [(1, deep), (2, '{"messages[].role": "a", "messages[].content": "b"}'),
+            (3, '{"prompt": "\\ud800 x", "completion": "y"}'), (4, '{"prompt": "a", "completion": "b"}')]
+    records = spark.createDataFrame(rows, "id long, body string")
+    turns = sorted((r.conv_id, r.turn, r.role, r.text) for r in chat.turns_from_json(records, "id", "body").collect())
+    assert [(t[0], t[3]) for t in turns] == [(3, "\ufffd x"), (3, "y"), (4, "a"), (4, "b")]
+    why = {r.conv_id: r.reason for r in chat.rejected_from_json(records, "id", "body").collect()}
+    assert why == {1: "nested too deeply", 2: "no layout", 3: "half surrogate pairs replaced"}

@@ -22,7 +22,8 @@ forests' union are those of all links, and are found by alternating large-star
 and small-star steps on written tables.
 
 Inputs and edge cases: null texts are empty; null ids get a fingerprint and
-never name a component (null, if no id is left in it); rows that share an id
+never name a component (null, if no id is left in it), and ``keep_one`` keeps a row without
+an id only where its group has none, one per group; rows that share an id
 are one document, and it represents its group if any of its rows does; an empty
 table gives an empty result; extra columns are left alone.
 """
@@ -43,6 +44,7 @@ from driftline.llm.common import written
 SEGMENTS = 32
 PART_ROWS = 16_384      # fingerprints of a cell that one side of a task holds, about
 BUCKET_ROWS = 65_536    # rows that one task of the grid join gets, about
+BROADCAST_CELLS = 200_000
 SEED = 42
 
 
@@ -134,13 +136,15 @@ def links(fingerprints: DataFrame, bits: int) -> DataFrame:
     """(a, b): forests of the links between distinct fingerprints, cell by cell."""
     spark = fingerprints.sparkSession
     placed = cells(fingerprints, bits)
-    # at most (bits + 1) * 3 ** 7 cells: the grid bounds this table, not the corpus
+    # the grid bounds this table, not the corpus: for 4 bits (bits + 1) * 3 ** 7 cells at most
     load = placed.groupBy("cell").agg(F.count("*").alias("n"))
     load = written(load.withColumn("parts", F.ceil(F.col("n") / PART_ROWS)), "simhash-cells")
-    rows = int(load.agg(F.sum(F.col("n") * F.col("parts"))).first()[0] or 0)
+    size = load.agg(F.sum(F.col("n") * F.col("parts")).alias("rows"), F.count("*").alias("cells")).first()
+    rows, known = int(size["rows"] or 0), load.select("cell", "parts")
+    known = F.broadcast(known) if size["cells"] <= BROADCAST_CELLS else known  # fewer bits, larger blocks of axes
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), rows // BUCKET_ROWS)
     own = F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int")
-    paired = (placed.join(F.broadcast(load.select("cell", "parts")), "cell").withColumn("own", own)
+    paired = (placed.join(known, "cell").withColumn("own", own)
               .withColumn("other", F.explode(F.sequence(F.lit(0), (F.col("parts") - 1).cast("int"))))
               .select("fp", "own", "cell", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"))
               .withColumn("bucket", F.pmod(F.xxhash64("cell", "lo", "hi"), F.lit(buckets))))
@@ -196,23 +200,39 @@ def components(edges: DataFrame, rounds: int = 100) -> DataFrame:
         now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 
-def near_duplicates(documents: DataFrame, shingle: int = 4, bits: int = 4,
-                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``documents``: doc_id, fp (signed), component_id."""
+def classes(documents: DataFrame, shingle: int = 4, bits: int = 4,
+            id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """(doc_id, fp) of every row, and (fp, root, component_id) of every fingerprint; the root is a
+    fingerprint of the class."""
     prints = written(documents.select(F.col(id_col).alias("doc_id"),
                                       fingerprint_column(F.col(text_col), shingle).alias("fp")), "simhash")
     distinct = written(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-distinct")
     members = written(components(links(distinct.select("fp"), bits)).withColumnRenamed("node", "fp"), "simhash-members")
     least = (members.join(distinct, "fp").groupBy("root").agg(F.min("first").alias("component_id")))
-    named = members.join(least, "root").select("fp", "component_id")
+    named = members.join(least, "root").select("fp", "root", "component_id")
     known = (distinct.join(named, "fp", "left")
-             .select("fp", F.coalesce("component_id", "first").alias("component_id")))
-    # written, so that the join reads two plain shuffles and Spark may split a frequent fingerprint
-    return prints.join(written(known, "simhash-known"), "fp").select("doc_id", "fp", "component_id")
+             .select("fp", F.coalesce("root", "fp").alias("root"), F.coalesce("component_id", "first").alias("component_id")))
+    # written, so that a join with it reads two plain shuffles and Spark may split a frequent fingerprint
+    return prints, written(known, "simhash-known")
+
+
+def near_duplicates(documents: DataFrame, shingle: int = 4, bits: int = 4,
+                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per row of ``documents``: doc_id, fp (signed), component_id."""
+    prints, known = classes(documents, shingle, bits, id_col, text_col)
+    return prints.join(known, "fp").select("doc_id", "fp", "component_id")
 
 
 def keep_one(documents: DataFrame, shingle: int = 4, bits: int = 4) -> DataFrame:
-    """The rows of ``documents`` whose document represents its group of near-duplicates."""
-    judged = near_duplicates(documents, shingle, bits).where(F.col("doc_id").isNotNull())
+    """The rows of ``documents`` that represent their group of near-duplicates: those of its
+    smallest id, or one row if no row of the group has an id."""
+    prints, known = classes(documents, shingle, bits)
+    judged = prints.join(known, "fp").where(F.col("doc_id").isNotNull())
     gone = judged.groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("component_id")).alias("stays")).where("NOT stays")
-    return documents.join(gone.select("doc_id"), "doc_id", "left_anti").select(*documents.columns)
+    named = (documents.where(F.col("doc_id").isNotNull()).join(gone.select("doc_id"), "doc_id", "left_anti")
+             .select(*documents.columns))
+    # rows without an id get a number when they are written, to tell equal ones apart
+    loose = written(documents.where(F.col("doc_id").isNull()).withColumn("row_", F.monotonically_increasing_id()), "simhash-loose")
+    place = loose.select("row_", fingerprint_column(F.col("text"), shingle).alias("fp")).join(known.where("component_id IS NULL"), "fp")
+    first = place.groupBy("root").agg(F.min("row_").alias("row_"))
+    return named.unionByName(loose.join(first.select("row_"), "row_", "left_semi").select(*documents.columns))

@@ -12,8 +12,10 @@ any of the ``HASHES`` minima agree in any window.
 If a document holds a share t of an item's q shingles, anywhere in it, the
 expected number of agreeing minima is at least HASHES * t q / (2 S + q), with
 q > S / 2; for t = 0.8 and 64 hashes that is 10 or more, so a miss has a chance
-of about e^-10 at most (in pieces all over the text) and far less for a passage in one piece.  Every candidate
-is then verified exactly, on the distinct shingles themselves.
+of about e^-10 at most (in pieces all over the text) and far less for a passage in one piece.
+Items of a single shingle have no minima to compare: their hash is looked up among all
+shingle hashes of a document, so none is missed.  Every candidate is then verified exactly,
+on the distinct shingles themselves.
 
 Words are runs of ASCII letters, digits and any characters beyond ASCII, in lower
 case; a shingle is five words, and a text with fewer words is one shingle of all
@@ -39,7 +41,7 @@ from pyspark.sql import functions as F
 SHINGLE = 5
 CONTAINMENT = 0.8
 HASHES = 64
-LEAST_CLASS = 8         # shingles in the smallest size class
+LEAST_CLASS = 2         # shingles in the smallest size class; items of one shingle are looked up
 BLOCK_ITEMS = 20_000    # items in one broadcast block, about 40 MB
 PIECE = 1 << 10         # shingles of a document whose minima are taken at a time
 TEXT_PIECE = 1 << 20    # bytes of a document that are hashed at a time
@@ -140,54 +142,64 @@ def item_minima(h: np.ndarray) -> np.ndarray:
 class Block:
     """A block of items: their texts' shingles and, by size class, the sorted
     minima of all hash functions, the items that have them, and a table of flags
-    by leading bits that tells most other values apart at once."""
+    by leading bits that tells most other values apart at once.  ``single`` is the same for
+    the hashes of items of one shingle."""
 
     ids: list
     shingles: list[set[tuple[bytes, ...]]]
+    single: tuple[np.ndarray, np.ndarray, np.ndarray]
     index: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]
 
 
 def build(ids: list, texts: list[str]) -> Block:
-    powers, sets, classes = Powers(), [], {}
+    powers, sets, classes, single = Powers(), [], {}, []
     for at, text in enumerate(texts):
         raw = normal(text)
         sets.append(shingles(raw.split()))
-        if sets[-1]:
+        if len(sets[-1]) == 1:
+            single.append((at, shingle_hashes(raw, powers)[:1]))
+        elif sets[-1]:
             classes.setdefault(size_class(len(sets[-1])), []).append((at, item_minima(shingle_hashes(raw, powers))))
-    index = {}
-    for bound, found in classes.items():
-        at, minima = np.repeat([f[0] for f in found], HASHES), np.concatenate([f[1] for f in found])
-        order = np.argsort(minima, kind="stable")
-        flags = np.zeros(1 << FLAG_BITS, bool)
-        flags[minima >> np.uint64(64 - FLAG_BITS)] = True
-        index[bound] = minima[order], at[order], flags
-    return Block(ids, sets, index)
+    return Block(ids, sets, _lookup(single, 1), {bound: _lookup(found, HASHES) for bound, found in classes.items()})
+
+
+def _lookup(found: list[tuple[int, np.ndarray]], each: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted values, the items that have them, and flags by leading bits."""
+    at = np.repeat(np.array([f[0] for f in found], np.int64), each)
+    values = np.concatenate([np.zeros(0, np.uint64), *(f[1] for f in found)])
+    order = np.argsort(values, kind="stable")
+    flags = np.zeros(1 << FLAG_BITS, bool)
+    flags[values >> np.uint64(64 - FLAG_BITS)] = True
+    return values[order], at[order], flags
+
+
+def _hits(values: np.ndarray, lookup: tuple[np.ndarray, np.ndarray, np.ndarray]) -> set[int]:
+    """The items that have any of the values."""
+    keys, items, flags = lookup
+    values = np.unique(values[flags[values >> np.uint64(64 - FLAG_BITS)]])
+    first, last = np.searchsorted(keys, values, "left"), np.searchsorted(keys, values, "right")
+    return {i for k in np.flatnonzero(last > first) for i in items[first[k]:last[k]].tolist()}
 
 
 def candidates(h: np.ndarray, block: Block) -> set[int]:
     """Items with an agreeing minimum in any window of a document's hashes."""
-    out: set[int] = set()
+    out = _hits(h, block.single) if len(block.single[0]) else set()
     bounds = sorted(block.index)
-    for a in range(0, len(h), PIECE):
+    for a in range(0, len(h) if bounds else 0, PIECE):
         # every piece starts one largest block early, so no window is lost
         low, size = _permuted(h[max(0, a - bounds[-1]):a + PIECE]), 1
         for bound in bounds:
             # minima of blocks of ``bound`` shingles, from those of the class before
             while size < bound:
                 low, size = _halved(low), 2 * size
-            window = (np.minimum(low[:-1], low[1:]) if len(low) > 1 else low).ravel()
-            keys, items, flags = block.index[bound]
-            window = np.unique(window[flags[window >> np.uint64(64 - FLAG_BITS)]])
-            first, last = np.searchsorted(keys, window, "left"), np.searchsorted(keys, window, "right")
-            for i in np.flatnonzero(last > first):
-                out.update(items[first[i]:last[i]].tolist())
+            out |= _hits((np.minimum(low[:-1], low[1:]) if len(low) > 1 else low).ravel(), block.index[bound])
     return out
 
 
 def matches(text: str, block: Block, powers: Powers, threshold: float) -> list[tuple[int, int]]:
     """(item, shingles in common) of the items that the text holds."""
     raw = normal(text)
-    found = candidates(shingle_hashes(raw, powers), block) if block.index else set()
+    found = candidates(shingle_hashes(raw, powers), block) if block.index or len(block.single[0]) else set()
     if not found:
         return []
     own = shingles(raw.split())

@@ -40,9 +40,9 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, per_class: int,
-                    id_col: str = "doc_id", text_col: str = "text") -> pd.DataFrame:
-    """Learning rows as (label, text): at most ``per_class`` ids of label 0 and of label 1.
+def labelled_rows(documents: DataFrame, labels: DataFrame, label: str, per_class: int,
+                  id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Learning rows (id, label, text): at most ``per_class`` ids of label 0 and of label 1.
 
     Ids are taken in order of a hash, so the sample is the same on every run and
     does not depend on how the table is dealt out.  Null labels, null ids and
@@ -57,5 +57,11 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, per_cla
     picked = (marks.where("label = 0").orderBy(*order).limit(per_class)
               .unionByName(marks.where("label = 1").orderBy(*order).limit(per_class)))
     rows = docs.join(F.broadcast(picked), "id")  # at most 2 * per_class ids
-    return (rows.groupBy("id", "label").agg(F.min("text").alias("text"))
-            .orderBy(*order).select("label", "text").toPandas())
+    return rows.groupBy("id", "label").agg(F.min("text").alias("text"))
+
+
+def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, per_class: int,
+                    id_col: str = "doc_id", text_col: str = "text") -> pd.DataFrame:
+    """The learning rows as (label, text), in order of the hash."""
+    rows = labelled_rows(documents, labels, label, per_class, id_col, text_col)
+    return rows.orderBy(F.xxhash64("id"), "id").select("label", "text").toPandas()

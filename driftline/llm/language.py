@@ -24,14 +24,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from driftline.llm.common import held_out
 
 UNKNOWN = "und"
-SAMPLE_ROWS = 2400      # learning rows that are fetched, about, over all languages
-SAMPLE_CHARS = 4096     # characters of a learning row that are fetched
+SAMPLE_ROWS = 2400      # most learning rows that are fetched, over all languages
+SAMPLE_CHARS = 4096     # a learning row is a window of so many characters, anywhere in its text
 LEAST_SCORE = 0.4       # a filter keeps documents from this score on
 HIDDEN = 8
 WINDOW = 64
@@ -228,20 +228,24 @@ def predict(net: Network, texts: list[str]) -> tuple[list[str], np.ndarray]:
 
 
 def learning_rows(documents: DataFrame, sample_rows: int = SAMPLE_ROWS) -> pd.DataFrame:
-    """About ``sample_rows`` rows (text, lang), the same on every run, in equal shares by language.
+    """At most ``sample_rows`` rows (text, lang), the same on every run, in equal shares by language.
 
-    A row is taken if a hash of its id falls below its language's rate, so the
-    sample needs the counts by language only."""
+    Rows that repeat id and text count once.  Those whose hash falls below their language's
+    rate (from an estimate of its different rows, with a margin) are told apart, and of each
+    language the ones with the least hashes are taken: a fixed number, whatever repeats."""
     rows = documents.where(F.col("lang").isNotNull() & ~held_out(F.col("doc_id")) & (F.length("text") > 0))
-    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).collect()
+    rows = rows.select("lang", "text", F.xxhash64(F.lit("lot"), "doc_id", "text").alias("lot"))
+    counts = rows.groupBy("lang").agg(F.approx_count_distinct("lot", 0.02).alias("n")).collect()  # a row per language
     if not counts:
         return pd.DataFrame({"text": [], "lang": []})
-    share = sample_rows / len(counts)
-    rate = F.create_map(*[F.lit(x) for c in counts for x in (c["lang"], min(1.0, share / c["n"]))])
-    lot = F.pmod(F.xxhash64(F.lit("lot"), "doc_id", "text"), F.lit(1_000_003)) / 1_000_003
-    picked = rows.where(lot < F.element_at(rate, F.col("lang")))
+    share = max(1, sample_rows // len(counts))
+    rate = F.create_map(*[F.lit(x) for c in counts for x in (c["lang"], min(1.0, 1.5 * (share + 20) / max(1, c["n"])))])
     start = F.pmod(F.xxhash64("text"), F.greatest(F.lit(1), F.length("text") - SAMPLE_CHARS)) + 1
-    return (picked.select(F.col("text").substr(start.cast("int"), F.lit(SAMPLE_CHARS)).alias("text"), "lang")
+    window = F.col("text").substr(start.cast("int"), F.lit(SAMPLE_CHARS))
+    picked = rows.where(F.pmod("lot", F.lit(1_000_003)) / 1_000_003 < F.element_at(rate, F.col("lang")))
+    once = picked.groupBy("lang", "lot").agg(F.min(window).alias("text"))
+    first = Window.partitionBy("lang").orderBy(F.pmod("lot", F.lit(1_000_003)), "lot")
+    return (once.withColumn("place", F.row_number().over(first)).where(F.col("place") <= share).select("text", "lang")
             .orderBy("lang", F.xxhash64("text"), "text").toPandas())
 
 

@@ -134,3 +134,13 @@ def test_backpropagation_matches_finite_differences():
             ends.append(value())
         layer[name][at] = keep
         assert abs((ends[0] - ends[1]) / 2e-2 - grad[name][at]) < 2e-2 * max(1, abs(grad[name][at]))
+
+
+def test_language_sample_is_bounded_and_fair_with_repeated_rows(spark):
+    from driftline.llm import language
+    rows = [(k, f"text {k % 40} of {'abcd'[k % 4]} " * 3, "abcd"[k % 4]) for k in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    many = docs.crossJoin(spark.range(500)).drop("id")  # each row 500 times
+    got, plain = language.learning_rows(many, 20), language.learning_rows(docs, 20)
+    assert sorted(got["lang"].unique()) == list("abcd") and got["lang"].value_counts().max() <= 5
+    assert got.equals(plain)

@@ -22,7 +22,8 @@ The next document (by id) comes from a window over blocks of ids; a block also
 gets the first row of the block behind it, so no row is missing at an edge.
 
 Inputs and edge cases: a null text is empty; an empty text has an empty signature;
-a text with fewer words than k has one k-mer of all its words; null ids sort before
+a text of few words (``FEW`` or less: short texts, scripts without blanks, white space
+only) is taken by its characters instead of its words; fewer units than k are one k-mer; null ids sort before
 all others and equal ids by their texts' hash; the document after the last is the
 first (a single document follows itself); an empty table gives an empty result.
 """
@@ -35,6 +36,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 WORDS = 3
+FEW = 8                 # up to so many words a text's characters are its units
 KEPT = 2
 BIN_BITS = 6
 BINS = 1 << BIN_BITS
@@ -71,9 +73,15 @@ def _elements(kmers: Column) -> Column:
     return _let(kmers, number)
 
 
+def _units(text: Column) -> Column:
+    """The words of a text, or its characters if the words are few."""
+    words = F.split(F.trim(text), r"[\x20\x09-\x0D]+")
+    return _let(words, lambda w: F.when(F.size(w) > FEW, w).otherwise(F.split(text, "")))
+
+
 def signature(text: Column) -> Column:
     """Array of ``BINS`` 32-bit numbers, ``EMPTY`` for an empty bin."""
-    words = F.split(F.trim(text), r"[\x20\x09-\x0D]+")
+    words = _units(text)
 
     def select(t: Column) -> Column:
         def bin_of(x: Column) -> Column:
@@ -89,13 +97,13 @@ def signature(text: Column) -> Column:
         return _let(F.map_from_entries(F.transform(starts, hashed)), lambda m: F.transform(
             F.sequence(F.lit(0), F.lit(BINS - 1)), lambda b: F.coalesce(F.try_element_at(m, b), F.lit(EMPTY))))
 
-    return F.when(F.trim(text) == "", F.array_repeat(F.lit(EMPTY), BINS)).otherwise(_let(_elements(_kmers(words)), select))
+    return F.when(text == "", F.array_repeat(F.lit(EMPTY), BINS)).otherwise(_let(_elements(_kmers(words)), select))
 
 
 def full_signature(text: Column) -> Column:
     """Like ``signature``, but every bin selects ``KEPT`` elements: its own with the least
     hashes, then those of the bins behind it.  ``EMPTY`` only for an empty text."""
-    words = F.split(F.trim(text), r"[\x20\x09-\x0D]+")
+    words = _units(text)
     # hashes are signed, so the bins lie in the order 32..63, 0..31; a mark sorts before its bin
     marks = F.array(*[F.struct(F.lit((b << 64 - BIN_BITS) - 2**63).alias("g"), F.lit(-1).alias("p")) for b in range(BINS)])
 
@@ -114,7 +122,7 @@ def full_signature(text: Column) -> Column:
         values = F.transform(places, select(t))
         return _let(values, lambda v: F.concat(F.slice(v, BINS // 2 + 1, BINS // 2), F.slice(v, 1, BINS // 2)))
 
-    return F.when(F.trim(text) == "", F.array_repeat(F.lit(EMPTY), BINS)).otherwise(_let(_elements(_kmers(words)), build))
+    return F.when(text == "", F.array_repeat(F.lit(EMPTY), BINS)).otherwise(_let(_elements(_kmers(words)), build))
 
 
 def as_text(signature: Column) -> Column:
@@ -153,8 +161,9 @@ def block_of(value: Column, bounds: list[int]) -> Column:
     return block
 
 
-def with_next(documents: DataFrame, columns: list[str]) -> DataFrame:
-    """Add ``next_<column>`` of the document with the next larger doc_id.
+def with_next(documents: DataFrame, columns: list[str], derived: dict[str, Column] | None = None) -> DataFrame:
+    """Add ``next_<column>`` of the document with the next larger doc_id.  ``derived`` columns are
+    computed once per document, and for the one more row of each block.
 
     Blocks of ids are cut at approximate quantiles; the bounds and the first id of
     each block are all that the driver sees (one number per block, four blocks for
@@ -173,6 +182,7 @@ def with_next(documents: DataFrame, columns: list[str]) -> DataFrame:
     follow = (documents.join(F.broadcast(edge), F.col("doc_id").eqNullSafe(F.col("edge_id_")))
               .select(*documents.columns, F.col("edge_block_").alias("block_"), F.lit(1).alias("edge_")))
     rows = placed.select(*documents.columns, "block_", F.lit(0).alias("edge_")).unionByName(follow)
+    rows = rows.withColumns(derived or {})
     order = Window.partitionBy("block_").orderBy("edge_", "doc_id", F.xxhash64("text"))
     return (rows.withColumns({f"next_{c}": F.lead(c).over(order) for c in columns})
             .where("edge_ = 0").drop("block_", "edge_"))
@@ -184,7 +194,7 @@ def fingerprint_edits(documents: DataFrame, id_col: str = "doc_id", text_col: st
     The edited text replaces the last quarter of the characters by the beginning
     of the next document."""
     docs = documents.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    signed = with_next(docs.withColumn("signature", full_signature(F.col("text"))), ["text", "signature"])
+    signed = with_next(docs, ["text", "signature"], {"signature": full_signature(F.col("text"))})
     size = F.length("text")
     tail = F.floor(size / 4).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), size - tail), F.substring(F.col("next_text"), F.lit(1), tail))

@@ -5,6 +5,7 @@ import struct
 from itertools import combinations
 
 import numpy as np
+from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
 from driftline.llm import contamination, licences, orderhash, simhash
@@ -88,11 +89,16 @@ def chained(values):
     return seed
 
 
+def plain_units(text):
+    """Words, or the characters of a text of few words."""
+    words = re.split(r"[\x20\x09-\x0D]+", text.strip(" "))
+    return words if len(words) > orderhash.FEW else list(text)
+
+
 def plain_signature(text):
-    text = (text or "").strip(" ")
     if not text:
         return [orderhash.EMPTY] * orderhash.BINS
-    w = [xxh64_intdigest(x.encode(), 42) for x in re.split(r"[\x20\x09-\x0D]+", text)]
+    w = [xxh64_intdigest(x.encode(), 42) for x in plain_units(text)]
     seen, bins = {}, {}
     for place in range(max(1, len(w) - orderhash.WORDS + 1)):
         h = chained(w[place:place + orderhash.WORDS])
@@ -120,7 +126,7 @@ def test_order_minhash_sees_order():
 
 
 def plain_full_signature(text):
-    w = [xxh64_intdigest(x.encode(), 42) for x in re.split(r"[\x20\x09-\x0D]+", text)]
+    w = [xxh64_intdigest(x.encode(), 42) for x in plain_units(text)]
     seen, ring = {}, []
     for place in range(max(1, len(w) - orderhash.WORDS + 1)):
         h = chained(w[place:place + orderhash.WORDS])
@@ -235,3 +241,40 @@ def test_contamination_equals_brute_force(spark):
     assert contamination.find_leaks(frame(spark, rows).limit(0), bench).count() == 0
     blocks = list(contamination.blocks(bench, block_items=10))
     assert len(blocks) > 1 and sum(len(b.ids) for b in blocks) == 33
+
+
+def test_keep_one_among_rows_without_ids(spark):
+    """Null-id copies go where the group has an id, else all but one of them."""
+    a, b = "one two three four five six seven eight", "nine ten eleven twelve thirteen fourteen fifteen"
+    rows = [(None, a), (None, a), (None, a), (None, b), (7, b), (3, "something else entirely that stands alone here")]
+    kept = simhash.keep_one(frame(spark, rows), 4, 4).collect()
+    assert sorted((r.doc_id is None, r.doc_id or 0, r.text) for r in kept) == sorted(
+        [(True, 0, a), (False, 7, b), (False, 3, rows[5][1])])
+
+
+def test_short_items_are_never_missed(spark):
+    """Items of one to four shingles at any place of a long text."""
+    rng = np.random.default_rng(2)
+    words = [f"w{k}" for k in range(3000)]
+    items = [(k, " ".join(rng.choice(words, 5 + k % 4))) for k in range(400)]
+    block = contamination.build([i for i, _ in items], [t for _, t in items])
+    powers = contamination.Powers()
+    missed = 0
+    for k, (_, t) in enumerate(items):
+        filler = list(rng.choice(words, 300))
+        at = int(rng.integers(0, 300))
+        text = " ".join(filler[:at] + [t] + filler[at:])
+        found = {i for i, _ in contamination.matches(text, block, powers, 0.8)}
+        missed += k not in found
+    assert missed == 0
+
+
+def test_order_minhash_of_texts_without_blanks(spark):
+    """Likeness follows the edits for scripts without blanks and for a few words."""
+    long_text = "我们今天去公园散步然后回家吃饭晚上一起看电影明天早上再去学校上课下午踢足球"
+    rows = [(1, long_text), (2, long_text[:-1] + "球场"), (3, "完全不同的内容与前面没有关系的另外一段文字说明"), (4, " \t\n"), (5, ""), (6, None)]
+    text = F.coalesce("text", F.lit(""))
+    sig = {r.doc_id: r.signature for r in frame(spark, rows).select("doc_id", orderhash.full_signature(text).alias("signature")).collect()}
+    share = lambda a, b: sum(x == y for x, y in zip(sig[a], sig[b], strict=True)) / len(sig[a])
+    assert share(1, 2) > 0.6 and share(1, 3) < 0.2
+    assert any(sig[4]) and not any(sig[5]) and not any(sig[6])

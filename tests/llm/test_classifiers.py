@@ -82,11 +82,38 @@ def test_toxic_words_shorten_only_against_the_toxic_dictionary():
     model = toxicity.fit(texts, np.arange(160) % 2)
     sizers = model.dictionaries.sizers()
     new = [" ".join(f"w{i}" for i in rng.integers(0, 400, 80)) for _ in range(20)]
-    low = model.scores(new, toxicity.Digests(), sizers)
-    high = model.scores([t + " nasty vile wretch" for t in new], toxicity.Digests(), sizers)
+    low = model.scores(new, sizers)
+    high = model.scores([t + " nasty vile wretch" for t in new], sizers)
     assert (high > 0.7).all() and (low < 0.5).all()
 
 
+def test_toxicity_letters_are_hashes_of_the_words_beginnings():
+    one = np.frombuffer(toxicity.letters(["über", "überall", "über"]), np.uint32)
+    assert len(one) == 18 and (one[:4] == one[5:9]).all() and (one[:5] == one[13:]).all()
+    assert len(set(one[:13].tolist())) == 9  # four shared letters; the blank tells the whole word
+    alone = b"".join(toxicity.letters([w]) for w in ("über", "überall", "über"))
+    assert one.tobytes() == alone
+    words = toxicity.words_of("a bc " * 2000 + "x" * 600)
+    assert len(words) == 4003
+    assert b"".join(toxicity.windows(words)) == b"".join(map(toxicity.letters, ([w] for w in words)))
+
+
+def test_toxicity_counts_repeats_and_the_order_of_words():
+    rng = np.random.default_rng(5)
+    plain = [" ".join(f"w{i}" for i in rng.integers(0, 300, 60)) for _ in range(120)]
+    texts = [t + " vile nasty awful wretch" if k % 2 else t for k, t in enumerate(plain)]
+    sizers = toxicity.fit(texts, np.arange(120) % 2).dictionaries.sizers()
+    once = toxicity.words_of(plain[0] + " nasty " + plain[2])
+    twice = toxicity.words_of(plain[0] + " nasty " + plain[2] + " nasty")
+    total = [toxicity.excesses(toxicity.windows(w), *sizers).sum() for w in (once, twice)]
+    assert total[1] > total[0] > 0
+    phrase = toxicity.letters(["vile", "nasty", "awful", "wretch"])
+    parts = toxicity.Dictionaries(b"\0" * 4096, b"\0" * 4000 + phrase).sizers()
+    in_order = toxicity.excesses([phrase], *parts)[0]
+    mixed = toxicity.excesses([toxicity.letters(["awful", "vile", "wretch", "nasty"])], *parts)[0]
+    assert in_order > mixed > 0
+
+
 @pytest.fixture(scope="module")
 def net(spark):
     return language.train(table(spark, SF_MID, "documents"))

@@ -16,17 +16,20 @@ several templates' the one with the most common bigrams; a window inside a
 line or paragraph that matches the same licence as a whole is not told again.
 
 Everything happens in a document's own row, with DataFrame functions only and without a
-shuffle.  Templates come to the driver, ``BLOCK_TEMPLATES`` at a time, and are part of
-the expression; more templates are more passes.
+shuffle, in one scan for any number of templates.  Templates come to the driver and are
+constants of the expression (8 bytes for each of their bigrams, so a list of some hundred
+full licences takes a few MB); a text that shares too few bigrams with all of them together
+is left before any template is compared.
 
 Inputs and edge cases: null and empty texts, and those with fewer than two words, match
 nothing; repeated rows and ids give repeated matches; null ids are kept; extra columns do
-not matter; an empty table or no templates give an empty result.
+not matter; repeated templates count once, a null licence is named by the empty text; an
+empty table or no templates give an empty result.
 """
 
 from __future__ import annotations
 
-from functools import partial, reduce
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,7 +37,6 @@ from pyspark.sql import functions as F
 from driftline.llm.orderhash import _let, _run_starts
 
 THRESHOLD = 0.8
-BLOCK_TEMPLATES = 64
 
 # Usual wordings of licence notices.
 NOTICES = [
@@ -118,12 +120,14 @@ def _units(text: Column) -> Column:
     return _let(F.transform(F.split(text, "\n"), words), find)
 
 
-def _best(known: list[tuple[str, list[int]]], threshold: float, unit: Column) -> Column:
+def _best(known: list[tuple[str, tuple[int, ...]]], threshold: float, unit: Column) -> Column:
     """The best template of one unit, or null."""
     table = F.array(*[F.struct(F.lit(name).alias("licence"), F.lit(len(b)).alias("m"),
                                F.array(*[F.lit(x) for x in b]).alias("bigrams")) for name, b in known])
     least = threshold / (2 - threshold) * min(len(b) for _, b in known)
 
+    every = sorted({x for _, b in known for x in b})
+
     def compare(b: Column) -> Column:
         n = F.size(b)
         fits = F.filter(table, lambda t: (n >= threshold / (2 - threshold) * t["m"] - 1e-9)
@@ -134,7 +138,10 @@ def _best(known: list[tuple[str, list[int]]], threshold: float, unit: Column) ->
         return F.when(-first["less"] >= threshold - 1e-9, F.struct(
             unit["line"].alias("line"), unit["lines"].alias("lines"), first["licence"].alias("licence"), (-first["less"]).alias("dice")))
 
-    return F.when(F.size(unit["words"]) - 1 >= least - 1e-9, _let(bigrams(unit["words"]), compare))
+    def shared(b: Column) -> Column:
+        return F.when(F.size(F.filter(b, lambda x: x.isin(every))) >= least - 1e-9, compare(b))
+
+    return F.when(F.size(unit["words"]) - 1 >= least - 1e-9, _let(bigrams(unit["words"]), shared))
 
 
 def _paragraphs(text: Column) -> Column:
@@ -155,7 +162,7 @@ def _apart(found: Column) -> Column:
         F.exists(kept, lambda y: (x["start"] <= y["stop"]) & (y["start"] <= x["stop"])), kept).otherwise(F.concat(kept, F.array(x))))
 
 
-def _windows(known: list[tuple[str, list[int]]], threshold: float, paragraph: Column) -> Column:
+def _windows(known: list[tuple[str, tuple[int, ...]]], threshold: float, paragraph: Column) -> Column:
     """The best windows of one paragraph that do not overlap."""
     table = F.array(*[F.struct(F.lit(name).alias("licence"), F.lit(len(b)).alias("m"),
                                F.array(*[F.lit(x) for x in b]).alias("bigrams")) for name, b in known])
@@ -197,7 +204,7 @@ def _windows(known: list[tuple[str, list[int]]], threshold: float, paragraph: Co
     return _let(F.transform(F.sequence(F.lit(1), F.size(w) - 1), lambda i: F.xxhash64(F.get(w, i - 1), F.get(w, i))), hits_of)
 
 
-def _all(known: list[tuple[str, list[int]]], threshold: float, text: Column) -> Column:
+def _all(known: list[tuple[str, tuple[int, ...]]], threshold: float, text: Column) -> Column:
     """Matches of whole units, and of windows that they do not tell already."""
     units = F.filter(F.transform(_units(text), partial(_best, known, threshold)), lambda x: x.isNotNull())
     parts = F.flatten(F.filter(F.transform(_paragraphs(text), partial(_windows, known, threshold)), lambda x: x.isNotNull()))
@@ -207,31 +214,16 @@ def _all(known: list[tuple[str, list[int]]], threshold: float, text: Column) ->
             return F.exists(whole, lambda u: (u["licence"] == x["licence"]) & (u["line"] <= x["line"])
                             & (u["line"] + u["lines"] >= x["line"] + x["lines"]))
         new = F.array_distinct(F.filter(parts, lambda x: ~told(x)))
-        return F.concat(F.transform(whole, lambda u: F.struct(*[u[c].alias(c) for c in _COLUMNS], F.lit(False).alias("window"))),
-                        F.transform(new, lambda u: F.struct(*[u[c].alias(c) for c in _COLUMNS], F.lit(True).alias("window"))))
+        return F.concat(whole, new)
     return _let(units, join)
 
 
-_COLUMNS = ("line", "lines", "licence", "dice")
-
-
 def scan(documents: DataFrame, templates: DataFrame, threshold: float = THRESHOLD,
-         id_col: str = "doc_id", text_col: str = "text", block_templates: int = BLOCK_TEMPLATES) -> DataFrame:
+         id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per matching line, paragraph or window: doc_id, line (from 0), lines, licence, dice."""
-    spark = documents.sparkSession
     docs = documents.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    known = templates.select("licence", bigrams(words(F.col("text"))).alias("b")).where("size(b) > 0")
-    rows = [(r["licence"], list(r["b"])) for r in known.orderBy("licence", "b").collect()]
-    parts = []
-    for k in range(0, len(rows), block_templates):
-        some = rows[k:k + block_templates]
-        parts.append(docs.select("doc_id", F.inline(_all(some, threshold, F.col("text")))))
-    if not parts:
-        return spark.createDataFrame([], "doc_id long, line int, lines int, licence string, dice double")
-    if len(parts) == 1:
-        return parts[0].drop("window")
-    found = reduce(DataFrame.unionByName, parts)
-    best = found.where("NOT window").groupBy("doc_id", "line", "lines")
-    windows = found.where("window").select("doc_id", *_COLUMNS)
-    return (best.agg(F.min(F.struct((-F.col("dice")).alias("less"), "licence")).alias("best"))
-            .select("doc_id", "line", "lines", "best.licence", (-F.col("best.less")).alias("dice")).unionByName(windows))
+    rows = templates.select("licence", bigrams(words(F.col("text"))).alias("b")).where("size(b) > 0").collect()
+    known = sorted({(r["licence"] or "", tuple(sorted(r["b"]))) for r in rows})
+    if not known:
+        return documents.sparkSession.createDataFrame([], "doc_id long, line int, lines int, licence string, dice double")
+    return docs.select("doc_id", F.inline(_all(known, threshold, F.col("text"))))

@@ -186,8 +186,10 @@ def test_licences(spark):
     got = sorted((r.doc_id or 0, r.line, r.lines, r.licence, round(r.dice, 3)) for r in licences.scan(frame(spark, rows), licences.notices(spark)).collect())
     assert got == [(0, 0, 1, "all-rights-reserved", 1.0), (1, 0, 3, "mit", 0.8), (1, 1, 1, "mit", 1.0), (2, 0, 1, "mit", 1.0), (2, 0, 1, "mit", 1.0),
                    (5, 0, 4, "mit-permission", 1.0)]
-    parts = licences.scan(frame(spark, rows).distinct(), licences.notices(spark), block_templates=3)
-    assert {r.licence for r in parts.collect()} == {"mit", "mit-permission", "all-rights-reserved"}
+    many = licences.NOTICES * 2 + [(f"other-{k}", f"{k} some other wording number {k} of no document") for k in range(150)]
+    named = frame(spark, rows).selectExpr("doc_id", "text", "'x' AS line", "1 AS licence", "2 AS dice")
+    more = licences.scan(named, spark.createDataFrame(many, "licence string, text string"))
+    assert got == sorted((r.doc_id or 0, r.line, r.lines, r.licence, round(r.dice, 3)) for r in more.collect())
     assert licences.scan(frame(spark, rows), licences.notices(spark).limit(0)).count() == 0
     assert licences.scan(frame(spark, rows).limit(0), licences.notices(spark)).count() == 0
 

@@ -99,6 +99,17 @@ def windows(words: list[str]) -> list[bytes]:
     return out
 
 
+def units(words: Iterable[str]) -> dict[str, bytes]:
+    """The bytes of every word by itself."""
+    out, rest = {}, list(dict.fromkeys(words))
+    for k in range(0, len(rest), PIECE_WORDS):
+        code, at = letters(rest[k:k + PIECE_WORDS]), 0
+        for w in rest[k:k + PIECE_WORDS]:
+            out[w] = code[at:at + 4 * len(w) + 4]
+            at += 4 * len(w) + 4
+    return out
+
+
 def _trained(samples: list[bytes], size: int) -> bytes:
     """A trained dictionary; too small a sample is its own (raw) dictionary."""
     try:
@@ -126,9 +137,9 @@ class Dictionaries:
         return _sizer(self.ordinary), _sizer(self.toxic)
 
 
-def _dictionaries(toxic: list[bytes], ordinary: list[bytes], missed: Counter) -> Dictionaries:
+def _dictionaries(toxic: list[bytes], ordinary: list[bytes], missed: Counter[bytes]) -> Dictionaries:
     base = _trained(ordinary, ORDINARY_BYTES)
-    base += b"".join(letters([w]) for w, _ in reversed(missed.most_common(MISSED_WORDS)))
+    base += b"".join(u for u, _ in reversed(missed.most_common(MISSED_WORDS)))
     over = _trained(toxic, TOXIC_BYTES)[-(TOXIC_BYTES - HEADER_BYTES):]
     return Dictionaries(base + b"\0" * len(over), base + over)
 
@@ -199,14 +210,12 @@ def fit(texts: list[str], labels: np.ndarray) -> Model:
     fold[order] = np.arange(len(docs)) % FOLDS
     cut = [windows(d) for d in docs]
     known = [list(dict.fromkeys(d)) for d in docs]  # judged word by word in the rounds
-    unit = {w: letters([w]) for d in known for w in d}
+    unit = units(w for d in known for w in d)
     chosen = [[unit[w] for w in known[i]] if t else _spread(cut[i], ORDINARY_WINDOWS) for i, t in enumerate(y)]
     missed: list[list[str]] = [[] for _ in docs]
 
     def learn(rest: list[int]) -> Dictionaries:
-        seen: Counter = Counter()
-        for i in rest:
-            seen.update(missed[i])
+        seen = Counter(unit[w] for i in rest for w in missed[i])
         return _dictionaries([u for i in rest if y[i] for u in chosen[i]], [u for i in rest if not y[i] for u in chosen[i]], seen)
 
     x = np.zeros((len(docs), 7))

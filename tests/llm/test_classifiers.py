@@ -93,6 +93,7 @@ def test_toxicity_letters_are_hashes_of_the_words_beginnings():
     assert len(set(one[:13].tolist())) == 9  # four shared letters; the blank tells the whole word
     alone = b"".join(toxicity.letters([w]) for w in ("über", "überall", "über"))
     assert one.tobytes() == alone
+    assert all(u == toxicity.letters([w]) for w, u in toxicity.units(["b", "über", "b", "x" * 300]).items())
     words = toxicity.words_of("a bc " * 2000 + "x" * 600)
     assert len(words) == 4003
     assert b"".join(toxicity.windows(words)) == b"".join(map(toxicity.letters, ([w] for w in words)))

@@ -205,6 +205,74 @@ def test_licences_inside_other_text(spark):
                    (5, 0, 1, "all-rights-reserved", 1.0), (5, 0, 1, "mit", 1.0)]
 
 
+def plain_licences(text, templates, threshold=licences.THRESHOLD):
+    """(line, lines, licence, dice) of one text, every template against every unit and every window."""
+    def pairs(words):
+        return list(zip(words, words[1:]))
+
+    def dice(a, b):
+        return 2 * len(a & b) / (len(a) + len(b))
+
+    def apart(found):
+        kept = []
+        for x in sorted(found):
+            if all(x[4] < y[3] or y[4] < x[3] for y in kept):
+                kept.append(x)
+        return kept
+
+    known = sorted({(name, frozenset(pairs(re.findall("[a-z0-9]+", t.lower())))) for name, t in templates})
+    lines = [re.findall("[a-z0-9]+", x.lower()) for x in (text or "").split("\n")]
+    paragraphs, run = [], []
+    for k, w in enumerate([*lines, []]):
+        if w:
+            run.append(k)
+        elif run:
+            paragraphs, run = [*paragraphs, run], []
+    whole = []
+    for unit in [[k] for k in range(len(lines))] + [p for p in paragraphs if len(p) > 1]:
+        own = set(pairs([w for k in unit for w in lines[k]]))
+        if own:
+            best = min((-dice(own, b), name) for name, b in known)
+            if -best[0] >= threshold - 1e-9:
+                whole.append((unit[0], len(unit), best[1], -best[0]))
+    inside = set()
+    for p in paragraphs:
+        at = [k for k in p for _ in lines[k]]
+        row, found = pairs([w for k in p for w in lines[k]]), []
+        for name, b in known:
+            longest, reached = len(b) * (2 - threshold) / threshold + 1e-9, []
+            for i in range(len(row)):
+                ends = [j for j in range(i, len(row)) if j - i < longest and row[i] in b and row[j] in b]
+                if ends:
+                    both = {j: set(row[i:j + 1]) for j in ends}
+                    best = min((-dice(both[j], b), -len(both[j] & b), name, i, j) for j in ends)
+                    reached += [best] if -best[0] >= threshold - 1e-9 else []
+            found += [(fewer, less, *rest) for less, fewer, *rest in apart(reached)]
+        for _, less, name, i, j in apart(found):
+            line, n = at[i], at[j + 1] - at[i] + 1
+            if not any(u[2] == name and u[0] <= line and u[0] + u[1] >= line + n for u in whole):
+                inside.add((line, n, name, -less))
+    return whole + sorted(inside)
+
+
+def test_licences_equal_brute_force(spark):
+    rng = np.random.default_rng(8)
+    short = [(f"t{k}", " ".join(rng.choice(list("abcdef"), rng.integers(2, 9)))) for k in range(7)]
+    wordings = licences.NOTICES + licences.VARIANTS
+    rows = []
+    for k in range(320):
+        source, filler, loss = (short, "abcdefg", 0.05) if k < 200 else (wordings, ["filler"], 0.03)
+        words = []
+        for at in rng.integers(0, len(source), rng.integers(0, 5)):
+            words += [*rng.choice(list(filler), rng.integers(0, 4)), *(w for w in source[at][1].split() if rng.random() >= loss)]
+        rows.append((k, "".join(w + rng.choice([" ", ", ", "\n", "\n\n"], p=[0.8, 0.1, 0.07, 0.03]) for w in words)))
+    for templates in (short, wordings):
+        got = licences.scan(frame(spark, rows), spark.createDataFrame(templates, "licence string, text string")).collect()
+        want = [(k, *x) for k, text in rows for x in plain_licences(text, templates)]
+        assert len(want) > 100 and any(x[4] < 1 for x in want)
+        assert sorted((r.doc_id, r.line, r.lines, r.licence, round(r.dice, 9)) for r in got) == sorted((*x[:4], round(x[4], 9)) for x in want)
+
+
 def grams(text):
     return contamination.shingles(contamination.normal(text or "").split())
 

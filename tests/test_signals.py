@@ -207,3 +207,14 @@ def test_event_without_features_gets_its_prediction_in_batch(spark):
     got = {r["event_id"]: (r["risk"], r["n_features"]) for r in predictions(rows).collect()}
     assert got == {0: ("UNKNOWN", 0), 1: ("UNKNOWN", 0), 2: ("UNKNOWN", 0), 3: ("UNKNOWN", 0), 4: ("CRITICAL", 1)}
     assert [r["feature"] for r in model_state(rows).collect()] == ["a"]
+
+
+def test_time_to_failure_beyond_a_long(spark):
+    # mean velocity 2.8e-22, left by the cancelling of rounded values; then velocity < 0 and a mean acceleration like it
+    tiny, none = [2e-06, 5e-06, -7e-06], [0.0, 0.0, 0.0]
+    cases = {1: (tiny, none), 2: ([-0.01, -0.01, -0.01], tiny), 3: ([1e-06, 0.0, 0.0], none)}
+    rows = [(event, "m", T0, k, f"f{k}", 100.0, 20, 0.1, v[k], a[k], 20) for event, (v, a) in cases.items() for k in range(3)]
+    made = predictions(spark.createDataFrame(rows, "event_id long, model string, ts timestamp_ntz, fpos int, feature string, x double, "
+                                                   "t long, drift double, velocity double, acceleration double, samples int"))
+    got = {r["event_id"]: (r["time_to_failure"], r["ttf_branch"]) for r in made.collect()}
+    assert got == {1: (2 ** 63 - 1, "linear"), 2: (2 ** 63 - 1, "quadratic"), 3: (int((0.25 - (0.0 + 0.1 + 0.1 + 0.1) / 3) / 1e-06 * 60), "linear")}

@@ -22,12 +22,17 @@ the baseline is copied.
   ``max |F_b - F_c|`` is taken there and needs the current rows only;
 * mean / variance shift: one grouped aggregate over ``long``.
 
+Each of these reads the ECDF once: what it leaves (sums per range, edges, bin counts, KS D,
+moments: a few rows per group) is pinned, and all that is derived reads those small tables.
+
 Tables of a shared baseline have a few rows per feature and are broadcast; for the others
 the runtime sizes decide.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import (BooleanType, ByteType, DecimalType, DoubleType, FloatType,
@@ -38,7 +43,7 @@ import pandas as pd
 from driftline.functions.kolmogorov import kolmogorov_sf_expr, ks_pvalue
 from driftline.functions.numeric import is_finite_value, ordered_sum_expr, round_half_even
 from driftline.functions.severity import psi_severity
-from driftline.operators.prefix import RANGE_COL
+from driftline.operators.prefix import RANGE_COL, pin
 from driftline.operators.ranges import pin_in_place
 
 NUMERIC_TYPES = (ByteType, ShortType, IntegerType, LongType, FloatType, DoubleType, DecimalType)
@@ -126,6 +131,13 @@ class DriftTables:
         self.bkeys = ["feature_idx"] if self.shared else self.ikeys   # of a baseline
         self.long = unpivot(tagged, self.features, self.segments)
         self._pinned = None
+        self._small: dict[str, DataFrame] = {}
+
+    def _once(self, name: str, made: Callable[[], DataFrame]) -> DataFrame:
+        """A small table, pinned when it is first asked for: its big input is read once."""
+        if name not in self._small:
+            self._small[name] = pin(made())
+        return self._small[name]
 
     # -- one row per baseline, one per segment ----------------------------------
     def paired(self, both: DataFrame, base: list[str], cur: list[str], has_b: str, has_c: str) -> DataFrame:
@@ -161,10 +173,15 @@ class DriftTables:
                 F.sum("n_c").over(mine.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("upto_c")))
         return self._pinned
 
+    def range_sums(self) -> DataFrame:
+        """Both sides' counts per range and group in it."""
+        return self._once("sums", lambda: self.pinned().groupBy(RANGE_COL, *self.ikeys).agg(
+            F.sum("n_b").alias("n_b"), F.sum("n_c").alias("n_c")))
+
     def _offsets(self, keys: list[str], n: str, name: str) -> DataFrame:
         """Per range and group in it: the counts of the ranges before, and of all ranges.  For a
         shared baseline these are a few more rows than ranges and features."""
-        per = self.pinned().groupBy(RANGE_COL, *keys).agg(F.sum(n).alias("_s"))
+        per = self.range_sums().groupBy(RANGE_COL, *keys).agg(F.sum(n).alias("_s"))
         every = Window.partitionBy(*keys)
         before = every.orderBy(RANGE_COL).rowsBetween(Window.unboundedPreceding, -1)
         return per.select(RANGE_COL, *keys, F.coalesce(F.sum("_s").over(before), F.lit(0)).alias(f"_off_{name}"),
@@ -182,7 +199,7 @@ class DriftTables:
 
     def totals(self) -> DataFrame:
         """Per group sample sizes (after the per-side null/NaN drop)."""
-        return self._sizes(self.pinned().groupBy(*self.ikeys).agg(F.sum("n_b").alias("nb"), F.sum("n_c").alias("nc")))
+        return self._sizes(self.range_sums().groupBy(*self.ikeys).agg(F.sum("n_b").alias("nb"), F.sum("n_c").alias("nc")))
 
     def sizes(self) -> DataFrame:
         """The totals alone: one aggregate over the data, no order and no pin."""
@@ -197,7 +214,7 @@ class DriftTables:
     # -- PSI ------------------------------------------------------------------
     def edge_targets(self) -> DataFrame:
         """Positions of the baseline order statistics needed for each edge."""
-        sizes = self.pinned().groupBy(*self.bkeys).agg(F.sum("n_b").alias("n_baseline")).where("n_baseline > 0")
+        sizes = self.range_sums().groupBy(*self.bkeys).agg(F.sum("n_b").alias("n_baseline")).where("n_baseline > 0")
         t = sizes.select(*self.bkeys, "n_baseline", F.explode(F.sequence(F.lit(0), F.lit(self.buckets))).alias("k"))
         # numpy: percent_k = k * (100 / buckets) (last one exactly 100), q = percent / 100,
         # virtual index = (n - 1) * q
@@ -209,6 +226,9 @@ class DriftTables:
 
     def baseline_edges(self) -> DataFrame:
         """(bkeys..., edges array<double>): sorted unique percentile edges of every baseline."""
+        return self._once("edges", self._baseline_edges)
+
+    def _baseline_edges(self) -> DataFrame:
         look = self.edge_targets().select(*self.bkeys, "k", "frac", "lo", "hi")
         e = self._ranked(self.pinned().where("n_b > 0"))
         e = e.select(*self.bkeys, "value", (F.col("_off_b") + F.col("upto_b") - 1).alias("last_rank"),
@@ -231,6 +251,9 @@ class DriftTables:
     def bin_counts(self) -> DataFrame:
         """(keys..., bin, n_b, n_c): numpy.histogram bins [e_i, e_i+1), last closed,
         values outside the edges not counted.  A shared baseline's counts have null segments."""
+        return self._once("bins", self._bin_counts)
+
+    def _bin_counts(self) -> DataFrame:
         j = matched(self.pinned().select(*self.ikeys, "value", "n_b", "n_c"), self.baseline_edges(), self.bkeys, "inner",
                     small=self.shared)
         n_edges = F.size("edges")
@@ -287,11 +310,7 @@ class DriftTables:
         ``p_value_method`` is the caller's choice: ``asymp`` is the Kolmogorov series in SQL,
         ``finite`` the probability for the given sizes (:func:`ks_pvalue`), in a pandas UDF
         over the per-feature rows (sizes and D, never the data) with bounded work."""
-        e = self.ecdf().where("n_c > 0 AND all_b > 0")
-        at = F.abs(F.col("cum_n_b") / F.col("all_b") - F.col("cum_n_c") / F.col("all_c"))
-        before = F.abs((F.col("cum_n_b") - F.col("own_b")) / F.col("all_b") - (F.col("cum_n_c") - F.col("n_c")) / F.col("all_c"))
-        d = e.groupBy(*self.ikeys).agg(F.max(F.greatest(at, before)).alias("d_raw"))
-        out = matched(self.totals(), d, self.ikeys).withColumn("ks_statistic", round_half_even("d_raw", 6))
+        out = matched(self.totals(), self._once("ks", self._ks_distance), self.ikeys).withColumn("ks_statistic", round_half_even("d_raw", 6))
         p = F.expr(kolmogorov_sf_expr("d_raw", "n_baseline", "n_current"))
         if p_value_method == "finite":
             p = _finite_p_udf(F.col("d_raw"), F.col("n_baseline"), F.col("n_current"))
@@ -301,15 +320,23 @@ class DriftTables:
         return out.select(*self.keys, "ks_statistic", "p_value",
                           F.coalesce(F.col("p_value") < F.lit(p_value_threshold), F.lit(False)).alias("drifted"))
 
+    def _ks_distance(self) -> DataFrame:
+        e = self.ecdf().where("n_c > 0 AND all_b > 0")
+        at = F.abs(F.col("cum_n_b") / F.col("all_b") - F.col("cum_n_c") / F.col("all_c"))
+        before = F.abs((F.col("cum_n_b") - F.col("own_b")) / F.col("all_b") - (F.col("cum_n_c") - F.col("n_c")) / F.col("all_c"))
+        return e.groupBy(*self.ikeys).agg(F.max(F.greatest(at, before)).alias("d_raw"))
+
     # -- mean / variance shift ------------------------------------------------
-    def shift(self) -> DataFrame:
+    def _moments(self) -> DataFrame:
         b = F.col("side") == "b"
         c = F.col("side") == "c"
-        agg = self.long.groupBy(*self.ikeys).agg(
+        return self.long.groupBy(*self.ikeys).agg(
             F.avg(F.when(b, F.col("value"))).alias("bm"), F.avg(F.when(c, F.col("value"))).alias("cm"),
             F.var_samp(F.when(b, F.col("value"))).alias("bv"), F.var_samp(F.when(c, F.col("value"))).alias("cv"),
             F.count_if(b).alias("nb"), F.count_if(c).alias("nc"))
-        agg = self.paired(agg, ["bm", "bv", "nb"], ["cm", "cv", "nc"], "nb", "nc").where("coalesce(nb, 0) + coalesce(nc, 0) > 0")
+
+    def shift(self) -> DataFrame:
+        agg = self.paired(self._once("moments", self._moments), ["bm", "bv", "nb"], ["cm", "cv", "nc"], "nb", "nc").where("coalesce(nb, 0) + coalesce(nc, 0) > 0")
         mean_pct = F.abs(F.col("cm") - F.col("bm")) / (F.abs(F.col("bm")) + F.lit(SHIFT_EPSILON)) * F.lit(100.0)
         var_pct = F.abs(F.col("cv") - F.col("bv")) / (F.abs(F.col("bv")) + F.lit(SHIFT_EPSILON)) * F.lit(100.0)
         return agg.select(

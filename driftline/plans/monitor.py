@@ -8,6 +8,7 @@ verdicts.  Branching (alert, retrain) is a filter on the verdict rows.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 
@@ -21,12 +22,31 @@ DAG_ID = "drift_monitoring"
 
 @dataclass
 class DriftResult:
+    """The outputs of one run, each built when it is first read."""
+
     tables: DriftTables
-    psi: DataFrame
-    ks: DataFrame
-    shift: DataFrame
-    verdicts: DataFrame
-    overall: DataFrame
+    limits: dict
+    p_value_method: str
+
+    @cached_property
+    def psi(self) -> DataFrame:
+        return self.tables.psi(self.limits["psi"]["warning"], self.limits["psi"]["critical"])
+
+    @cached_property
+    def ks(self) -> DataFrame:
+        return self.tables.ks(self.limits["ks_p_value"], self.p_value_method)
+
+    @cached_property
+    def shift(self) -> DataFrame:
+        return self.tables.shift()
+
+    @cached_property
+    def verdicts(self) -> DataFrame:
+        return feature_verdicts(self.psi, self.ks, self.shift, self.tables.keys, self.limits)
+
+    @cached_property
+    def overall(self) -> DataFrame:
+        return overall_verdict(self.verdicts, self.tables.segments)
 
     def report(self, run_date: str, dag_id: str = DAG_ID) -> DataFrame:
         return drift_report(self.psi, self.ks, self.shift, self.tables.keys, run_date, dag_id)
@@ -44,13 +64,7 @@ def monitor_tagged(tagged: DataFrame, features: list[str], segments: list[str] |
     Without a shared numeric column there is nothing to compare and the verdict is ok."""
     th = merge_thresholds(thresholds)
     segments = list(segments or [])
-    t = DriftTables(tagged, features, segments, buckets, shared, expected)
-    psi = t.psi(th["psi"]["warning"], th["psi"]["critical"])
-    ks = t.ks(th["ks_p_value"], p_value_method)
-    shift = t.shift()
-    verdicts = feature_verdicts(psi, ks, shift, t.keys, th)
-    overall = overall_verdict(verdicts, segments)
-    return DriftResult(t, psi, ks, shift, verdicts, overall)
+    return DriftResult(DriftTables(tagged, features, segments, buckets, shared, expected), th, p_value_method)
 
 
 def monitor_drift(baseline: DataFrame, current: DataFrame, thresholds: dict | None = None,

@@ -335,8 +335,10 @@ class DriftTables:
             F.var_samp(F.when(b, F.col("value"))).alias("bv"), F.var_samp(F.when(c, F.col("value"))).alias("cv"),
             F.count_if(b).alias("nb"), F.count_if(c).alias("nc"))
 
-    def shift(self) -> DataFrame:
-        agg = self.paired(self._once("moments", self._moments), ["bm", "bv", "nb"], ["cm", "cv", "nc"], "nb", "nc").where("coalesce(nb, 0) + coalesce(nc, 0) > 0")
+    def shift(self, once: bool = False) -> DataFrame:
+        """``once``: its moments are pinned, for an output that is read several times."""
+        moments = self._once("moments", self._moments) if once else self._moments()
+        agg = self.paired(moments, ["bm", "bv", "nb"], ["cm", "cv", "nc"], "nb", "nc").where("coalesce(nb, 0) + coalesce(nc, 0) > 0")
         mean_pct = F.abs(F.col("cm") - F.col("bm")) / (F.abs(F.col("bm")) + F.lit(SHIFT_EPSILON)) * F.lit(100.0)
         var_pct = F.abs(F.col("cv") - F.col("bv")) / (F.abs(F.col("bv")) + F.lit(SHIFT_EPSILON)) * F.lit(100.0)
         return agg.select(

@@ -38,7 +38,7 @@ class DriftResult:
 
     @cached_property
     def shift(self) -> DataFrame:
-        return self.tables.shift()
+        return self.tables.shift(once=True)
 
     @cached_property
     def verdicts(self) -> DataFrame:

@@ -156,11 +156,16 @@ class DriftTables:
         return out.withColumn("feature", feature_name(self.features)).select(*self.keys, *base, *cur)
 
     # -- ECDF -----------------------------------------------------------------
+    def counts(self) -> DataFrame:
+        """Distinct values with both sides' counts.  The value leads: what does not fit in memory is
+        sorted by these columns, and a leading segment would be equal for most rows."""
+        return self.long.groupBy("value", *self.ikeys).agg(
+            F.count_if(F.col("side") == "b").alias("n_b"), F.count_if(F.col("side") == "c").alias("n_c"))
+
     def pinned(self) -> DataFrame:
         """Distinct values in pinned ranges, with running counts inside a range."""
         if self._pinned is None:
-            counts = self.long.groupBy(*self.ikeys, "value").agg(
-                F.count_if(F.col("side") == "b").alias("n_b"), F.count_if(F.col("side") == "c").alias("n_c"))
+            counts = self.counts()
             n = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
             # equal values of a feature share a range, whatever segment they are of
             ranged = counts.repartitionByRange(n, *self.bkeys, "value").withColumn(RANGE_COL, F.spark_partition_id())

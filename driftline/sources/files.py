@@ -280,14 +280,16 @@ def parse_events(payloads: DataFrame, col: str = "payload") -> DataFrame:
     missing fields, non-numeric features) are kept with ``valid = false`` and the ``reason``
     for a quarantine table instead of failing the job.  ``metadata`` is not kept."""
     p = F.from_json(F.col(col), EVENT_SCHEMA, {"mode": "PERMISSIVE"})
-    parsed = payloads.withColumn("_p", p)
+    # a feature that is no number leaves the whole map empty-handed in some readers: told by the text;
+    # the text is found only if all of the body could be read, which then need not be read once more
+    parsed = payloads.withColumns({"_p": p, "_text": F.get_json_object(col, "$.features")})
     ts_sec = F.coalesce(F.nullif(F.col("_p.timestamp"), F.lit(0.0)),
                         F.unix_micros(F.current_timestamp()).cast("double") / F.lit(1e6))
     numbers = F.coalesce(F.forall(F.map_values(F.col("_p.features")), lambda v: v.isNotNull()), F.lit(False))
-    # a feature that is no number leaves the whole map empty-handed in some readers: told by the text
-    reason = (F.when(F.col("_p").isNull() | F.get_json_object(col, "$").isNull(), "not a JSON object")
+    unread = F.when(F.col("_text").isNull(), F.get_json_object(col, "$").isNull()).otherwise(F.lit(False))
+    reason = (F.when(F.col("_p").isNull() | unread, "not a JSON object")
               .when(F.col("_p.model").isNull(), "no model")
-              .when(F.get_json_object(col, "$.features").isNull(), "no features")
+              .when(F.col("_text").isNull(), "no features")
               .when(F.col("_p.features").isNull() | ~numbers, "a feature is not a number"))
     keep = [c for c in payloads.columns if c != col]
     return parsed.select(
